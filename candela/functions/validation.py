@@ -36,7 +36,7 @@ def tick_errors(json_text: Column) -> Column:
     is_obj = F.schema_of_variant(v).startswith("OBJECT")
     checks = [F.when(v.isNull(), F.lit("not_json")), F.when(v.isNotNull() & ~is_obj, F.lit("not_object"))]
     for key, want in FIELD_JSON_TYPES.items():
-        field = F.variant_get(v, f"$.{key}")  # SQL NULL when the key is absent
+        field = F.variant_get(v, f"$.{key}", "variant")  # SQL NULL when the key is absent
         if key in REQUIRED_FIELDS:
             checks.append(F.when(is_obj & field.isNull(), F.lit(f"missing:{key}")))
         checks.append(

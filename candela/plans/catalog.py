@@ -234,7 +234,8 @@ def symbol_watchlist(tick_df: DataFrame, watchlist: str) -> DataFrame:
     spark = tick_df.sparkSession
     wanted = (
         spark.range(1)
-        .select(normalise_symbol(F.explode(F.split(F.lit(watchlist), ","))).alias("symbol"))
+        .select(F.explode(F.split(F.lit(watchlist), ",")).alias("raw"))
+        .select(normalise_symbol("raw").alias("symbol"))
         .distinct()
     )
     counts = tick_df.groupBy(normalise_symbol("symbol").alias("symbol")).agg(F.count(F.lit(1)).alias("n"))
@@ -706,8 +707,8 @@ def q_serving_constraint_check(spark, sf):
         CAST({S.round_sql('day_high', 4)} AS DECIMAL(12,4)) AS day_high,
         CAST({S.round_sql('day_low', 4)} AS DECIMAL(12,4)) AS day_low,
         CAST({S.round_sql('prev_close', 4)} AS DECIMAL(12,4)) AS prev_close,
-        volume, currency, event_time, source FROM ticks)
-    """ + S.canon_select(STAGING_COLS, "s"),
+        volume, currency, strftime(event_time, '{S.TS_FORMAT_SQL}') AS event_time, source FROM ticks)
+    SELECT * FROM s""",
 )
 def q_staging_raw_ticks(spark, sf):
     return canon(serving.staging_raw_ticks(ticks(spark, sf)))
