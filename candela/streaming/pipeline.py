@@ -1,0 +1,180 @@
+"""Streaming queries: bronze/silver appends, windowed stats, keyed dedup merge.
+
+Each ``start_*`` takes a streaming DataFrame and returns a started
+StreamingQuery. ``trigger`` is a DataStreamWriter.trigger keyword dict:
+{"processingTime": "15 seconds"} in production, {"availableNow": True} for
+bounded runs (nightly bronze, tests).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from candela.operators.ingest import bronze, decode_envelope, parse_ticks
+from candela.operators.quality import dedup, quality_filter
+from candela.operators.window_stats import WATERMARK, stats_json, window_stats
+from candela.schema import DEDUP_KEYS, LINEAGE_COLS, TICK_COLS, TOPIC_PROCESSED, WINDOW_STATS_COLS
+
+SILVER_STREAM_TRIGGER = {"processingTime": "15 seconds"}
+BRONZE_STREAM_TRIGGER = {"processingTime": "30 seconds"}
+STREAM_SILVER_COLS = TICK_COLS + ["kafka_timestamp"]
+
+
+def clean_ticks(envelope: DataFrame, watermark: str = WATERMARK) -> DataFrame:
+    """Decode → parse → quality filter → event-time watermark.
+
+    The watermark only bounds the state of downstream aggregations; stateless
+    sinks of this stream drop nothing.
+    """
+    parsed = parse_ticks(decode_envelope(envelope)).drop("json_value")
+    return quality_filter(parsed).withWatermark("event_time", watermark)
+
+
+def _writer(df: DataFrame, checkpoint: str, trigger: dict | None, mode: str):
+    w = df.writeStream.option("checkpointLocation", checkpoint).outputMode(mode)
+    return w.trigger(**(trigger or SILVER_STREAM_TRIGGER))
+
+
+def start_silver_sink(
+    clean: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None
+) -> StreamingQuery:
+    """Append cleaned ticks, partitioned by symbol (stateless: no late drop)."""
+    w = _writer(clean.select(*STREAM_SILVER_COLS), checkpoint, trigger or SILVER_STREAM_TRIGGER, "append")
+    return w.format(fmt).partitionBy("symbol").option("path", path).start()
+
+
+def start_bronze_sink(
+    envelope: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", trigger: dict | None = None
+) -> StreamingQuery:
+    """Append every record as received: parsed fields, raw payload, lineage, ingestion time."""
+    w = _writer(bronze(envelope), checkpoint, trigger or BRONZE_STREAM_TRIGGER, "append")
+    return w.format(fmt).partitionBy("symbol").option("path", path).start()
+
+
+def _batch_log_writer(path: str):
+    """foreachBatch body: each micro-batch lands in its own batch_id folder.
+
+    Overwriting that folder makes a retried batch idempotent.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return write
+
+
+def start_window_stats(
+    clean: DataFrame,
+    checkpoint: str,
+    path: str,
+    mode: str = "update",
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """1-minute stats per symbol under the watermark.
+
+    update: every trigger re-emits the windows it changed into a batch log
+    (read the current value with ``latest_window_stats``); append: a window is
+    written once, after the watermark passes its end.
+    """
+    stats = window_stats(clean)
+    w = _writer(stats, checkpoint, trigger, mode)
+    if mode == "append":
+        return w.format("parquet").option("path", path).start()
+    return w.foreachBatch(_batch_log_writer(path)).start()
+
+
+def start_stats_messages(
+    clean: DataFrame,
+    checkpoint: str,
+    brokers: str | None = None,
+    topic: str = TOPIC_PROCESSED,
+    path: str | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Keyed JSON messages (key = symbol) in update mode: to Kafka when brokers are
+    given, otherwise into a batch log at ``path``."""
+    msgs = stats_json(window_stats(clean))
+    w = _writer(msgs, checkpoint, trigger, "update")
+    if brokers:
+        return w.format("kafka").option("kafka.bootstrap.servers", brokers).option("topic", topic).start()
+    if not path:
+        raise ValueError("either brokers or path is required")
+    return w.foreachBatch(_batch_log_writer(path)).start()
+
+
+def latest_by_key(log: DataFrame, keys: Sequence[str], value_cols: Sequence[str]) -> DataFrame:
+    """Current value per key from an update log: the row of the highest batch_id.
+
+    A partial aggregate, so a key updated in every batch still reaches the
+    shuffle as one row per map task.
+    """
+    picked = log.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), "batch_id").alias("_v"))
+    return picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
+
+
+def latest_window_stats(spark: SparkSession, path: str) -> DataFrame:
+    log = spark.read.parquet(path)
+    keys = ["symbol", "window_start"]
+    return latest_by_key(log, keys, [c for c in WINDOW_STATS_COLS if c not in keys]).select(*WINDOW_STATS_COLS)
+
+
+def silver_merge_batch(silver_path: str, keys: Sequence[str] = DEDUP_KEYS):
+    """foreachBatch body: insert-only merge of a micro-batch into silver.
+
+    The batch is deduplicated (earliest delivery wins), then anti-joined with
+    silver rows already stored for the same symbols and event-time span, so a
+    redelivered copy arriving in a later batch is dropped, and a retried batch
+    inserts nothing twice.
+    """
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        clean = quality_filter(batch).filter(F.col("event_time").isNotNull() & F.col("source").isNotNull())
+        fresh = dedup(clean.select(*TICK_COLS, *LINEAGE_COLS)).persist()
+        try:
+            span = fresh.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
+            if span is None or span.lo is None:
+                return
+            existing = (
+                spark.read.schema(fresh.schema)
+                .parquet(silver_path)
+                .filter(F.col("event_time").between(span.lo, span.hi))
+                .select(*keys)
+            )
+            new_rows = fresh.join(existing, list(keys), "left_anti")
+            new_rows.write.mode("append").partitionBy("symbol").parquet(silver_path)
+        finally:
+            fresh.unpersist()
+
+    return merge
+
+
+def init_table(spark: SparkSession, path: str, schema) -> None:
+    """Create an empty table location so the first merge can read it."""
+    spark.createDataFrame([], schema).write.mode("append").parquet(path)
+
+
+def start_silver_dedup(
+    bronze_stream: DataFrame, silver_path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    spark = bronze_stream.sparkSession
+    parsed = parse_ticks(decode_envelope(bronze_stream)).drop("json_value")
+    init_table(spark, silver_path, parsed.select(*TICK_COLS, *LINEAGE_COLS).schema)
+    return _writer(parsed, checkpoint, trigger, "append").foreachBatch(silver_merge_batch(silver_path)).start()
+
+
+def await_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
+    """Block until any query ends; if one failed, stop its siblings and raise."""
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        failed = [q for q in queries if q.exception() is not None]
+        if failed:
+            for q in queries:
+                if q.isActive:
+                    q.stop()
+            raise RuntimeError(f"stream {failed[0].name or failed[0].id} failed: {failed[0].exception()}")
