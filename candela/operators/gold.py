@@ -60,14 +60,19 @@ def with_pct_change(df: DataFrame) -> DataFrame:
 
 
 def with_gain_loss(df: DataFrame, price_col: str = "close_price", period: int = ind.RSI_PERIOD) -> DataFrame:
-    """gain/loss of each day's delta and their trailing means over ``period`` rows."""
-    delta = F.col(price_col) - F.lag(price_col, 1).over(ind.by_symbol())
+    """gain/loss of each day's delta and their trailing means over ``period`` rows.
+
+    Reuses an existing prev_close (lag of close_price) so the plan holds one
+    Window node for the lag and one for both trailing means, on one sort.
+    """
+    if price_col == "close_price" and "prev_close" in df.columns:
+        prev = F.col("prev_close")
+    else:
+        prev = F.lag(price_col, 1).over(ind.by_symbol())
+    delta = F.col(price_col) - prev
     frame = ind.trailing_rows(period)
-    return (
-        df.withColumn("gain", ind.gain(delta))
-        .withColumn("loss", ind.loss(delta))
-        .withColumn("avg_gain", F.avg("gain").over(frame))
-        .withColumn("avg_loss", F.avg("loss").over(frame))
+    return df.withColumns({"gain": ind.gain(delta), "loss": ind.loss(delta)}).withColumns(
+        {"avg_gain": F.avg("gain").over(frame), "avg_loss": F.avg("loss").over(frame)}
     )
 
 
