@@ -143,3 +143,50 @@ def staging_violations(staging: DataFrame) -> Column:
         | (F.length("currency") > CURRENCY_MAX_LEN)
         | (F.length("source") > SOURCE_MAX_LEN)
     )
+
+
+def _read_or_none(spark, path: str, fmt: str):
+    try:
+        return spark.read.format(fmt).load(path)
+    except Exception as e:  # first load: no table yet
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def upsert_table(
+    source: DataFrame,
+    table_path: str,
+    staging_path: str,
+    fmt: str = "parquet",
+    delete_date: str | None = None,
+) -> None:
+    """Keyed upsert into a serving table stored partitioned by trade_date.
+
+    Default path: only partitions (dates) present in ``source`` are read — a
+    semi join on the partition column, pruned at run time — merged, staged and
+    swapped in with a dynamic partition overwrite; other partitions are left
+    untouched. With ``delete_date`` (the pre-copy delete of one day) a
+    partition may become empty, which a dynamic overwrite cannot express, so
+    the whole table is rebuilt through staging instead. Staging keeps every
+    write off the path being read; re-running gives the same table.
+    """
+    from candela.sources.lake import write_partitions_dynamic
+
+    spark = source.sparkSession
+    src = source.select(*SERVING_COLS)
+    target = _read_or_none(spark, table_path, fmt)
+    if target is None:
+        merged = stamp(src)
+    elif delete_date is not None:
+        merged = upsert(delete_day(target, delete_date), src)
+    else:
+        current = target.join(src.select("trade_date").distinct(), "trade_date", "left_semi")
+        merged = upsert(current, src)
+    cols = [*SERVING_COLS, "loaded_at"]
+    merged.select(*cols).write.format(fmt).mode("overwrite").partitionBy("trade_date").save(staging_path)
+    staged = spark.read.format(fmt).load(staging_path).select(*cols)
+    if target is not None and delete_date is not None:
+        staged.write.format(fmt).mode("overwrite").partitionBy("trade_date").save(table_path)
+    else:
+        write_partitions_dynamic(staged, table_path, ["trade_date"], fmt)

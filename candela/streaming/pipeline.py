@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import StreamingQueryException
 from pyspark.sql.streaming import StreamingQuery
 
 from candela.operators.ingest import bronze, decode_envelope, parse_ticks
@@ -167,14 +168,21 @@ def start_silver_dedup(
     return _writer(parsed, checkpoint, trigger, "append").foreachBatch(silver_merge_batch(silver_path)).start()
 
 
-def await_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
-    """Block until any query ends; if one failed, stop its siblings and raise."""
-    try:
-        spark.streams.awaitAnyTermination()
-    finally:
-        failed = [q for q in queries if q.exception() is not None]
-        if failed:
-            for q in queries:
-                if q.isActive:
-                    q.stop()
-            raise RuntimeError(f"stream {failed[0].name or failed[0].id} failed: {failed[0].exception()}")
+def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], poll_seconds: float = 1.0) -> None:
+    """Block until any of ``queries`` ends, then stop the others; raise if one failed.
+
+    Watches the given queries only (the session-wide awaitAnyTermination also
+    returns for queries that ended earlier in the same session).
+    """
+    del spark  # kept for signature symmetry with the session-level wait
+    while all(q.isActive for q in queries):
+        try:
+            queries[0].awaitTermination(poll_seconds)
+        except StreamingQueryException:
+            break
+    failed = [q for q in queries if q.exception() is not None]
+    for q in queries:
+        if q.isActive:
+            q.stop()
+    if failed:
+        raise RuntimeError(f"stream {failed[0].name or failed[0].id} failed: {failed[0].exception()}")
