@@ -34,7 +34,9 @@ def daily_ohlcv(ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER)
     reference's unordered first/last is nondeterministic after a shuffle).
     volatility is the sample standard deviation (NULL for a single tick).
     """
-    order = F.struct(*order_by)
+    # A single primitive ordering column keeps the aggregation buffer fixed-width
+    # (HashAggregate); a struct tie-break needs SortAggregate.
+    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
     return (
         with_trade_date(ticks)
         .groupBy("symbol", "trade_date")
