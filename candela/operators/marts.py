@@ -39,7 +39,7 @@ def top_gainers_latest(gold: DataFrame) -> DataFrame:
 def latest_rows(df: DataFrame, order, n: int = 20, cols: Sequence[str] | None = None) -> DataFrame:
     """Top-n by ``order`` (TakeOrderedAndProject), with the position as a column."""
     top = df.orderBy(*order).limit(n)
-    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)))  # n rows at most
+    ranked = top.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))  # n rows at most
     return ranked.select("rank", *(cols or df.columns))
 
 

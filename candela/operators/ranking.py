@@ -13,11 +13,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from candela.session import shared_dir
+
 
 def with_position(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
+    """1..N position of each row in ``order`` (ties must be broken by ``order``).
+
+    The input is checkpointed to the shared checkpoint folder first: range
+    partitioning samples its input in a separate job and the sizes branch reads
+    it again, so without the checkpoint the whole upstream plan would run
+    several times.
+    """
     spark = df.sparkSession
+    shared_dir(spark)  # make sure a checkpoint folder is set (tests/local runs)
+    base = df.checkpoint(eager=True)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
+    ranged = base.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
     local = ranged.withColumn(
         "_pos", F.row_number().over(Window.partitionBy("_range").orderBy(*order))
     )
@@ -31,6 +42,6 @@ def with_position(df: DataFrame, order: Sequence[Column], out: str = "rank") ->
     # offsets has one row per range partition: a proven bound for the broadcast.
     return (
         local.join(F.broadcast(offsets), "_range")
-        .withColumn(out, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_pos")).cast("int"))
+        .withColumn(out, (F.coalesce(F.col("_offset"), F.lit(0)) + F.col("_pos")).cast("bigint"))
         .drop("_range", "_pos", "_offset")
     )
