@@ -120,8 +120,14 @@ def gold_incremental(
     * rows before the earliest touched day are kept as they are.
     """
     touched = with_trade_date(new_ticks).select("symbol", "trade_date").distinct()
+    # Earliest touched day (a one-row aggregate): pushed into the silver scan as
+    # a static range filter, so only row groups from that day on are read.
+    first_day = touched.agg(F.min("trade_date")).first()[0]
+    if first_day is None:
+        return gold_prev.select(*GOLD_COLS)
+    recent = silver_all.filter(F.col("event_time") >= F.lit(first_day).cast("timestamp"))
     redo_daily = daily_ohlcv(
-        with_trade_date(silver_all).join(touched, ["symbol", "trade_date"], "left_semi"), order_by
+        with_trade_date(recent).join(touched, ["symbol", "trade_date"], "left_semi"), order_by
     )
     kept_daily = gold_prev.join(touched, ["symbol", "trade_date"], "left_anti").select(*redo_daily.columns)
     daily = kept_daily.unionByName(redo_daily)
