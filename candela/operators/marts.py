@@ -47,9 +47,12 @@ def gold_latest(gold: DataFrame, n: int = 20) -> DataFrame:
     return latest_rows(gold, [F.col("trade_date").desc(), F.col("symbol").asc()], n, GOLD_COLS)
 
 
-def market_overview(gold: DataFrame) -> DataFrame:
+def market_overview(gold: DataFrame, approx: bool = False) -> DataFrame:
+    """Overview cards. ``approx`` counts symbols with a HyperLogLog++ sketch
+    (no shuffle by symbol), for very large symbol universes."""
+    n_symbols = F.approx_count_distinct("symbol") if approx else F.count_distinct("symbol")
     return gold.agg(
-        F.count_distinct("symbol").alias("symbols"),
+        n_symbols.alias("symbols"),
         F.max("trade_date").alias("latest_date"),
         F.avg("pct_change").alias("avg_pct_change"),
         F.avg("avg_price").alias("avg_price"),

@@ -149,12 +149,18 @@ def parse_args(argv=None):
     p.add_argument("--rejects-path", default=None)
     p.add_argument("--run-date", default=None)
     p.add_argument("--root", default="./data")
+    p.add_argument("--rocksdb", action="store_true", help="RocksDB state store (many symbols/windows)")
     return p.parse_args(argv)
 
 
 def main(argv=None) -> None:
     args = parse_args(argv)
-    spark = build_session(app_name=f"candela-{args.job}")
+    extra = {}
+    if args.rocksdb:
+        extra["spark.sql.streaming.stateStore.providerClass"] = (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        )
+    spark = build_session(app_name=f"candela-{args.job}", extra=extra)
     ensure_utc(spark)
     JOBS[args.job](spark, args)
 
