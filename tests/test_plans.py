@@ -69,3 +69,17 @@ def test_windows_share_sort_in_indicators(spark):
     p = _plan(I.with_sma(G.with_rsi(G.with_prev_close(d)), 5))
     assert p.count("Exchange hashpartitioning") == 2  # aggregate + one for all windows
     assert p.count("Window [") == 2  # lag; then every trailing frame in one node
+
+
+def test_serving_upsert_reads_only_touched_dates(spark):
+    """The semi join on the partition column becomes dynamic partition pruning."""
+    from candela.operators import serving
+
+    g = gold(spark, SF, "user")
+    ok, _ = serving.serving_cast(g)
+    path = scratch_path(spark, "serving_dpp")
+    ok.withColumn("loaded_at", F.current_timestamp()).write.partitionBy("trade_date").parquet(path)
+    src = ok.filter(F.col("trade_date") >= "2024-01-29")
+    target = spark.read.parquet(path)
+    current = target.join(src.select("trade_date").distinct(), "trade_date", "left_semi")
+    assert "dynamicpruningexpression(trade_date" in _plan(current)
