@@ -49,12 +49,21 @@ def overflow_rejects(gold: DataFrame) -> DataFrame:
     )
 
 
+def fits_serving_types() -> Column:
+    """True when every serving value fits its decimal type (NULL fits)."""
+    cond = F.lit(True)
+    for c, t in SERVING_TYPES.items():
+        cond = cond & (F.col(c).isNull() | _to_decimal(c, t).isNotNull())
+    return cond
+
+
 def serving_cast(gold: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows that fit every serving type, cast; the overflow rejects)."""
-    rejects = overflow_rejects(gold)
-    keys = rejects.select(*GOLD_KEYS).distinct()
-    ok = gold.join(keys, GOLD_KEYS, "left_anti")
-    return serving_typed(ok), rejects
+    """(rows that fit every serving type, cast; the overflow rejects).
+
+    Overflow is a property of the row, so both outputs are row-level filters
+    of the same input: no join, no shuffle.
+    """
+    return serving_typed(gold.filter(fits_serving_types())), overflow_rejects(gold)
 
 
 def constraint_violations(serving: DataFrame) -> DataFrame:

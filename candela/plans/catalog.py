@@ -23,7 +23,7 @@ from candela.operators import ingest, marts, quality, serving
 from candela.operators.window_stats import window_stats
 from candela.plans import sqlparts as S
 from candela.schema import GOLD, GOLD_COLS, LINEAGE_COLS, SERVING_COLS, STAGING_COLS, TICK_COLS
-from candela.session import scratch_path
+from candela.session import scratch_path, shared_dir
 from candela.sources import fixtures as fx
 from candela.sources.tables import table
 
@@ -619,8 +619,13 @@ _UPSERT_SQL = f"""{_T('user')}, {_TGT}, {_SRC}
 
 
 def _serving_fixture(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """(target: loadable gold of the first days, source: later days, changed)."""
-    g = gold(spark, sf, "user")
+    """(target: loadable gold of the first days, source: later days, changed).
+
+    Gold is checkpointed once to the shared folder: the fixture derives both
+    the target and the source from it.
+    """
+    shared_dir(spark)
+    g = gold(spark, sf, "user").checkpoint(eager=True)
     tgt, _ = serving.serving_cast(g.filter(F.col("trade_date") <= F.lit(UPSERT_TARGET_LAST_DAY).cast("date")))
     changed = g.filter(F.col("trade_date") >= F.lit(UPSERT_SOURCE_FIRST_DAY).cast("date")).withColumns(
         {
