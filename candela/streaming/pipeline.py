@@ -168,6 +168,23 @@ def start_silver_dedup(
     return _writer(parsed, checkpoint, trigger, "append").foreachBatch(silver_merge_batch(silver_path)).start()
 
 
+def start_silver_dedup_within_watermark(
+    envelope: DataFrame, path: str, checkpoint: str, delay: str = WATERMARK, trigger: dict | None = None
+) -> StreamingQuery:
+    """Lighter DED2 variant: ``dropDuplicatesWithinWatermark`` on the dedup keys.
+
+    State is bounded by the delay, but a copy arriving more than ``delay``
+    after its original is kept, and the first copy *seen* wins (not the
+    earliest delivered) — use ``start_silver_dedup`` when exactness matters.
+    """
+    parsed = quality_filter(parse_ticks(decode_envelope(envelope)).drop("json_value")).filter(
+        F.col("event_time").isNotNull() & F.col("source").isNotNull()
+    )
+    deduped = parsed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(DEDUP_KEYS))
+    w = _writer(deduped.select(*TICK_COLS, *LINEAGE_COLS), checkpoint, trigger, "append")
+    return w.format("parquet").partitionBy("symbol").option("path", path).start()
+
+
 def await_all(spark: SparkSession, queries: Sequence[StreamingQuery], poll_seconds: float = 1.0) -> None:
     """Block until any of ``queries`` ends, then stop the others; raise if one failed.
 

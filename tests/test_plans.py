@@ -83,3 +83,22 @@ def test_serving_upsert_reads_only_touched_dates(spark):
     target = spark.read.parquet(path)
     current = target.join(src.select("trade_date").distinct(), "trade_date", "left_semi")
     assert "dynamicpruningexpression(trade_date" in _plan(current)
+
+
+def test_tick_level_aggregates_combine_map_side(spark):
+    """Hot keys: every tick-level aggregate has a partial (map-side) stage, so a
+    symbol-day or window holding a third of all ticks reaches the shuffle as one
+    row per map task."""
+    from candela.operators.window_stats import window_stats
+
+    t = ticks(spark, SF)
+    assert "partial_min_by" in _plan(G.daily_ohlcv(t))
+    assert "partial_avg" in _plan(window_stats(t))
+
+
+def test_partitioned_write_uses_rebalance(spark):
+    path = scratch_path(spark, "rebalance")
+    df = gold(spark, SF)
+    write_partitioned(df, path)
+    plan = df.hint("rebalance", "symbol")._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan

@@ -112,3 +112,27 @@ def test_stream_silver_dedup_independent_of_batches(spark):
 
     assert got.count() == silver(spark, SF).count()
     assert quality.dedup(got).count() == got.count()
+
+
+def test_dedup_within_watermark_variant(spark):
+    env = fx.envelope_from_ticks(fx.redelivered_ticks(ticks(spark, SF)))
+    out = scratch_path(spark, "silver")
+    replay(spark, env, lambda s, ck: P.start_silver_dedup_within_watermark(s, out, ck, trigger=BOUNDED))
+    got = spark.read.parquet(out)
+    # copies arrive one minute after their original, inside the 5-minute delay: all dropped
+    assert got.groupBy("symbol", "event_time", "source").count().filter("count > 1").count() == 0
+
+
+def test_stream_job_cli_two_sinks(spark):
+    from candela.plans import jobs
+
+    landing = scratch_path(spark, "landing")
+    _envelope(spark).write.parquet(landing)
+    silver, stats, ck = scratch_path(spark, "silver"), scratch_path(spark, "stats"), scratch_path(spark, "ck")
+    args = jobs.parse_args(
+        ["stream", "--source-path", landing, "--output-path", silver, "--checkpoint-path", ck,
+         "--stats-path", stats, "--available-now"]
+    )
+    jobs.JOBS["stream"](spark, args)
+    assert spark.read.parquet(silver).count() > 0
+    assert spark.read.parquet(stats).count() > 0
