@@ -163,6 +163,20 @@ def _read_or_none(spark, path: str, fmt: str):
         raise
 
 
+def touched_partitions(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Target rows on the dates the source touches.
+
+    The date span of the source (a one-row aggregate) becomes a static
+    partition filter, so the scan lists and reads only that span whatever the
+    optimizer estimates; the semi join then keeps exactly the touched dates.
+    """
+    span = source.agg(F.min("trade_date").alias("lo"), F.max("trade_date").alias("hi")).first()
+    if span is None or span.lo is None:
+        return target.limit(0)
+    ranged = target.filter(F.col("trade_date").between(F.lit(span.lo), F.lit(span.hi)))
+    return ranged.join(source.select("trade_date").distinct(), "trade_date", "left_semi")
+
+
 def upsert_table(
     source: DataFrame,
     table_path: str,
@@ -173,7 +187,7 @@ def upsert_table(
     """Keyed upsert into a serving table stored partitioned by trade_date.
 
     Default path: only partitions (dates) present in ``source`` are read — a
-    semi join on the partition column, pruned at run time — merged, staged and
+    static partition filter on their span plus a semi join — merged, staged and
     swapped in with a dynamic partition overwrite; other partitions are left
     untouched. With ``delete_date`` (the pre-copy delete of one day) a
     partition may become empty, which a dynamic overwrite cannot express, so
@@ -190,7 +204,7 @@ def upsert_table(
     elif delete_date is not None:
         merged = upsert(delete_day(target, delete_date), src)
     else:
-        current = target.join(src.select("trade_date").distinct(), "trade_date", "left_semi")
+        current = touched_partitions(target, src)
         merged = upsert(current, src)
     cols = [*SERVING_COLS, "loaded_at"]
     merged.select(*cols).write.format(fmt).mode("overwrite").partitionBy("trade_date").save(staging_path)

@@ -22,7 +22,7 @@ from candela.operators import indicators as I
 from candela.operators import ingest, marts, quality, serving
 from candela.operators.window_stats import window_stats
 from candela.plans import sqlparts as S
-from candela.schema import GOLD, GOLD_COLS, LINEAGE_COLS, SERVING_COLS, STAGING_COLS, TICK_COLS
+from candela.schema import GOLD, GOLD_COLS, LINEAGE_COLS, SERVING_COLS, TICK_COLS
 from candela.session import scratch_path, shared_dir
 from candela.sources import fixtures as fx
 from candela.sources.tables import table

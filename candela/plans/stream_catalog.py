@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from candela.plans import sqlparts as S
 from candela.plans.catalog import _SILVER, _TICKS, canon, query, ticks, window_stats_sql
-from candela.schema import BRONZE_COLS, TICK_COLS, WINDOW_STATS_COLS
+from candela.schema import BRONZE_COLS, WINDOW_STATS_COLS
 from candela.session import scratch_path
 from candela.sources import fixtures as fx
 from candela.streaming import pipeline as P
@@ -126,7 +126,3 @@ def q_stream_late_drop(spark, sf):
         reverse=True,
     )
     return canon(P.latest_window_stats(spark, out))
-
-
-# Unused import guard for linters: TICK_COLS documents the silver columns.
-_ = TICK_COLS

@@ -1,8 +1,5 @@
 """Lake sources and sinks: format argument, partition typing, schema replacement, registration."""
 
-import datetime as dt
-
-import pytest
 from pyspark.sql import functions as F
 
 from candela.operators import ingest

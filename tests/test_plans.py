@@ -72,7 +72,7 @@ def test_windows_share_sort_in_indicators(spark):
 
 
 def test_serving_upsert_reads_only_touched_dates(spark):
-    """The semi join on the partition column becomes dynamic partition pruning."""
+    """The source's date span is a static partition filter on the target scan."""
     from candela.operators import serving
 
     g = gold(spark, SF, "user")
@@ -81,8 +81,10 @@ def test_serving_upsert_reads_only_touched_dates(spark):
     ok.withColumn("loaded_at", F.current_timestamp()).write.partitionBy("trade_date").parquet(path)
     src = ok.filter(F.col("trade_date") >= "2024-01-29")
     target = spark.read.parquet(path)
-    current = target.join(src.select("trade_date").distinct(), "trade_date", "left_semi")
-    assert "dynamicpruningexpression(trade_date" in _plan(current)
+    current = serving.touched_partitions(target, src)
+    p = _plan(current)
+    assert "PartitionFilters: [isnotnull(trade_date" in p and "(trade_date#" in p and ">= 2024-01-29" in p
+    assert current.select("trade_date").distinct().count() == 2
 
 
 def test_tick_level_aggregates_combine_map_side(spark):
