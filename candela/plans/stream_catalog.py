@@ -17,7 +17,7 @@ from candela.schema import BRONZE_COLS, WINDOW_STATS_COLS
 from candela.session import scratch_path
 from candela.sources import fixtures as fx
 from candela.streaming import pipeline as P
-from candela.streaming.replay import replay
+from candela.streaming.replay import DAY_BOUNDS, replay
 
 BOUNDED = {"availableNow": True}
 _PARSED = f"{_TICKS}, parsed AS ({S.parsed_sql()})"
@@ -114,10 +114,18 @@ def q_stream_stats_json(spark, sf):
     return canon(latest.select(*_JSON_COLS))
 
 
-@query("stream_late_drop")
+_LATE_SQL = (
+    f"{_CLEAN}, first_delivered AS (SELECT * FROM clean WHERE kafka_timestamp >= TIMESTAMP '{DAY_BOUNDS[-1]}'), "
+    f"ws AS ({window_stats_sql('first_delivered')}) " + S.canon_select(WINDOW_STATS_COLS, "ws")
+)
+
+
+@query("stream_late_drop", _LATE_SQL)
 def q_stream_late_drop(spark, sf):
-    """Reversed delivery: whole chunks arrive after the watermark passed them and
-    are dropped by the stateful aggregation; returns the windows that survive."""
+    """Reversed delivery: the first chunk delivered (the latest days) moves the
+    watermark past everything delivered after it, so the stateful aggregation
+    drops those chunks whole; the surviving windows are exactly the stats of
+    the first delivered chunk (the replay's chunk boundaries are fixed)."""
     out = scratch_path(spark, "stats_log")
     replay(
         spark,

@@ -46,8 +46,8 @@ def duck():
     con.close()
 
 
-def test_every_query_has_an_oracle_or_is_declared_rows_only():
-    assert set(QUERIES) - set(ORACLES) == {"stream_late_drop"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLES)
 
 
 def test_entry_runs(spark):
