@@ -125,3 +125,19 @@ def symbol_detail(serving: DataFrame, symbol: str) -> DataFrame:
 
 def volatility_7d(gold: DataFrame) -> DataFrame:
     return with_volatility_7d(gold).select("symbol", "trade_date", "volatility_7d")
+
+
+def register_serving_views(gold: DataFrame, table: str = "gold_daily_metrics") -> None:
+    """Expose gold as ``table`` and the top-movers view as ``vw_top_movers_latest``
+    (Spark SQL temp views), for SQL consumers of the serving layer.
+
+    NULLs sort first on DESC, as in the serving database the view was written for.
+    """
+    gold.createOrReplaceTempView(table)
+    gold.sparkSession.sql(
+        f"""CREATE OR REPLACE TEMP VIEW vw_top_movers_latest AS
+        SELECT symbol, trade_date, close_price, pct_change, rsi_14
+        FROM {table}
+        WHERE trade_date = (SELECT MAX(trade_date) FROM {table})
+        ORDER BY ABS(pct_change) DESC NULLS FIRST, symbol"""
+    )

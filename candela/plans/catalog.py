@@ -441,6 +441,21 @@ def q_top_movers_latest_users(spark, sf):
     return canon(marts.top_movers_latest(gold(spark, sf, "user")))
 
 
+@query(
+    "top_movers_view_sql",
+    f"""{_T('user')} """
+    + S.canon_select(
+        marts.MOVER_COLS,
+        "gold",
+        "WHERE trade_date = (SELECT max(trade_date) FROM gold)",
+    ),
+)
+def q_top_movers_view_sql(spark, sf):
+    """The serving view queried through Spark SQL (scalar subquery in SQL)."""
+    marts.register_serving_views(gold(spark, sf, "user"))
+    return canon(spark.sql("SELECT * FROM vw_top_movers_latest"))
+
+
 @query("top_gainers_latest", _movers_sql("pct_change DESC NULLS LAST, symbol"))
 def q_top_gainers_latest(spark, sf):
     return canon(marts.top_gainers_latest(gold(spark, sf)))
