@@ -70,8 +70,10 @@ def silver(bronze_df: DataFrame, keep_lineage: bool = False) -> DataFrame:
     clean = quality_filter(bronze_df).filter(
         F.col("event_time").isNotNull() & F.col("source").isNotNull()
     )
-    out = dedup(clean)
     cols = TICK_COLS + (LINEAGE_COLS if keep_lineage else [])
     if "_ingested_at" in bronze_df.columns:
         cols = cols + ["_ingested_at"]
-    return out.select(*cols)
+    # Project before the dedup shuffle: the raw payload never leaves the map side.
+    lineage = [c for c in LINEAGE_COLS if c in bronze_df.columns]
+    narrow = clean.select(*dict.fromkeys(cols + lineage))
+    return dedup(narrow).select(*cols)
