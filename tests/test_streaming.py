@@ -136,3 +136,23 @@ def test_stream_job_cli_two_sinks(spark):
     jobs.JOBS["stream"](spark, args)
     assert spark.read.parquet(silver).count() > 0
     assert spark.read.parquet(stats).count() > 0
+
+
+def test_rocksdb_state_store_gives_same_result(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(key, None)
+    env = _envelope(spark)
+    log = scratch_path(spark, "stats")
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        replay(spark, env, lambda s, ck: P.start_window_stats(P.clean_ticks(s), ck, log, trigger=BOUNDED))
+    finally:
+        if old:
+            spark.conf.set(key, old)
+        else:
+            spark.conf.unset(key)
+    from candela.operators import ingest, quality
+    from candela.operators.window_stats import window_stats
+
+    batch = canon(window_stats(quality.quality_filter(ingest.parse_ticks(ingest.decode_envelope(env)))))
+    assert sorted(canon(P.latest_window_stats(spark, log)).collect()) == sorted(batch.collect())
