@@ -66,3 +66,29 @@ def test_market_overview_approx_close_to_exact(spark):
     exact = marts.market_overview(g).first().symbols
     approx = marts.market_overview(g, approx=True).first().symbols
     assert abs(exact - approx) <= max(1, exact * 0.05)
+
+
+def test_hot_symbol_write_is_split_over_tasks(spark):
+    """One symbol holding most rows: the rebalanced write splits it into several
+    files (tasks) instead of one giant task, and the small symbols are coalesced."""
+    import os
+
+    from candela.plans.catalog import ticks
+
+    # AQE splits a skewed reduce partition along map-task boundaries; a large
+    # input has thousands of map tasks, this small file one — spread it first.
+    t = ticks(spark, "/root/testdata/sf0.01").repartition(8).withColumn(
+        "symbol", F.when(F.col("offset") % 3 != 0, F.lit("HOT")).otherwise(F.col("symbol"))
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        path = scratch_path(spark, "hot")
+        write_partitioned(t, path)
+    finally:
+        spark.conf.set(key, old)
+    local = path.replace("file:", "")
+    hot = [f for f in os.listdir(f"{local}/symbol=HOT") if f.endswith(".parquet")]
+    assert len(hot) > 1
+    assert scan(spark, path).count() == t.count()
