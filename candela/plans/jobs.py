@@ -150,12 +150,24 @@ def parse_args(argv=None):
     p.add_argument("--run-date", default=None)
     p.add_argument("--root", default="./data")
     p.add_argument("--rocksdb", action="store_true", help="RocksDB state store (many symbols/windows)")
+    p.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        default=None,
+        help="initial shuffle partitions; AQE coalesces down to ~advisory size (e.g. input / 128 MB)",
+    )
+    p.add_argument("--max-partition-bytes", default=None, help="scan split size, e.g. 256m")
     return p.parse_args(argv)
 
 
 def main(argv=None) -> None:
     args = parse_args(argv)
     extra = {}
+    if args.shuffle_partitions:
+        extra["spark.sql.shuffle.partitions"] = str(args.shuffle_partitions)
+        extra["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(args.shuffle_partitions)
+    if args.max_partition_bytes:
+        extra["spark.sql.files.maxPartitionBytes"] = args.max_partition_bytes
     if args.rocksdb:
         extra["spark.sql.streaming.stateStore.providerClass"] = (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
