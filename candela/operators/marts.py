@@ -128,16 +128,17 @@ def volatility_7d(gold: DataFrame) -> DataFrame:
 
 
 def register_serving_views(gold: DataFrame, table: str = "gold_daily_metrics") -> None:
-    """Expose gold as ``table`` and the top-movers view as ``vw_top_movers_latest``
-    (Spark SQL temp views), for SQL consumers of the serving layer.
+    """Expose gold as ``table`` and the movers of its latest date as the SQL view
+    ``vw_top_movers_latest`` (Spark SQL temp views, re-evaluated on every read).
 
-    NULLs sort first on DESC, as in the serving database the view was written for.
+    The view's order (|pct_change| descending, NULLs first, then symbol) is a
+    range-partitioned distributed sort; ``top_movers_latest`` adds a rank column.
     """
     gold.createOrReplaceTempView(table)
     gold.sparkSession.sql(
         f"""CREATE OR REPLACE TEMP VIEW vw_top_movers_latest AS
+        WITH day AS (SELECT * FROM {table} WHERE trade_date = (SELECT max(trade_date) FROM {table}))
         SELECT symbol, trade_date, close_price, pct_change, rsi_14
-        FROM {table}
-        WHERE trade_date = (SELECT MAX(trade_date) FROM {table})
-        ORDER BY ABS(pct_change) DESC NULLS FIRST, symbol"""
+        FROM day
+        ORDER BY abs(pct_change) DESC NULLS FIRST, symbol"""
     )

@@ -444,11 +444,7 @@ def q_top_movers_latest_users(spark, sf):
 @query(
     "top_movers_view_sql",
     f"""{_T('user')} """
-    + S.canon_select(
-        marts.MOVER_COLS,
-        "gold",
-        "WHERE trade_date = (SELECT max(trade_date) FROM gold)",
-    ),
+    + S.canon_select(marts.MOVER_COLS, "gold", "WHERE trade_date = (SELECT max(trade_date) FROM gold)"),
 )
 def q_top_movers_view_sql(spark, sf):
     """The serving view queried through Spark SQL (scalar subquery in SQL)."""
