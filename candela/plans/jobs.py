@@ -24,7 +24,7 @@ from candela.operators import quality, serving
 from candela.schema import GOLD, GOLD_COLS, TICK_COLS
 from candela.session import build_session, ensure_utc
 from candela.sources.lake import scan, write_partitioned
-from candela.streaming import pipeline as P
+from candela.streaming import queries as P
 from candela.streaming.sources import file_source, kafka_source
 
 

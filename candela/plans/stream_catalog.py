@@ -16,7 +16,7 @@ from candela.plans.catalog import _SILVER, _TICKS, canon, query, ticks, window_s
 from candela.schema import BRONZE_COLS, WINDOW_STATS_COLS
 from candela.session import scratch_path
 from candela.sources import fixtures as fx
-from candela.streaming import pipeline as P
+from candela.streaming import queries as P
 from candela.streaming.replay import DAY_BOUNDS, replay
 
 BOUNDED = {"availableNow": True}

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from candela.plans.catalog import canon, ticks
 from candela.session import scratch_path
 from candela.sources import fixtures as fx
-from candela.streaming import pipeline as P
+from candela.streaming import queries as P
 from candela.streaming.replay import chunks, replay
 from candela.streaming.sources import file_source
 
