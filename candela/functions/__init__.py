@@ -1,0 +1 @@
+"""Column-expression building blocks (indicator formulas, JSON validation, rounding)."""

@@ -1,0 +1 @@
+"""Structured Streaming: envelope sources, watermarked queries and sinks, bounded replays."""
