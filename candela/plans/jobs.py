@@ -3,6 +3,7 @@
     python -m candela.plans.jobs stream  --kafka-broker HOST:9092 --output-path P --checkpoint-path C
     python -m candela.plans.jobs bronze  --source-path LANDING --output-path P --checkpoint-path C --available-now
     python -m candela.plans.jobs silver  --input-path BRONZE --output-path SILVER
+    python -m candela.plans.jobs silver_stream --source-path LANDING --output-path SILVER --checkpoint-path C
     python -m candela.plans.jobs gold    --input-path SILVER --output-path GOLD [--incremental-from DATE]
     python -m candela.plans.jobs serve   --input-path GOLD --serving-path T --rejects-path R --run-date D
     python -m candela.plans.jobs nightly --root ROOT --source-path LANDING --run-date D
@@ -68,6 +69,17 @@ def run_bronze(spark: SparkSession, args) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def run_silver_stream(spark: SparkSession, args) -> None:
+    """Silver as a stream: exact insert-only dedup merge of each micro-batch."""
+    parts = ("symbol", "event_date") if args.partition_by_date else ("symbol",)
+    q = P.start_silver_dedup(
+        _envelope_stream(spark, args), args.output_path, args.checkpoint_path, _trigger(args, 15), parts
+    )
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
 def run_silver(spark: SparkSession, args) -> None:
     if args.input_path.rstrip("/") == args.output_path.rstrip("/"):
         raise ValueError("silver must not overwrite the bronze path it reads")
@@ -124,6 +136,7 @@ JOBS = {
     "stream": run_stream,
     "bronze": run_bronze,
     "silver": run_silver,
+    "silver_stream": run_silver_stream,
     "gold": run_gold,
     "serve": run_serve,
     "nightly": run_nightly,
@@ -150,6 +163,7 @@ def parse_args(argv=None):
     p.add_argument("--run-date", default=None)
     p.add_argument("--root", default="./data")
     p.add_argument("--rocksdb", action="store_true", help="RocksDB state store (many symbols/windows)")
+    p.add_argument("--partition-by-date", action="store_true", help="silver_stream: partition by symbol and event_date")
     p.add_argument(
         "--shuffle-partitions",
         type=int,

@@ -123,31 +123,44 @@ def latest_window_stats(spark: SparkSession, path: str) -> DataFrame:
     return latest_by_key(log, keys, [c for c in WINDOW_STATS_COLS if c not in keys]).select(*WINDOW_STATS_COLS)
 
 
-def silver_merge_batch(silver_path: str, keys: Sequence[str] = DEDUP_KEYS):
+def stored_keys(
+    spark: SparkSession, silver_path: str, schema, lo, hi, keys: Sequence[str] = DEDUP_KEYS, partition_by=("symbol",)
+) -> DataFrame:
+    """Keys already in silver for the event-time span [lo, hi].
+
+    With ``event_date`` among the partition columns the span prunes whole
+    partitions; otherwise it skips row groups by their event_time statistics.
+    """
+    stored = spark.read.schema(schema).parquet(silver_path)
+    if "event_date" in partition_by:
+        stored = stored.filter(F.col("event_date").between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi))))
+    return stored.filter(F.col("event_time").between(F.lit(lo), F.lit(hi))).select(*keys)
+
+
+def silver_merge_batch(silver_path: str, keys: Sequence[str] = DEDUP_KEYS, partition_by: Sequence[str] = ("symbol",)):
     """foreachBatch body: insert-only merge of a micro-batch into silver.
 
     The batch is deduplicated (earliest delivery wins), then anti-joined with
-    silver rows already stored for the same symbols and event-time span, so a
-    redelivered copy arriving in a later batch is dropped, and a retried batch
-    inserts nothing twice.
+    the silver keys of the batch's event-time span, so a redelivered copy
+    arriving in a later batch is dropped, and a retried batch inserts nothing
+    twice. ``partition_by`` may include ``event_date`` (derived from
+    event_time) so that lookup prunes partitions on a large table.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         clean = quality_filter(batch).filter(F.col("event_time").isNotNull() & F.col("source").isNotNull())
-        fresh = dedup(clean.select(*TICK_COLS, *LINEAGE_COLS)).persist()
+        fresh = dedup(clean.select(*TICK_COLS, *LINEAGE_COLS))
+        if "event_date" in partition_by:
+            fresh = fresh.withColumn("event_date", F.to_date("event_time"))
+        fresh = fresh.persist()
         try:
             span = fresh.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
             if span is None or span.lo is None:
                 return
-            existing = (
-                spark.read.schema(fresh.schema)
-                .parquet(silver_path)
-                .filter(F.col("event_time").between(span.lo, span.hi))
-                .select(*keys)
-            )
+            existing = stored_keys(spark, silver_path, fresh.schema, span.lo, span.hi, keys, partition_by)
             new_rows = fresh.join(existing, list(keys), "left_anti")
-            new_rows.write.mode("append").partitionBy("symbol").parquet(silver_path)
+            new_rows.write.mode("append").partitionBy(*partition_by).parquet(silver_path)
         finally:
             fresh.unpersist()
 
@@ -160,12 +173,20 @@ def init_table(spark: SparkSession, path: str, schema) -> None:
 
 
 def start_silver_dedup(
-    bronze_stream: DataFrame, silver_path: str, checkpoint: str, trigger: dict | None = None
+    bronze_stream: DataFrame,
+    silver_path: str,
+    checkpoint: str,
+    trigger: dict | None = None,
+    partition_by: Sequence[str] = ("symbol",),
 ) -> StreamingQuery:
     spark = bronze_stream.sparkSession
     parsed = parse_ticks(decode_envelope(bronze_stream)).drop("json_value")
-    init_table(spark, silver_path, parsed.select(*TICK_COLS, *LINEAGE_COLS).schema)
-    return _writer(parsed, checkpoint, trigger, "append").foreachBatch(silver_merge_batch(silver_path)).start()
+    schema = parsed.select(*TICK_COLS, *LINEAGE_COLS)
+    if "event_date" in partition_by:
+        schema = schema.withColumn("event_date", F.to_date("event_time"))
+    init_table(spark, silver_path, schema.schema)
+    merge = silver_merge_batch(silver_path, partition_by=partition_by)
+    return _writer(parsed, checkpoint, trigger, "append").foreachBatch(merge).start()
 
 
 def start_silver_dedup_within_watermark(

@@ -72,3 +72,17 @@ def test_gold_incremental_job_equals_full(spark, landing):
     jobs.JOBS["gold"](spark, args)
     inc = spark.read.parquet(old)
     assert _rows(inc.select(*full.columns)) == _rows(full)
+
+
+def test_silver_stream_job(spark, landing):
+    from candela.plans.catalog import silver
+
+    out, ck = scratch_path(spark, "silver"), scratch_path(spark, "ck")
+    args = jobs.parse_args(
+        ["silver_stream", "--source-path", landing, "--output-path", out, "--checkpoint-path", ck,
+         "--available-now", "--partition-by-date"]
+    )
+    jobs.JOBS["silver_stream"](spark, args)
+    got = spark.read.parquet(out)
+    assert "event_date" in got.columns
+    assert got.count() == silver(spark, SF).count()

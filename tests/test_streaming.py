@@ -156,3 +156,24 @@ def test_rocksdb_state_store_gives_same_result(spark):
 
     batch = canon(window_stats(quality.quality_filter(ingest.parse_ticks(ingest.decode_envelope(env)))))
     assert sorted(canon(P.latest_window_stats(spark, log)).collect()) == sorted(batch.collect())
+
+
+def test_stream_dedup_date_partitioned_prunes_and_matches(spark):
+    import datetime as dt
+
+    env = fx.envelope_from_ticks(fx.redelivered_ticks(ticks(spark, SF)))
+    a, b = scratch_path(spark, "silver_sym"), scratch_path(spark, "silver_date")
+    replay(spark, env, lambda s, ck: P.start_silver_dedup(s, a, ck, trigger=BOUNDED))
+    replay(
+        spark,
+        env,
+        lambda s, ck: P.start_silver_dedup(s, b, ck, trigger=BOUNDED, partition_by=("symbol", "event_date")),
+    )
+    cols = ["symbol", "event_time", "source", "offset"]
+    assert sorted(spark.read.parquet(a).select(*cols).collect()) == sorted(spark.read.parquet(b).select(*cols).collect())
+    schema = spark.read.parquet(b).schema
+    keys = P.stored_keys(
+        spark, b, schema, dt.datetime(2024, 1, 3), dt.datetime(2024, 1, 4), partition_by=("symbol", "event_date")
+    )
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
