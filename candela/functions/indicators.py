@@ -22,11 +22,15 @@ def by_symbol(order: str = "trade_date", partition: str = "symbol") -> WindowSpe
 
 def trailing_rows(n: int, order: str = "trade_date", partition: str = "symbol") -> WindowSpec:
     """The current row and the n-1 rows before it (partial frames at the start)."""
+    if n < 1:
+        raise ValueError(f"a trailing frame needs at least one row, got {n}")
     return by_symbol(order, partition).rowsBetween(-(n - 1), Window.currentRow)
 
 
 def trailing_days(days: int, date_col: str = "trade_date", partition: str = "symbol") -> WindowSpec:
     """Calendar range: the current date and the days-1 dates before it."""
+    if days < 1:
+        raise ValueError(f"a calendar range needs at least one day, got {days}")
     return (
         Window.partitionBy(partition)
         .orderBy(F.unix_date(F.col(date_col)))

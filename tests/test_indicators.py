@@ -120,3 +120,10 @@ def test_volatility_7d_is_calendar_range(spark):
     g = spark.createDataFrame(rows, "symbol string, trade_date date, volatility double")
     got = {r.trade_date.day: r.volatility_7d for r in I.with_volatility_7d(g).collect()}
     assert got == {1: 1.0, 2: 2.0, 9: 5.0, 10: 6.0}  # day 9 does not see day 2 (7 days back)
+
+
+@pytest.mark.parametrize("fn", [lambda d: I.with_rsi_strict(d, 0), lambda d: G.with_rsi(d, period=0),
+                                lambda d: I.with_volatility_rolling(d, 0), lambda d: I.with_volatility_7d(d.withColumn("volatility", F.lit(1.0)), 0)])
+def test_non_positive_windows_are_rejected(closes, fn):
+    with pytest.raises(ValueError):
+        fn(closes([1, 2, 3]))
