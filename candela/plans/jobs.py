@@ -105,11 +105,13 @@ def run_gold(spark: SparkSession, args) -> None:
 
 def run_serve(spark: SparkSession, args) -> None:
     """Gold → serving: bounded types (overflow rows to rejects), then the keyed
-    upsert; with --run-date the previous day is deleted first."""
+    upsert; with --run-date the previous day is deleted first. The rejects
+    table holds the rejects of the latest load (overwritten, so re-runs do not
+    pile up copies)."""
     gold_df = scan(spark, args.input_path, args.storage_format, GOLD)
     ok, rejects = serving.serving_cast(gold_df)
     if args.rejects_path:
-        rejects.write.mode("append").parquet(args.rejects_path)
+        rejects.write.mode("overwrite").parquet(args.rejects_path)
     delete_date = None
     if args.run_date:
         delete_date = (dt.date.fromisoformat(args.run_date) - dt.timedelta(days=1)).isoformat()

@@ -39,9 +39,11 @@ def test_nightly_chain_and_rerun(spark, landing):
     # a second nightly run changes nothing (idempotent serving load)
     cols = [c for c in serving_t.columns if c != "loaded_at"]
     before = sorted(serving_t.select(*cols).collect())
+    n_rejects = spark.read.parquet(f"{root}/serving_rejects").count()
     jobs.JOBS["nightly"](spark, jobs.parse_args(argv))
     again = spark.read.parquet(f"{root}/serving")
     assert sorted(again.select(*cols).collect()) == before
+    assert spark.read.parquet(f"{root}/serving_rejects").count() == n_rejects
 
 
 def test_serve_with_run_date_deletes_previous_day(spark, landing):
