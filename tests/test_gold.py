@@ -76,3 +76,26 @@ def test_incremental_equals_full(spark):
     inc = G.gold_incremental(prev, t, t.filter(is_new))
     full = G.gold_daily(t)
     assert _rows(inc) == _rows(full)
+
+
+def test_incremental_new_symbol_and_late_tick(spark):
+    rows_old = [
+        ("A", dt_(1, 10), "s", 10.0, 1), ("A", dt_(2, 10), "s", 11.0, 1), ("A", dt_(3, 10), "s", 9.0, 1),
+    ]
+    rows_new = [
+        ("A", dt_(2, 23), "s", 15.0, 1),  # late tick: changes A's day-2 close and every later RSI
+        ("A", dt_(4, 10), "s", 12.0, 1),
+        ("B", dt_(4, 9), "s", 5.0, 2),  # a symbol never seen before
+        ("B", dt_(5, 9), "s", 6.0, 2),
+    ]
+    schema = "symbol string, event_time timestamp, source string, price double, volume bigint"
+    old = spark.createDataFrame(rows_old, schema)
+    new = spark.createDataFrame(rows_new, schema)
+    inc = G.gold_incremental(G.gold_daily(old), old.unionByName(new), new)
+    assert _rows(inc) == _rows(G.gold_daily(old.unionByName(new)))
+
+
+def dt_(day, hour):
+    import datetime as dt
+
+    return dt.datetime(2024, 1, day, hour)
