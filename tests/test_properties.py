@@ -76,3 +76,54 @@ def test_pct_change_matches_spec(spark, ps):
     for i, r in enumerate(rows):
         want = None if i == 0 or ps[i - 1] == 0 else (ps[i] - ps[i - 1]) / ps[i - 1] * 100
         assert _close(r.pct_change, want)
+
+
+# ---- JSON contract: Spark validation vs a direct restatement of the schema rules
+from candela.schema import FIELD_JSON_TYPES, REQUIRED_FIELDS  # noqa: E402
+
+_values = st.one_of(
+    st.text(max_size=5),
+    st.integers(min_value=-(10**6), max_value=10**6),
+    st.floats(allow_nan=False, allow_infinity=False, width=32),
+    st.booleans(),
+    st.none(),
+    st.lists(st.integers(), max_size=2),
+)
+_ticks = st.dictionaries(
+    st.sampled_from(sorted(FIELD_JSON_TYPES) + ["extra"]), _values, max_size=len(FIELD_JSON_TYPES) + 1
+)
+
+
+def _json_type(v):
+    if isinstance(v, bool):
+        return "boolean"
+    if isinstance(v, (int, float)):
+        return "number"
+    if isinstance(v, str):
+        return "string"
+    if v is None:
+        return "null"
+    return "array"
+
+
+def _expected_errors(obj):
+    errs = []
+    for key, want in FIELD_JSON_TYPES.items():
+        if key in REQUIRED_FIELDS and key not in obj:
+            errs.append(f"missing:{key}")
+        if key in obj and _json_type(obj[key]) != want:
+            errs.append(f"type:{key}")
+    return errs
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(batch=st.lists(_ticks, min_size=1, max_size=25))
+def test_validation_matches_schema_rules(spark, batch):
+    import json
+
+    from candela.operators import ingest
+
+    df = spark.createDataFrame([(json.dumps(o), i) for i, o in enumerate(batch)], "json_value string, offset long")
+    got = {r.offset: r.errors for r in ingest.validate(df).collect()}
+    for i, o in enumerate(batch):
+        assert got[i] == _expected_errors(o), (o, got[i])
