@@ -88,3 +88,19 @@ def test_silver_stream_job(spark, landing):
     got = spark.read.parquet(out)
     assert "event_date" in got.columns
     assert got.count() == silver(spark, SF).count()
+
+
+def test_cli_entry_point_runs_in_its_own_process(spark, landing):
+    """`python -m candela.plans.jobs` builds its own session and runs a job."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    root = scratch_path(spark, "lake")
+    env = dict(os.environ, PYTHONPATH=repo + os.pathsep + os.environ.get("PYTHONPATH", ""))
+    cmd = [sys.executable, "-m", "candela.plans.jobs", "bronze", "--source-path", landing,
+           "--output-path", f"{root}/bronze", "--checkpoint-path", f"{root}/_ck", "--available-now"]
+    done = subprocess.run(cmd, cwd=repo, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert spark.read.parquet(f"{root}/bronze").count() == spark.read.parquet(landing).count()
