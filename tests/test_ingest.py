@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from candela.operators import ingest
 
 VALID = {
-    "symbol": "AAPL", "price": 189.32, "open": 188.00, "day_high": 190.10, "day_low": 187.50,
-    "prev_close": 188.50, "volume": 1234567, "currency": "USD",
-    "event_time": "2026-06-19T14:30:00+00:00", "source": "yfinance",
+    "symbol": "ACME", "price": 42.17, "open": 41.50, "day_high": 42.80, "day_low": 41.10,
+    "prev_close": 41.75, "volume": 98765, "currency": "USD",
+    "event_time": "2024-03-04T10:15:00+00:00", "source": "feed-a",
 }
 
 
@@ -30,7 +30,7 @@ def test_missing_price_fails(spark):
 
 
 def test_string_price_fails(spark):
-    t = dict(VALID, price="189.32")
+    t = dict(VALID, price="42.17")
     assert _errors(spark, [json.dumps(t)]) == [["type:price"]]
 
 
@@ -56,16 +56,16 @@ def test_parse_outcomes(spark):
         json.dumps(dict(VALID, price="1.0")),
         json.dumps(dict(VALID, volume=1.5)),
         json.dumps(dict(VALID, event_time="notatime")),
-        json.dumps(dict(VALID, event_time="2026-06-19T16:30:00+02:00")),
+        json.dumps(dict(VALID, event_time="2024-03-04T12:15:00+02:00")),
         "not json",
         json.dumps({"symbol": "A"}),
     ]
     df = spark.createDataFrame([(r, i) for i, r in enumerate(rows)], "json_value string, offset long")
     out = {r.offset: r for r in ingest.parse_ticks(df).collect()}
-    assert out[0].price is None and out[0].symbol == "AAPL"
-    assert out[1].volume is None and out[1].price == pytest.approx(189.32)
-    assert out[2].event_time is None and out[2].source == "yfinance"
-    assert out[3].event_time.isoformat().startswith("2026-06-19T14:30")  # converted to UTC
+    assert out[0].price is None and out[0].symbol == "ACME"
+    assert out[1].volume is None and out[1].price == pytest.approx(42.17)
+    assert out[2].event_time is None and out[2].source == "feed-a"
+    assert out[3].event_time.isoformat().startswith("2024-03-04T10:15")  # converted to UTC
     assert out[4].symbol is None and out[4].price is None
     assert out[5].symbol == "A" and out[5].price is None
 
