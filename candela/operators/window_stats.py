@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candela.schema import WINDOW_STATS_COLS
 
+# Fixed values that must equal the reference: window length and watermark delay.
 WINDOW = "1 minute"
 WATERMARK = "5 minutes"
 

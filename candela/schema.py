@@ -96,7 +96,8 @@ GOLD = StructType(
 GOLD_COLS = [f.name for f in GOLD.fields]
 GOLD_KEYS = ["symbol", "trade_date"]
 
-# Serving table: gold without prev_close, fixed column order, bounded types.
+# Fixed values that must equal the reference: the serving table's columns in
+# their order (gold without prev_close), its decimal types and text length limits.
 SERVING_COLS = [
     "symbol",
     "trade_date",

@@ -20,6 +20,7 @@ from candela.operators.quality import dedup, quality_filter
 from candela.operators.window_stats import WATERMARK, stats_json, window_stats
 from candela.schema import DEDUP_KEYS, LINEAGE_COLS, TICK_COLS, TOPIC_PROCESSED, WINDOW_STATS_COLS
 
+# Fixed values that must equal the reference: default trigger intervals.
 SILVER_STREAM_TRIGGER = {"processingTime": "15 seconds"}
 BRONZE_STREAM_TRIGGER = {"processingTime": "30 seconds"}
 STREAM_SILVER_COLS = TICK_COLS + ["kafka_timestamp"]
