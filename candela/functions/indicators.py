@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
 
-# Fixed values of the dashboard's RSI banding.
+# Fixed values that must equal the reference: RSI banding thresholds and the default RSI period.
 RSI_OVERBOUGHT = 70
 RSI_OVERSOLD = 30
 RSI_PERIOD = 14
