@@ -49,8 +49,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for materialised intermediates.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set — local runs and tests — a private folder is created and
-    registered as the checkpoint dir, so later ``checkpoint()`` calls agree.
+    when neither is set on a local master — local runs and tests — a private
+    folder is created and registered as the checkpoint dir, so later
+    ``checkpoint()`` calls agree; on a cluster that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -59,6 +60,11 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # pragma: no cover - Spark Connect has no context
             base = None
     if not base:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by the cluster (intermediates and checkpoints go there)"
+            )
         base = tempfile.mkdtemp(prefix="candela-")
         try:
             spark.sparkContext.setCheckpointDir(base)
