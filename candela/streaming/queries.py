@@ -118,8 +118,16 @@ def latest_by_key(log: DataFrame, keys: Sequence[str], value_cols: Sequence[str]
     return picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
-def latest_window_stats(spark: SparkSession, path: str) -> DataFrame:
+def latest_window_stats(spark: SparkSession, path: str, min_batch_id: int | None = None) -> DataFrame:
+    """Current stats per (symbol, window) from the update log.
+
+    Windows behind the watermark never change again, so a consumer that has
+    folded earlier batches passes ``min_batch_id``; the filter on the
+    ``batch_id`` partition column prunes the older folders.
+    """
     log = spark.read.parquet(path)
+    if min_batch_id is not None:
+        log = log.filter(F.col("batch_id") >= min_batch_id)
     keys = ["symbol", "window_start"]
     return latest_by_key(log, keys, [c for c in WINDOW_STATS_COLS if c not in keys]).select(*WINDOW_STATS_COLS)
 

@@ -177,3 +177,15 @@ def test_stream_dedup_date_partitioned_prunes_and_matches(spark):
     )
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(event_date" in plan
+
+
+def test_update_log_reader_prunes_old_batches(spark):
+    env = _envelope(spark)
+    log = scratch_path(spark, "stats")
+    replay(spark, env, lambda s, ck: P.start_window_stats(P.clean_ticks(s), ck, log, trigger=BOUNDED))
+    recent = P.latest_window_stats(spark, log, min_batch_id=6)
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    # batches 6-7 hold the last chunk (days 24+) only
+    assert recent.filter(F.col("window_start") < "2024-01-24").count() == 0
+    assert 0 < recent.count() < P.latest_window_stats(spark, log).count()
