@@ -24,7 +24,7 @@ from candela.operators import gold as G
 from candela.operators import quality, serving
 from candela.schema import GOLD, GOLD_COLS, TICK_COLS
 from candela.session import build_session, ensure_utc
-from candela.sources.lake import scan, write_partitioned
+from candela.sources.lake import scan, write_partitioned, write_partitions_dynamic
 from candela.streaming import queries as P
 from candela.streaming.sources import file_source, kafka_source
 
@@ -98,9 +98,16 @@ def run_gold(spark: SparkSession, args) -> None:
     marker = "_ingested_at" if "_ingested_at" in silver_all.columns else "event_time"
     new_ticks = silver_all.filter(F.col(marker) >= F.lit(args.incremental_from).cast("timestamp")).select(*TICK_COLS)
     prev = scan(spark, args.output_path, args.storage_format, GOLD).select(*GOLD_COLS)
+    # Only symbols with new ticks can change: stage their rows, then replace just
+    # those symbol partitions (dynamic overwrite); the rest of gold is untouched.
+    touched = new_ticks.select("symbol").distinct()
+    changed = G.gold_incremental(prev, ticks, new_ticks).join(touched, "symbol", "left_semi")
     staging = f"{args.output_path.rstrip('/')}_staging_{uuid.uuid4().hex[:8]}"
-    write_partitioned(G.gold_incremental(prev, ticks, new_ticks), staging, fmt=args.storage_format)
-    write_partitioned(scan(spark, staging, args.storage_format, GOLD), args.output_path, fmt=args.storage_format)
+    write_partitioned(changed, staging, fmt=args.storage_format)
+    write_partitions_dynamic(
+        scan(spark, staging, args.storage_format, GOLD).select(*GOLD_COLS), args.output_path, ["symbol"],
+        args.storage_format,
+    )
 
 
 def run_serve(spark: SparkSession, args) -> None:
