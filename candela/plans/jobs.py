@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 from candela.operators import gold as G
 from candela.operators import quality, serving
 from candela.schema import GOLD, GOLD_COLS, TICK_COLS
-from candela.session import build_session, ensure_utc
+from candela.session import build_session, ensure_utc, scratch_path
 from candela.sources.lake import scan, write_partitioned, write_partitions_dynamic
 from candela.streaming import queries as P
 from candela.streaming.sources import file_source, kafka_source
@@ -102,7 +101,7 @@ def run_gold(spark: SparkSession, args) -> None:
     # those symbol partitions (dynamic overwrite); the rest of gold is untouched.
     touched = new_ticks.select("symbol").distinct()
     changed = G.gold_incremental(prev, ticks, new_ticks).join(touched, "symbol", "left_semi")
-    staging = f"{args.output_path.rstrip('/')}_staging_{uuid.uuid4().hex[:8]}"
+    staging = scratch_path(spark, "gold_staging")
     write_partitioned(changed, staging, fmt=args.storage_format)
     write_partitions_dynamic(
         scan(spark, staging, args.storage_format, GOLD).select(*GOLD_COLS), args.output_path, ["symbol"],
@@ -122,7 +121,7 @@ def run_serve(spark: SparkSession, args) -> None:
     delete_date = None
     if args.run_date:
         delete_date = (dt.date.fromisoformat(args.run_date) - dt.timedelta(days=1)).isoformat()
-    staging = f"{args.serving_path.rstrip('/')}_staging_{uuid.uuid4().hex[:8]}"
+    staging = scratch_path(spark, "serving_staging")
     serving.upsert_table(ok, args.serving_path, staging, args.storage_format, delete_date)
 
 
