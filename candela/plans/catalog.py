@@ -650,9 +650,11 @@ def _serving_fixture(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 def _materialise(df: DataFrame, name: str) -> DataFrame:
     """Write to a fresh shared location (partitioned by trade_date) and read back."""
+    from candela.sources.lake import write_partitioned
+
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.mode("overwrite").partitionBy("trade_date").parquet(path)
+    write_partitioned(df, path, ["trade_date"])
     return spark.read.parquet(path)
 
 
