@@ -27,7 +27,38 @@ def with_trade_date(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("trade_date", F.to_date("event_time"))
 
 
-def daily_ohlcv(ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER) -> DataFrame:
+# Largest source dictionary the packed ordering broadcasts (a proven bound).
+MAX_PACKED_SOURCES = 100_000
+
+
+def with_packed_order(ticks: DataFrame, max_sources: int = MAX_PACKED_SOURCES) -> DataFrame | None:
+    """Add ``_tick_order`` (LONG) ordering ticks of one symbol-day exactly like
+    (event_time, source), or return None when there are too many sources.
+
+    key = (micro-of-day + 1) * 2^bits + dense rank of source (NULL source → 0,
+    NULL time → 0, the struct ordering's NULLs-first). The source dictionary is
+    counted first (one number to the driver); only when it is within
+    ``max_sources`` is it ranked and broadcast — beyond that the caller keeps
+    the struct ordering. A primitive key lets the daily aggregate hash.
+    """
+    sources = ticks.select("source").where(F.col("source").isNotNull()).distinct()
+    n = sources.count()
+    if n > max_sources:
+        return None
+    bits = max(1, n.bit_length())
+    ranked = sources.withColumn("_src_rank", F.dense_rank().over(Window.orderBy("source")))  # ≤ max_sources rows
+    day_start = F.unix_micros(F.to_date("event_time").cast("timestamp"))
+    micros = F.coalesce(F.unix_micros("event_time") - day_start + 1, F.lit(0))
+    return (
+        ticks.join(F.broadcast(ranked), "source", "left")
+        .withColumn("_tick_order", micros * F.lit(1 << bits) + F.coalesce("_src_rank", F.lit(0)))
+        .drop("_src_rank")
+    )
+
+
+def daily_ohlcv(
+    ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER, packed: bool = False
+) -> DataFrame:
     """One row per (symbol, trade_date).
 
     open/close are the prices of the first/last tick by ``order_by`` (the
@@ -35,7 +66,13 @@ def daily_ohlcv(ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER)
     volatility is the sample standard deviation (NULL for a single tick).
     """
     # A single primitive ordering column keeps the aggregation buffer fixed-width
-    # (HashAggregate); a struct tie-break needs SortAggregate.
+    # (HashAggregate); a struct tie-break needs SortAggregate. ``packed`` turns
+    # the default (event_time, source) order into one exact LONG key when the
+    # source dictionary is small enough.
+    if packed and tuple(order_by) == DEFAULT_TICK_ORDER:
+        keyed = with_packed_order(ticks)
+        if keyed is not None:
+            ticks, order_by = keyed, ("_tick_order",)
     order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
     return (
         with_trade_date(ticks)
@@ -93,9 +130,11 @@ def gold_from_daily(daily: DataFrame, period: int = ind.RSI_PERIOD) -> DataFrame
     return with_rsi(with_pct_change(with_prev_close(daily)), period=period).select(*GOLD_COLS)
 
 
-def gold_daily(ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER) -> DataFrame:
+def gold_daily(
+    ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER, packed: bool = False
+) -> DataFrame:
     """Full gold assembly: daily OHLCV → prev_close → pct_change → rsi_14."""
-    return gold_from_daily(daily_ohlcv(ticks, order_by))
+    return gold_from_daily(daily_ohlcv(ticks, order_by, packed))
 
 
 # Rows of history a recomputed row can read: lag needs 1, the 14-row gain/loss

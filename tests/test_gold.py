@@ -99,3 +99,31 @@ def dt_(day, hour):
     import datetime as dt
 
     return dt.datetime(2024, 1, day, hour)
+
+
+def test_packed_order_equals_struct_order_with_ties(spark):
+    import datetime as dt
+
+    rows = [
+        ("A", dt.datetime(2024, 1, 1, 10, 0), "s1", 3.0, 1),
+        ("A", dt.datetime(2024, 1, 1, 9, 0), "s2", 5.0, 1),
+        ("A", dt.datetime(2024, 1, 1, 9, 0), "s1", 4.0, 1),
+        ("A", dt.datetime(2024, 1, 1, 11, 0), "s0", 6.0, 1),
+        ("A", dt.datetime(2024, 1, 1, 11, 0), "s9", 7.0, 1),
+        ("B", dt.datetime(2024, 1, 2, 0, 0), None, 1.0, 1),
+        ("B", dt.datetime(2024, 1, 2, 0, 0), "a", 2.0, 1),
+    ]
+    t = spark.createDataFrame(rows, "symbol string, event_time timestamp, source string, price double, volume bigint")
+    packed = G.daily_ohlcv(t, packed=True)
+    assert "HashAggregate" in packed._jdf.queryExecution().executedPlan().toString()
+    assert _rows(packed) == _rows(G.daily_ohlcv(t))
+    r = {x.symbol: x for x in packed.collect()}
+    assert (r["A"].open_price, r["A"].close_price) == (4.0, 7.0)
+    assert (r["B"].open_price, r["B"].close_price) == (1.0, 2.0)  # NULL source sorts first
+
+
+def test_packed_order_falls_back_beyond_the_bound(spark):
+    t = ticks(spark, SF)
+    assert G.with_packed_order(t, max_sources=1) is None  # 3 sources > 1: keep the struct ordering
+    assert _rows(G.daily_ohlcv(t, packed=True)) == _rows(G.daily_ohlcv(t))
+    assert _rows(G.gold_daily(ticks(spark, SF, "user"), packed=True)) == _rows(G.gold_daily(ticks(spark, SF, "user")))
