@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from candela.functions import indicators as ind
 from candela.schema import GOLD_COLS
+from candela.session import shared_dir
 
 # Within a (symbol, day) the silver contract makes (event_time, source) unique,
 # so the first/last tick is well defined without lineage columns.
@@ -41,7 +42,10 @@ def with_packed_order(ticks: DataFrame, max_sources: int = MAX_PACKED_SOURCES) -
     ``max_sources`` is it ranked and broadcast — beyond that the caller keeps
     the struct ordering. A primitive key lets the daily aggregate hash.
     """
-    sources = ticks.select("source").where(F.col("source").isNotNull()).distinct()
+    # Materialised once in the shared checkpoint folder: counted here, then read
+    # by the query instead of rescanning the ticks.
+    shared_dir(ticks.sparkSession)
+    sources = ticks.select("source").where(F.col("source").isNotNull()).distinct().checkpoint(eager=True)
     n = sources.count()
     if n > max_sources:
         return None
