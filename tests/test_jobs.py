@@ -130,3 +130,12 @@ def test_gold_incremental_job_rewrites_only_touched_symbols(spark, landing):
     assert sorted(canon(spark.read.parquet(gold_path)).collect()) == full
     assert after["symbol=click"] != before["symbol=click"]
     assert all(after[d] == before[d] for d in before if d != "symbol=click")
+
+
+def test_gold_job_packed_order_matches_default(spark, landing):
+    root = scratch_path(spark, "lake")
+    jobs.JOBS["nightly"](spark, jobs.parse_args(["nightly", "--root", root, "--source-path", landing]))
+    out = scratch_path(spark, "gold_packed")
+    jobs.JOBS["gold"](spark, jobs.parse_args(["gold", "--input-path", f"{root}/silver", "--output-path", out, "--packed-order"]))
+    base = spark.read.parquet(f"{root}/gold")
+    assert sorted(canon(spark.read.parquet(out).select(*base.columns)).collect()) == sorted(canon(base).collect())
