@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from candela.session import shared_dir
 
+# Largest input ranked in a single task; anything bigger is ranked by ranges.
+SINGLE_TASK_LIMIT = 1_000_000
+
 
 def with_position(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
     """1..N position of each row in ``order`` (ties must be broken by ``order``).
@@ -22,11 +25,16 @@ def with_position(df: DataFrame, order: Sequence[Column], out: str = "rank") ->
     The input is checkpointed to the shared checkpoint folder first: range
     partitioning samples its input in a separate job and the sizes branch reads
     it again, so without the checkpoint the whole upstream plan would run
-    several times.
+    several times. Inputs of at most ``SINGLE_TASK_LIMIT`` rows (counted on the
+    checkpoint) are numbered in one task instead.
     """
     spark = df.sparkSession
     shared_dir(spark)  # make sure a checkpoint folder is set (tests/local runs)
     base = df.checkpoint(eager=True)
+    if base.count() <= SINGLE_TASK_LIMIT:
+        # Proven small (counted on the materialised input): one sorted task is cheaper
+        # than sampling, numbering and offsetting ranges.
+        return base.withColumn(out, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = base.repartitionByRange(parts, *order).withColumn("_range", F.spark_partition_id())
     local = ranged.withColumn(

@@ -104,3 +104,20 @@ def test_partitioned_write_uses_rebalance(spark):
     write_partitioned(df, path)
     plan = df.hint("rebalance", "symbol")._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" in plan
+
+
+def test_distributed_rank_equals_single_task_rank(spark):
+    from candela.operators import ranking
+
+    df = ticks(spark, SF).select("offset", "price")
+    order = [F.col("price").desc(), F.col("offset")]
+    small = ranking.with_position(df, order)
+    old = ranking.SINGLE_TASK_LIMIT
+    ranking.SINGLE_TASK_LIMIT = 0  # force the range-partitioned path
+    try:
+        ranged = ranking.with_position(df, order)
+        assert "rangepartitioning" in _plan(ranged)
+    finally:
+        ranking.SINGLE_TASK_LIMIT = old
+    assert sorted(small.collect()) == sorted(ranged.collect())
+    assert sorted(r["rank"] for r in ranged.collect()) == list(range(1, df.count() + 1))
