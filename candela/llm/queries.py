@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from candela.llm.chat import chat_roundtrip, chat_roundtrip_sql
 from candela.llm.common import table
+from candela.llm.decontamination import contamination_digest, contamination_sql
 from candela.llm.licenses import license_scan_digest, license_scan_sql
+from candela.llm.packing import best_fit_packing
 from candela.llm.pu_classifier import pu_quality
 from candela.llm.quality_rules import quality_rules
+from candela.llm.warc import warc_roundtrip, warc_roundtrip_sql
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -18,21 +22,44 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan_digest(table(spark, sf_dir, "documents"))
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing(table(spark, sf_dir, "documents"))
+
+
 def op3_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pu_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_roundtrip(table(spark, sf_dir, "pages")).drop("url")
+
+
+def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_roundtrip(table(spark, sf_dir, "conversations"))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_pu_quality": op3_pu_quality,
+    "op4_warc_members": op4_warc_members,
+    "op6_chat_format": op6_chat_format,
+    "op8_decontamination": op8_decontamination,
     "op10_quality_rules": op10_quality_rules,
 }
 
 #: DuckDB SQL where it can express the operator.
 ORACLES: dict[str, str] = {
     "op1_license_scan": license_scan_sql(),
+    "op4_warc_members": warc_roundtrip_sql(),
+    "op6_chat_format": chat_roundtrip_sql(),
+    "op8_decontamination": contamination_sql(),
 }
