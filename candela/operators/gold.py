@@ -28,71 +28,84 @@ def with_trade_date(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("trade_date", F.to_date("event_time"))
 
 
-# Largest source dictionary the packed ordering broadcasts (a proven bound).
-MAX_PACKED_SOURCES = 100_000
-
-
-def with_packed_order(ticks: DataFrame, max_sources: int = MAX_PACKED_SOURCES) -> DataFrame | None:
-    """Add ``_tick_order`` (LONG) ordering ticks of one symbol-day exactly like
-    (event_time, source), or return None when there are too many sources.
-
-    key = (micro-of-day + 1) * 2^bits + dense rank of source (NULL source → 0,
-    NULL time → 0, the struct ordering's NULLs-first). The source dictionary is
-    counted first (one number to the driver); only when it is within
-    ``max_sources`` is it ranked and broadcast — beyond that the caller keeps
-    the struct ordering. A primitive key lets the daily aggregate hash.
-    """
-    # Materialised once in the shared checkpoint folder: counted here, then read
-    # by the query instead of rescanning the ticks.
-    shared_dir(ticks.sparkSession)
-    sources = ticks.select("source").where(F.col("source").isNotNull()).distinct().checkpoint(eager=True)
-    n = sources.count()
-    if n > max_sources:
-        return None
-    bits = max(1, n.bit_length())
-    ranked = sources.withColumn("_src_rank", F.dense_rank().over(Window.orderBy("source")))  # ≤ max_sources rows
-    day_start = F.unix_micros(F.to_date("event_time").cast("timestamp"))
-    micros = F.coalesce(F.unix_micros("event_time") - day_start + 1, F.lit(0))
-    return (
-        ticks.join(F.broadcast(ranked), "source", "left")
-        .withColumn("_tick_order", micros * F.lit(1 << bits) + F.coalesce("_src_rank", F.lit(0)))
-        .drop("_src_rank")
-    )
-
-
-def daily_ohlcv(
-    ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER, packed: bool = False
-) -> DataFrame:
+def daily_ohlcv(ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER) -> DataFrame:
     """One row per (symbol, trade_date).
 
     open/close are the prices of the first/last tick by ``order_by`` (the
     reference's unordered first/last is nondeterministic after a shuffle).
     volatility is the sample standard deviation (NULL for a single tick).
+
+    Ticks are only ever hashed: a primitive ordering column keeps every
+    aggregation buffer fixed-width. A second ordering column (``source``)
+    becomes part of the tick-level key, inside which the first column alone
+    decides, and the few rows per (symbol, day) are then merged.
     """
-    # A single primitive ordering column keeps the aggregation buffer fixed-width
-    # (HashAggregate); a struct tie-break needs SortAggregate. ``packed`` turns
-    # the default (event_time, source) order into one exact LONG key when the
-    # source dictionary is small enough.
-    if packed and tuple(order_by) == DEFAULT_TICK_ORDER:
-        keyed = with_packed_order(ticks)
-        if keyed is not None:
-            ticks, order_by = keyed, ("_tick_order",)
-    order = F.col(order_by[0]) if len(order_by) == 1 else F.struct(*order_by)
-    return (
-        with_trade_date(ticks)
-        .groupBy("symbol", "trade_date")
-        .agg(
-            F.min_by("price", order).alias("open_price"),
+    if len(order_by) > 2:
+        raise ValueError("order ticks by one column, or by time and a second key column")
+    if len(order_by) == 1:
+        return with_trade_date(ticks).groupBy("symbol", "trade_date").agg(
+            F.min_by("price", order_by[0]).alias("open_price"),
             F.max("price").alias("high_price"),
             F.min("price").alias("low_price"),
-            F.max_by("price", order).alias("close_price"),
+            F.max_by("price", order_by[0]).alias("close_price"),
             F.sum("volume").alias("total_volume"),
             F.avg("price").alias("avg_price"),
             F.stddev_samp("price").alias("volatility"),
         )
+    return merge_partial_days(partial_days(ticks, *order_by))
+
+
+def partial_days(ticks: DataFrame, time: str, second: str) -> DataFrame:
+    """Mergeable state per (symbol, trade_date, second ordering column)."""
+    return with_trade_date(ticks).groupBy("symbol", "trade_date", F.col(second).alias("_second")).agg(
+        F.min(time).alias("_first"),
+        F.max(time).alias("_last"),
+        F.min_by("price", time).alias("_open"),
+        F.max_by("price", time).alias("_close"),
+        F.max("price").alias("_high"),
+        F.min("price").alias("_low"),
+        F.sum("volume").alias("_volume"),
+        F.count("price").alias("_n"),
+        F.sum("price").alias("_sum"),
+        (F.var_pop("price") * F.count("price")).alias("_m2"),
     )
 
 
+def merge_partial_days(parts: DataFrame) -> DataFrame:
+    """Per (symbol, trade_date): first/last by (time, second), sums, and the deviation from count, mean and M2.
+
+    The states gathered per day are one per value of the second column. Their
+    squared deviations are merged pairwise about the means (no difference of
+    large sums), so constant prices give exactly zero.
+    """
+    state = F.struct(
+        F.col("_n").cast("double").alias("n"), F.try_divide("_sum", "_n").alias("mean"), F.col("_m2").alias("m2")
+    )
+    days = parts.groupBy("symbol", "trade_date").agg(
+        F.min_by("_open", F.struct("_first", "_second")).alias("open_price"),
+        F.max("_high").alias("high_price"),
+        F.min("_low").alias("low_price"),
+        F.max_by("_close", F.struct("_last", "_second")).alias("close_price"),
+        F.sum("_volume").alias("total_volume"),
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_price"),
+        F.collect_list(F.when(F.col("_n") > 0, state)).alias("_states"),
+    )
+
+    def merged(a, b):
+        n = a["n"] + b["n"]
+        delta = b["mean"] - a["mean"]
+        return F.struct(
+            n.alias("n"),
+            (a["mean"] + delta * b["n"] / n).alias("mean"),
+            (a["m2"] + b["m2"] + delta * delta * a["n"] * b["n"] / n).alias("m2"),
+        )
+
+    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
+    total = F.aggregate("_states", zero, merged)
+    volatility = F.when(total["n"] > 1, F.sqrt(total["m2"] / (total["n"] - 1)))
+    return days.withColumn("volatility", volatility).drop("_states")
+
+
 def with_prev_close(daily: DataFrame, price_col: str = "close_price") -> DataFrame:
     """prev_close is the previous *row* of the symbol, not the previous calendar day."""
     return daily.withColumn("prev_close", F.lag(price_col, 1).over(ind.by_symbol()))
@@ -134,11 +147,9 @@ def gold_from_daily(daily: DataFrame, period: int = ind.RSI_PERIOD) -> DataFrame
     return with_rsi(with_pct_change(with_prev_close(daily)), period=period).select(*GOLD_COLS)
 
 
-def gold_daily(
-    ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER, packed: bool = False
-) -> DataFrame:
+def gold_daily(ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER) -> DataFrame:
     """Full gold assembly: daily OHLCV → prev_close → pct_change → rsi_14."""
-    return gold_from_daily(daily_ohlcv(ticks, order_by, packed))
+    return gold_from_daily(daily_ohlcv(ticks, order_by))
 
 
 # Rows of history a recomputed row can read: lag needs 1, the 14-row gain/loss
@@ -147,52 +158,60 @@ def context_rows(period: int = ind.RSI_PERIOD) -> int:
     return period
 
 
-def gold_incremental(
+def gold_changes(
     gold_prev: DataFrame,
     silver_all: DataFrame,
     new_ticks: DataFrame,
     order_by: Sequence[str] = DEFAULT_TICK_ORDER,
     period: int = ind.RSI_PERIOD,
-) -> DataFrame:
-    """Update a gold table for a batch of new ticks; equals a full rebuild.
+) -> tuple[DataFrame, DataFrame] | None:
+    """(recomputed rows, first touched day per symbol) for a batch of new ticks; None for an empty batch.
 
     * days touched by the batch (late ticks included) are re-aggregated from
       silver, reading only those (symbol, trade_date) groups;
-    * per symbol, every row from the earliest touched day on is recomputed,
-      seeded with the ``period`` gold rows before it;
-    * rows before the earliest touched day are kept as they are.
+    * per touched symbol, every row from its first touched day on is recomputed,
+      seeded with the ``period`` gold rows before it. Other symbols never reach
+      a window: gold is cut to the touched symbols by an inner join first.
     """
-    touched = with_trade_date(new_ticks).select("symbol", "trade_date").distinct()
+    spark = new_ticks.sparkSession
+    shared_dir(spark)
+    # Read several times below, so the new ticks are reduced once.
+    touched = with_trade_date(new_ticks).select("symbol", "trade_date").distinct().checkpoint(eager=True)
     # Earliest touched day (a one-row aggregate): pushed into the silver scan as
     # a static range filter, so only row groups from that day on are read.
     first_day = touched.agg(F.min("trade_date")).first()[0]
     if first_day is None:
-        return gold_prev.select(*GOLD_COLS)
+        return None
+    start = touched.groupBy("symbol").agg(F.min("trade_date").alias("_start"))
     recent = silver_all.filter(F.col("event_time") >= F.lit(first_day).cast("timestamp"))
-    redo_daily = daily_ohlcv(
-        with_trade_date(recent).join(touched, ["symbol", "trade_date"], "left_semi"), order_by
-    )
-    kept_daily = gold_prev.join(touched, ["symbol", "trade_date"], "left_anti").select(*redo_daily.columns)
-    daily = kept_daily.unionByName(redo_daily)
+    redo = daily_ohlcv(with_trade_date(recent).join(touched, ["symbol", "trade_date"], "left_semi"), order_by)
+    own = gold_prev.select(*redo.columns).join(start, "symbol")
+    later = own.filter(F.col("trade_date") >= F.col("_start")).join(touched, ["symbol", "trade_date"], "left_anti")
+    back = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("trade_date").desc()))
+    context = own.filter(F.col("trade_date") < F.col("_start")).withColumn("_back", back)
+    context = context.filter(F.col("_back") <= context_rows(period))
+    daily = context.select(*redo.columns).unionByName(later.select(*redo.columns)).unionByName(redo)
+    recomputed = gold_from_daily(daily, period).join(start, "symbol").filter(F.col("trade_date") >= F.col("_start"))
+    return recomputed.select(*GOLD_COLS), start
 
-    start = touched.groupBy("symbol").agg(F.min("trade_date").alias("_start"))
-    # Position of each daily row relative to the symbol's first touched day.
-    tagged = daily.join(start, "symbol", "left")
-    before = F.col("_start").isNotNull() & (F.col("trade_date") < F.col("_start"))
-    rank_back = F.row_number().over(
-        Window.partitionBy("symbol", before).orderBy(F.col("trade_date").desc())
-    )
-    tagged = tagged.withColumn("_back", F.when(before, rank_back))
-    to_compute = tagged.filter(
-        F.col("_start").isNotNull() & (~before | (F.col("_back") <= context_rows(period)))
-    )
-    recomputed = (
-        gold_from_daily(to_compute.drop("_back"), period)
-        .join(start, "symbol")
-        .filter(F.col("trade_date") >= F.col("_start"))
-        .drop("_start")
-    )
+
+def gold_incremental(
+    gold_prev: DataFrame,
+    silver_all: DataFrame,
+    new_ticks: DataFrame,
+    order_by: Sequence[str] = DEFAULT_TICK_ORDER,
+    period: int = ind.RSI_PERIOD,
+) -> DataFrame:
+    """A gold table brought up to date with a batch of new ticks; equals a full rebuild.
+
+    Rows before a symbol's first touched day, and all rows of untouched
+    symbols, are kept as they are.
+    """
+    changes = gold_changes(gold_prev, silver_all, new_ticks, order_by, period)
+    if changes is None:
+        return gold_prev.select(*GOLD_COLS)
+    recomputed, start = changes
     unchanged = gold_prev.join(start, "symbol", "left").filter(
         F.col("_start").isNull() | (F.col("trade_date") < F.col("_start"))
     )
-    return unchanged.select(*GOLD_COLS).unionByName(recomputed.select(*GOLD_COLS))
+    return unchanged.select(*GOLD_COLS).unionByName(recomputed)

@@ -19,21 +19,35 @@ def quality_filter(df: DataFrame) -> DataFrame:
     return df.filter(quality_predicate())
 
 
-def with_reject_reasons(df: DataFrame) -> DataFrame:
+def reject_reasons(columns: Sequence[str]) -> Column:
+    """Why silver refuses a row (empty: it doesn't); key columns count where the input has them."""
     ok = lambda c: F.coalesce(c, F.lit(False))
-    reasons = F.array_compact(
+    return F.array_compact(
         F.array(
             F.when(F.col("symbol").isNull(), F.lit("null_symbol")),
             F.when(~ok(F.col("price") > 0), F.lit("bad_price")),
             F.when(~ok(F.col("volume") >= 0), F.lit("bad_volume")),
+            *[F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in ("event_time", "source") if c in columns],
         )
     )
-    return df.withColumn("reasons", reasons)
+
+
+def silver_predicate(columns: Sequence[str]) -> Column:
+    """What batch and streaming silver accept: exactly the rows without a reject reason."""
+    accepted = quality_predicate()
+    for c in ("event_time", "source"):
+        if c in columns:
+            accepted = accepted & F.col(c).isNotNull()
+    return F.coalesce(accepted, F.lit(False))
+
+
+def with_reject_reasons(df: DataFrame) -> DataFrame:
+    return df.withColumn("reasons", reject_reasons(df.columns))
 
 
 def quality_rejects(df: DataFrame) -> DataFrame:
-    """Rows the quality filter drops, each with its (possibly several) reasons."""
-    return with_reject_reasons(df.filter(~F.coalesce(quality_predicate(), F.lit(False))))
+    """Rows silver drops, each with its (possibly several) reasons."""
+    return with_reject_reasons(df.filter(~silver_predicate(df.columns)))
 
 
 def reject_counts(df: DataFrame) -> DataFrame:
@@ -45,6 +59,30 @@ def reject_counts(df: DataFrame) -> DataFrame:
     )
 
 
+def silver_accounting(bronze_df: DataFrame) -> DataFrame:
+    """Where every bronze row went: (kind, n) with input = silver + duplicate + rejected, and rejected rows by reason.
+
+    One pass: copies are counted per key (partial aggregation), rejects per set of reasons.
+    """
+    reasons = reject_reasons(bronze_df.columns)
+    accepted = silver_predicate(bronze_df.columns)
+    keys = [F.when(accepted, F.col(c)).alias(c) for c in DEDUP_KEYS]
+    per_key = bronze_df.select(*keys, F.when(accepted, F.array().cast("array<string>")).otherwise(reasons).alias("reasons"))
+    per_key = per_key.groupBy(*DEDUP_KEYS, "reasons").agg(F.count(F.lit(1)).alias("n"))
+    rejected = F.size("reasons") > 0
+    kinds = F.concat(
+        F.array(F.struct(F.lit("input").alias("kind"), F.col("n").alias("n"))),
+        F.when(rejected, F.array(F.struct(F.lit("rejected").alias("kind"), F.col("n").alias("n")))).otherwise(
+            F.array(
+                F.struct(F.lit("silver").alias("kind"), F.lit(1).cast("bigint").alias("n")),
+                F.struct(F.lit("duplicate").alias("kind"), (F.col("n") - 1).alias("n")),
+            )
+        ),
+        F.transform("reasons", lambda r: F.struct(F.concat(F.lit("reject:"), r).alias("kind"), F.col("n").alias("n"))),
+    )
+    return per_key.select(F.inline(kinds)).groupBy("kind").agg(F.sum("n").alias("n"))
+
+
 def dedup(
     df: DataFrame,
     keys: Sequence[str] = DEDUP_KEYS,
@@ -67,9 +105,7 @@ def dedup(
 
 def silver(bronze_df: DataFrame, keep_lineage: bool = False) -> DataFrame:
     """Bronze → silver: quality rules, keys present, one row per (symbol, event_time, source)."""
-    clean = quality_filter(bronze_df).filter(
-        F.col("event_time").isNotNull() & F.col("source").isNotNull()
-    )
+    clean = bronze_df.filter(silver_predicate(bronze_df.columns))
     cols = TICK_COLS + (LINEAGE_COLS if keep_lineage else [])
     if "_ingested_at" in bronze_df.columns:
         cols = cols + ["_ingested_at"]

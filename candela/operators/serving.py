@@ -11,10 +11,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.functions.numeric import round_half_up
 from candela.schema import (
     CURRENCY_MAX_LEN,
     GOLD_KEYS,
+    SERVING,
     SERVING_COLS,
     SERVING_TYPES,
     SOURCE_MAX_LEN,
@@ -30,8 +30,8 @@ def serving_projection(gold: DataFrame) -> DataFrame:
 
 
 def _to_decimal(c: str, t) -> Column:
-    # Round half-up at the target scale first, then a NULL-on-overflow cast.
-    return round_half_up(F.col(c), t.scale).try_cast(t)
+    # The cast rounds half away from zero at the target scale and is NULL on overflow.
+    return F.col(c).try_cast(t)
 
 
 def serving_typed(gold: DataFrame) -> DataFrame:
@@ -124,9 +124,9 @@ def replace_day(target: DataFrame, source: DataFrame, run_date: str | date) -> D
     return upsert(delete_day(target, yesterday), source)
 
 
-def staging_raw_ticks(ticks: DataFrame) -> DataFrame:
-    """Raw-tick staging projection: open → open_price, bounded decimals, id = offset."""
-    df = ticks.select(
+def _staging_projection(ticks: DataFrame) -> DataFrame:
+    """Raw-tick staging projection: open → open_price, id = offset."""
+    return ticks.select(
         F.col("offset").alias("id"),
         "symbol",
         "price",
@@ -139,28 +139,40 @@ def staging_raw_ticks(ticks: DataFrame) -> DataFrame:
         "event_time",
         "source",
     )
-    return df.withColumns({c: _to_decimal(c, t) for c, t in STAGING_TICK_TYPES.items()}).select(*STAGING_COLS)
 
 
-def staging_violations(staging: DataFrame) -> Column:
-    """NOT NULL and length rules of the staging table as one boolean."""
-    return (
-        F.col("symbol").isNull()
-        | F.col("price").isNull()
-        | F.col("event_time").isNull()
-        | (F.length("symbol") > SYMBOL_MAX_LEN)
-        | (F.length("currency") > CURRENCY_MAX_LEN)
-        | (F.length("source") > SOURCE_MAX_LEN)
-    )
+def staging_reasons() -> Column:
+    """Why the staging table refuses a raw tick: a value over its decimal type, a NULL, a text too long."""
+    overflow = [
+        F.when(F.col(c).isNotNull() & _to_decimal(c, t).isNull(), F.lit(f"overflow_{c}")) for c, t in STAGING_TICK_TYPES.items()
+    ]
+    null = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in ("symbol", "price", "event_time")]
+    limits = (("symbol", SYMBOL_MAX_LEN), ("currency", CURRENCY_MAX_LEN), ("source", SOURCE_MAX_LEN))
+    long = [F.when(F.length(c) > n, F.lit(f"{c}_too_long")) for c, n in limits]
+    return F.array_compact(F.array(*overflow, *null, *long))
+
+
+def staging_load(ticks: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(raw ticks in staging types with ``inserted_at``, the refused ones with their reasons)."""
+    rows = _staging_projection(ticks).withColumn("reasons", staging_reasons())
+    ok = rows.filter(F.size("reasons") == 0).withColumns({c: _to_decimal(c, t) for c, t in STAGING_TICK_TYPES.items()})
+    return ok.select(*STAGING_COLS).withColumn("inserted_at", F.current_timestamp()), rows.filter(F.size("reasons") > 0)
+
+
+def staging_raw_ticks(ticks: DataFrame) -> DataFrame:
+    """The raw ticks that the staging table accepts, in its types."""
+    return staging_load(ticks)[0].select(*STAGING_COLS)
 
 
 def _read_or_none(spark, path: str, fmt: str):
     try:
-        return spark.read.format(fmt).load(path)
+        if not spark.read.format(fmt).load(path).columns:
+            return None
     except Exception as e:  # first load: no table yet
         if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
             return None
         raise
+    return spark.read.format(fmt).schema(SERVING).load(path)
 
 
 def touched_partitions(target: DataFrame, source: DataFrame) -> DataFrame:
@@ -183,33 +195,52 @@ def upsert_table(
     staging_path: str,
     fmt: str = "parquet",
     delete_date: str | None = None,
+    removed_keys: DataFrame | None = None,
 ) -> None:
     """Keyed upsert into a serving table stored partitioned by trade_date.
 
-    Default path: only partitions (dates) present in ``source`` are read — a
-    static partition filter on their span plus a semi join — merged, staged and
-    swapped in with a dynamic partition overwrite; other partitions are left
-    untouched. With ``delete_date`` (the pre-copy delete of one day) a
-    partition may become empty, which a dynamic overwrite cannot express, so
-    the whole table is rebuilt through staging instead. Staging keeps every
-    write off the path being read; re-running gives the same table.
+    Only the dates of ``source``, of ``removed_keys`` (keys whose new row was
+    refused: their old row must not stay) and ``delete_date`` are read, merged,
+    staged, checked against the constraints and swapped in with a dynamic
+    partition overwrite. A date that the merge leaves empty loses its folder.
+    Other dates are left untouched. Staging keeps every write off the path
+    being read and is deleted after success; re-running gives the same table.
     """
-    from candela.sources.lake import write_partitions_dynamic
+    from candela.session import remove_path
+    from candela.sources.lake import write_partitions_dynamic, write_partitioned
 
     spark = source.sparkSession
-    src = source.select(*SERVING_COLS)
+    # Used for the merge, the dates and the keys: typed once.
+    batch_path = f"{staging_path}/batch"
+    write_partitioned(source.select(*SERVING_COLS), batch_path, ["trade_date"], fmt)
+    src = spark.read.format(fmt).schema(SERVING).load(batch_path).select(*SERVING_COLS)
+    dates = src.select("trade_date")
+    gone = removed_keys.select(*GOLD_KEYS).distinct() if removed_keys is not None else None
+    if gone is not None:
+        dates = dates.unionByName(gone.select("trade_date"))
+    if delete_date is not None:
+        dates = dates.unionByName(spark.range(1).select(F.lit(delete_date).cast("date").alias("trade_date")))
+    dates = dates.distinct()
     target = _read_or_none(spark, table_path, fmt)
     if target is None:
         merged = stamp(src)
-    elif delete_date is not None:
-        merged = upsert(delete_day(target, delete_date), src)
     else:
-        current = touched_partitions(target, src)
+        current = touched_partitions(target, dates)
+        if delete_date is not None:
+            current = delete_day(current, delete_date)
+        if gone is not None:
+            current = current.join(gone, GOLD_KEYS, "left_anti")
         merged = upsert(current, src)
     cols = [*SERVING_COLS, "loaded_at"]
-    merged.select(*cols).write.format(fmt).mode("overwrite").partitionBy("trade_date").save(staging_path)
-    staged = spark.read.format(fmt).load(staging_path).select(*cols)
-    if target is not None and delete_date is not None:
-        staged.write.format(fmt).mode("overwrite").partitionBy("trade_date").save(table_path)
-    else:
+    merged_path = f"{staging_path}/merged"
+    write_partitioned(merged.select(*cols), merged_path, ["trade_date"], fmt)
+    staged = spark.read.format(fmt).schema(SERVING).load(merged_path).select(*cols)
+    assert_constraints(staged)
+    if target is None or not staged.isEmpty():
         write_partitions_dynamic(staged, table_path, ["trade_date"], fmt)
+    if target is not None:
+        emptied = dates.join(staged.select("trade_date").distinct(), "trade_date", "left_anti")
+        for row in emptied.collect():  # calendar days of one batch
+            if row.trade_date is not None:
+                remove_path(spark, f"{table_path}/trade_date={row.trade_date.isoformat()}")
+    remove_path(spark, staging_path)

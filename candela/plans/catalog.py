@@ -61,7 +61,7 @@ UPSERT_TARGET_LAST_DAY = "2024-01-25"
 UPSERT_SOURCE_FIRST_DAY = "2024-01-21"
 UPSERT_NULL_PCT_SYMBOL = "U1"
 REPLACE_RUN_DATE = "2024-01-26"
-REPLACE_SOURCE_FIRST_DAY = "2024-01-27"
+REPLACE_SOURCE_FIRST_DAY = "2024-01-25"  # the deleted day is loaded again
 INCREMENTAL_CUTOFF = "2024-01-25"
 INCREMENTAL_LATE_FROM = "2024-01-20"
 INCREMENTAL_LATE_MOD = 7
@@ -75,6 +75,11 @@ def gold(spark: SparkSession, sf: str, symbols: str = "event_type") -> DataFrame
     return G.gold_daily(ticks(spark, sf, symbols))
 
 
+def snapped_gold(spark: SparkSession, sf: str, symbols: str = "event_type") -> DataFrame:
+    """Gold with doubles snapped to 8 decimals: what the serving fixtures load, so both engines cast the same values."""
+    return canon(gold(spark, sf, symbols), 8)
+
+
 def daily(spark: SparkSession, sf: str) -> DataFrame:
     return G.daily_ohlcv(ticks(spark, sf))
 
@@ -98,6 +103,7 @@ def silver(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------------ SQL snippets
 _T = S.with_gold  # WITH ticks, daily, ..., gold
+_TS = S.with_snapped_gold  # ..., snapped
 _TICKS = f"WITH ticks AS ({S.ticks_sql()})"
 _PARSED = f"{_TICKS}, parsed AS ({S.parsed_sql()})"
 _SILVER = (
@@ -291,7 +297,7 @@ def q_gold_daily_users(spark, sf):
     return canon(gold(spark, sf, "user"))
 
 
-_LI_ORDER = 'struct_pack(t := event_time, o := "offset", l := "partition", p := l_partkey)'
+_LI_ORDER = "tick_order"
 
 
 @query(
@@ -313,7 +319,7 @@ def q_gold_incremental(spark, sf):
         & (F.col("offset") % INCREMENTAL_LATE_MOD == 0)
     )
     path = scratch_path(spark, "gold_prev")
-    G.gold_daily(all_ticks.filter(~is_new)).write.mode("overwrite").partitionBy("symbol").parquet(path)
+    G.gold_daily(all_ticks.filter(~is_new)).write.mode("overwrite").parquet(path)
     gold_prev = spark.read.schema(GOLD).parquet(path).select(*GOLD_COLS)
     return canon(G.gold_incremental(gold_prev, all_ticks, all_ticks.filter(is_new)))
 
@@ -576,10 +582,10 @@ def q_candlestick(spark, sf):
 
 @query(
     "symbol_detail",
-    f"{_T()} SELECT {S.serving_typed_cols()} FROM gold WHERE symbol = '{DETAIL_SYMBOL}'",
+    f"{_TS()} SELECT {S.serving_typed_cols()} FROM snapped WHERE symbol = '{DETAIL_SYMBOL}'",
 )
 def q_symbol_detail(spark, sf):
-    return marts.symbol_detail(serving.serving_typed(gold(spark, sf)), DETAIL_SYMBOL)
+    return marts.symbol_detail(serving.serving_typed(snapped_gold(spark, sf)), DETAIL_SYMBOL)
 
 
 # ============================================================ serving
@@ -590,10 +596,10 @@ def q_serving_projection(spark, sf):
 
 @query(
     "serving_decimal_cast",
-    f"{_T('user')} SELECT {S.serving_typed_cols()} FROM gold WHERE {S.serving_fits_sql()}",
+    f"{_TS('user')} SELECT {S.serving_typed_cols()} FROM snapped WHERE {S.serving_fits_sql()}",
 )
 def q_serving_decimal_cast(spark, sf):
-    ok, _ = serving.serving_cast(gold(spark, sf, "user"))
+    ok, _ = serving.serving_cast(snapped_gold(spark, sf, "user"))
     return ok
 
 
@@ -601,30 +607,51 @@ def _overflow_sql() -> str:
     parts = []
     for c, t in S.SERVING_TYPES.items():
         parts.append(
-            f"SELECT symbol, trade_date, '{c}' AS \"column\" FROM gold WHERE {S.q(c)} IS NOT NULL "
-            f"AND abs({S.round_sql(S.q(c), t.scale)}) >= 1e{t.precision - t.scale}"
+            f"SELECT symbol, trade_date, '{c}' AS \"column\" FROM snapped WHERE {S.q(c)} IS NOT NULL "
+            f"AND {S.decimal_sql(S.q(c), t)} IS NULL"
         )
-    return f"{_T('user')} " + " UNION ALL ".join(parts)
+    return f"{_TS('user')} " + " UNION ALL ".join(parts)
 
 
 @query("serving_overflow_rejects", _overflow_sql())
 def q_serving_overflow_rejects(spark, sf):
-    return serving.overflow_rejects(gold(spark, sf, "user"))
+    return serving.overflow_rejects(snapped_gold(spark, sf, "user"))
+
+
+# Ties at every serving scale, of both signs: k / 10^5 with k a multiple of 5 ends in a 5 one place after the scale.
+_EDGE_TYPES = {"price": "open_price", "volatility": "volatility", "pct": "pct_change", "rsi": "rsi_14"}
+
+
+def _edges_sql() -> str:
+    cols = []
+    for name, c in _EDGE_TYPES.items():
+        t = S.SERVING_TYPES[c]
+        cols.append(f"{S.decimal_sql(f'CAST(k * 5 AS DOUBLE) / 1e{t.scale + 1}', t)} AS {name}")
+    return f"SELECT event_id, {', '.join(cols)} FROM (SELECT event_id, event_id % 20001 - 10000 AS k FROM events)"
+
+
+@query("serving_rounding_edges", _edges_sql())
+def q_serving_rounding_edges(spark, sf):
+    """Decimal casts of exact ties, negative ones included (half away from zero)."""
+    k = F.col("event_id") % 20001 - 10000
+    values = {n: (k * 5).cast("double") / F.lit(float(10 ** (S.SERVING_TYPES[c].scale + 1))) for n, c in _EDGE_TYPES.items()}
+    rows = table(spark, sf, "events").select("event_id", *[v.alias(_EDGE_TYPES[n]) for n, v in values.items()])
+    return rows.select("event_id", *[serving._to_decimal(c, S.SERVING_TYPES[c]).alias(n) for n, c in _EDGE_TYPES.items()])
 
 
 def _serving_sql_cte(name: str, where: str, modified: bool = False) -> str:
-    src = "gold"
+    src = "snapped"
     if modified:
         src = (
             "(SELECT * REPLACE (close_price + 1 AS close_price, "
-            f"CASE WHEN symbol = '{UPSERT_NULL_PCT_SYMBOL}' THEN NULL ELSE pct_change END AS pct_change) FROM gold)"
+            f"CASE WHEN symbol = '{UPSERT_NULL_PCT_SYMBOL}' THEN NULL ELSE pct_change END AS pct_change) FROM snapped)"
         )
     return f"{name} AS (SELECT {S.serving_typed_cols()} FROM {src} WHERE {where} AND {S.serving_fits_sql()})"
 
 
 _TGT = _serving_sql_cte("tgt", f"trade_date <= DATE '{UPSERT_TARGET_LAST_DAY}'")
 _SRC = _serving_sql_cte("src", f"trade_date >= DATE '{UPSERT_SOURCE_FIRST_DAY}'", modified=True)
-_UPSERT_SQL = f"""{_T('user')}, {_TGT}, {_SRC}
+_UPSERT_SQL = f"""{_TS('user')}, {_TGT}, {_SRC}
     SELECT * FROM tgt WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.symbol = tgt.symbol AND src.trade_date = tgt.trade_date)
     UNION ALL SELECT * FROM src"""
 
@@ -636,7 +663,7 @@ def _serving_fixture(spark, sf) -> tuple[DataFrame, DataFrame]:
     the target and the source from it.
     """
     shared_dir(spark)
-    g = gold(spark, sf, "user").checkpoint(eager=True)
+    g = snapped_gold(spark, sf, "user").checkpoint(eager=True)
     tgt, _ = serving.serving_cast(g.filter(F.col("trade_date") <= F.lit(UPSERT_TARGET_LAST_DAY).cast("date")))
     changed = g.filter(F.col("trade_date") >= F.lit(UPSERT_SOURCE_FIRST_DAY).cast("date")).withColumns(
         {
@@ -655,7 +682,7 @@ def _materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     write_partitioned(df, path, ["trade_date"])
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @query("snk_upsert", _UPSERT_SQL)
@@ -675,7 +702,7 @@ def q_snk_upsert_idempotent(spark, sf):
 
 @query(
     "snk_append_guarded",
-    f"""{_T('user')}, {_TGT}, {_SRC}
+    f"""{_TS('user')}, {_TGT}, {_SRC}
     SELECT * FROM tgt UNION ALL
     SELECT * FROM src WHERE NOT EXISTS (SELECT 1 FROM tgt WHERE src.symbol = tgt.symbol AND src.trade_date = tgt.trade_date)""",
 )
@@ -690,7 +717,7 @@ _SRC_REPLACE = _serving_sql_cte("src", f"trade_date >= DATE '{REPLACE_SOURCE_FIR
 
 @query(
     "snk_replace_day",
-    f"""{_T('user')}, {_TGT}, {_SRC_REPLACE},
+    f"""{_TS('user')}, {_TGT}, {_SRC_REPLACE},
       kept AS (SELECT * FROM tgt WHERE trade_date <> DATE '{REPLACE_RUN_DATE}' - INTERVAL 1 DAY)
     SELECT * FROM kept WHERE NOT EXISTS (SELECT 1 FROM src WHERE src.symbol = kept.symbol AND src.trade_date = kept.trade_date)
     UNION ALL SELECT * FROM src""",
@@ -704,7 +731,7 @@ def q_snk_replace_day(spark, sf):
 
 @query(
     "serving_constraint_check",
-    f"""{_T('user')}, {_TGT}, {_SRC},
+    f"""{_TS('user')}, {_TGT}, {_SRC},
       blind AS (SELECT * FROM tgt UNION ALL SELECT * FROM src),
       k AS (SELECT symbol, trade_date, count(*) AS c FROM blind GROUP BY ALL)
     SELECT 'duplicate_key' AS violation, count(*) FILTER (WHERE c > 1) AS n FROM k
@@ -720,11 +747,11 @@ def q_serving_constraint_check(spark, sf):
 @query(
     "staging_raw_ticks",
     f"""{_TICKS}, s AS (SELECT "offset" AS id, symbol,
-        CAST({S.round_sql('price', 4)} AS DECIMAL(12,4)) AS price,
-        CAST({S.round_sql('open', 4)} AS DECIMAL(12,4)) AS open_price,
-        CAST({S.round_sql('day_high', 4)} AS DECIMAL(12,4)) AS day_high,
-        CAST({S.round_sql('day_low', 4)} AS DECIMAL(12,4)) AS day_low,
-        CAST({S.round_sql('prev_close', 4)} AS DECIMAL(12,4)) AS prev_close,
+        TRY_CAST(price AS DECIMAL(12,4)) AS price,
+        TRY_CAST(open AS DECIMAL(12,4)) AS open_price,
+        TRY_CAST(day_high AS DECIMAL(12,4)) AS day_high,
+        TRY_CAST(day_low AS DECIMAL(12,4)) AS day_low,
+        TRY_CAST(prev_close AS DECIMAL(12,4)) AS prev_close,
         volume, currency, strftime(event_time, '{S.TS_FORMAT_SQL}') AS event_time, source FROM ticks)
     SELECT * FROM s""",
 )
@@ -732,6 +759,47 @@ def q_staging_raw_ticks(spark, sf):
     return canon(serving.staging_raw_ticks(ticks(spark, sf)))
 
 
+# Raw ticks with one defect per rule of the staging table, by event id.
+STAGING_DEFECTS = {"overflow_price": 97, "null_symbol": 101, "symbol_too_long": 89, "null_event_time": 83, "source_too_long": 79}
+
+
+def _staging_rejects_sql() -> str:
+    def at(reason: str) -> str:
+        return f'"offset" % {STAGING_DEFECTS[reason]} = 0'
+
+    rules = {r: at(r) for r in STAGING_DEFECTS}
+    # A null symbol has no length: an id with both symbol defects has neither.
+    rules["null_symbol"] = f"({at('null_symbol')} AND NOT {at('symbol_too_long')})"
+    rules["symbol_too_long"] = f"({at('symbol_too_long')} AND NOT {at('null_symbol')})"
+    rules["accepted"] = "NOT (" + " OR ".join(rules.values()) + ")"
+    parts = [f"SELECT '{r}' AS reason FROM ticks WHERE {rule}" for r, rule in rules.items()]
+    return f"{_TICKS} SELECT reason, count(*) AS n FROM ({' UNION ALL '.join(parts)}) GROUP BY reason"
+
+
+@query("staging_rejects", _staging_rejects_sql())
+def q_staging_rejects(spark, sf):
+    """Refused raw ticks by reason, and how many the staging table takes."""
+    t = ticks(spark, sf)
+
+    def at(reason):
+        return F.col("offset") % STAGING_DEFECTS[reason] == 0
+
+    dirty = t.withColumns(
+        {
+            "price": F.when(at("overflow_price"), F.lit(1e9)).otherwise(F.col("price")),
+            "symbol": F.when(at("null_symbol") & ~at("symbol_too_long"), F.lit(None).cast("string"))
+            .when(at("symbol_too_long") & ~at("null_symbol"), F.lit("LONGER-THAN-TEN"))
+            .otherwise(F.col("symbol")),
+            "event_time": F.when(~at("null_event_time"), F.col("event_time")),
+            "source": F.when(at("source_too_long"), F.repeat(F.lit("s"), 33)).otherwise(F.col("source")),
+        }
+    )
+    ok, refused = serving.staging_load(dirty)
+    reasons = refused.select(F.explode("reasons").alias("reason"))
+    accepted = ok.select(F.lit("accepted").alias("reason"))
+    return reasons.unionByName(accepted).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 # ====================================================== lake round trips
 @query(
     "src_scan",
@@ -787,3 +855,77 @@ def q_snk_register_sql(spark, sf):
             f"SELECT symbol, count(*) AS `rows`, sum(close_price) AS sum_close FROM {name} GROUP BY symbol"
         )
     )
+
+
+@query(
+    "silver_numeric_symbols",
+    """SELECT '000' || CAST(user_id AS VARCHAR) AS symbol, count(*) AS "rows" FROM events GROUP BY 1""",
+)
+def q_silver_numeric_symbols(spark, sf):
+    """Symbols of digits with leading zeros, written by symbol folder and read as the jobs read silver."""
+    from candela.schema import SILVER
+    from candela.sources.lake import scan, write_partitioned
+
+    path = scratch_path(spark, "silver")
+    rows = ticks(spark, sf, "user").withColumn("symbol", F.concat(F.lit("000"), F.expr("substring(symbol, 2)")))
+    write_partitioned(rows.select(*TICK_COLS), path)
+    return scan(spark, path, "parquet", SILVER).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "silver_accounting",
+    f"""{_SILVER}, judged AS (SELECT *, coalesce({S.quality_pred_sql()} AND event_time IS NOT NULL AND source IS NOT NULL, false) AS ok FROM parsed)
+    SELECT kind, n FROM (
+      SELECT 'input' AS kind, count(*) AS n FROM parsed
+      UNION ALL SELECT 'silver', count(*) FROM silver
+      UNION ALL SELECT 'duplicate', (SELECT count(*) FROM judged WHERE ok) - (SELECT count(*) FROM silver)
+      UNION ALL SELECT 'rejected', count(*) FROM judged WHERE NOT ok
+      UNION ALL SELECT 'reject:null_symbol', count(*) FROM judged WHERE NOT ok AND symbol IS NULL
+      UNION ALL SELECT 'reject:bad_price', count(*) FROM judged WHERE NOT ok AND NOT coalesce(price > 0, false)
+      UNION ALL SELECT 'reject:bad_volume', count(*) FROM judged WHERE NOT ok AND NOT coalesce(volume >= 0, false)
+      UNION ALL SELECT 'reject:null_event_time', count(*) FROM judged WHERE NOT ok AND event_time IS NULL
+      UNION ALL SELECT 'reject:null_source', count(*) FROM judged WHERE NOT ok AND source IS NULL)""",
+)
+def q_silver_accounting(spark, sf):
+    """Every bronze row is in silver, a duplicate or a reject with its reasons."""
+    return quality.silver_accounting(bronze(spark, sf, redelivered=True))
+
+
+_RANKED = ["rank", "symbol", "trade_date", "close_price", "pct_change"]
+
+
+@query(
+    "rank_lineitem_gold",
+    f"""WITH ticks AS ({S.lineitem_ticks_sql()}), {S.gold_ctes(order=_LI_ORDER)},
+      r AS (SELECT row_number() OVER (ORDER BY total_volume DESC, symbol, trade_date) AS "rank", * FROM gold)
+    """ + S.canon_select(_RANKED, "r"),
+)
+def q_rank_lineitem_gold(spark, sf):
+    """Position of every gold row of the larger tick source by volume; ties by symbol and day."""
+    from candela.operators.ranking import with_position
+
+    g = G.gold_daily(fx.ticks_from_lineitem(table(spark, sf, "lineitem")), fx.LINEITEM_ORDER)
+    order = [F.col("total_volume").desc(), F.col("symbol"), F.col("trade_date")]
+    return canon(with_position(g, order).select(*_RANKED))
+
+
+# avg_price is left out: a mean that ends in a tie may be summed to either side of it by the two engines.
+_NIGHTLY_COLS = [c for c in SERVING_COLS if c != "avg_price"]
+
+
+@query(
+    "pipeline_nightly",
+    f"""WITH base AS ({S.ticks_sql()}), delivered AS ({S.redelivered_sql('base')}), parsed AS ({S.parsed_sql('delivered')}),
+      silver AS ({S.silver_sql()}), {S.gold_ctes('silver')},
+      loaded AS (SELECT {S.serving_typed_cols()} FROM gold WHERE {S.serving_fits_sql()})
+    SELECT {", ".join(_NIGHTLY_COLS)} FROM loaded""",
+)
+def q_pipeline_nightly(spark, sf):
+    """Landed envelopes through the jobs: bronze, silver, gold, serving."""
+    from candela.plans import jobs
+    from candela.schema import SERVING
+
+    root, landing = scratch_path(spark, "lake"), scratch_path(spark, "landing")
+    fx.envelope_from_ticks(fx.redelivered_ticks(ticks(spark, sf))).write.parquet(landing)
+    jobs.run_nightly(spark, jobs.parse_args(["nightly", "--root", root, "--source-path", landing]))
+    return spark.read.schema(SERVING).parquet(f"{root}/serving").select(*_NIGHTLY_COLS)

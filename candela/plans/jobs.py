@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from candela.operators import gold as G
 from candela.operators import quality, serving
-from candela.schema import GOLD, GOLD_COLS, TICK_COLS
-from candela.session import build_session, ensure_utc, scratch_path
+from candela.schema import BRONZE, GOLD, GOLD_COLS, GOLD_KEYS, SILVER, TICK_COLS
+from candela.session import build_session, ensure_utc, remove_path, scratch_path
 from candela.sources.lake import scan, write_partitioned, write_partitions_dynamic
 from candela.streaming import queries as P
 from candela.streaming.sources import file_source, kafka_source
@@ -31,7 +31,13 @@ from candela.streaming.sources import file_source, kafka_source
 def _envelope_stream(spark: SparkSession, args):
     if args.source_path:
         return file_source(spark, args.source_path, args.max_files_per_trigger)
-    return kafka_source(spark, args.kafka_broker, starting_offsets=args.starting_offsets)
+    return kafka_source(
+        spark,
+        args.kafka_broker,
+        starting_offsets=args.starting_offsets,
+        fail_on_data_loss=args.fail_on_data_loss,
+        min_partitions=args.min_partitions,
+    )
 
 
 def _trigger(args, default_seconds: int) -> dict:
@@ -82,47 +88,58 @@ def run_silver_stream(spark: SparkSession, args) -> None:
 def run_silver(spark: SparkSession, args) -> None:
     if args.input_path.rstrip("/") == args.output_path.rstrip("/"):
         raise ValueError("silver must not overwrite the bronze path it reads")
-    bronze_df = scan(spark, args.input_path, args.storage_format)
+    bronze_df = scan(spark, args.input_path, args.storage_format, BRONZE)
     write_partitioned(quality.silver(bronze_df), args.output_path, fmt=args.storage_format)
+    # What silver refused, with the reasons; always written, so nothing goes unseen.
+    rejects = quality.quality_rejects(bronze_df)
+    rejects.write.format(args.storage_format).mode("overwrite").save(args.rejects_path or f"{args.output_path.rstrip('/')}_rejects")
 
 
 def run_gold(spark: SparkSession, args) -> None:
     """Full rebuild by default; --incremental-from D updates the existing gold with
     the ticks ingested (or, without an ingestion stamp, timed) since D."""
-    silver_all = scan(spark, args.input_path, args.storage_format)
+    silver_all = scan(spark, args.input_path, args.storage_format, SILVER)
     ticks = silver_all.select(*TICK_COLS)
     if not args.incremental_from:
-        write_partitioned(G.gold_daily(ticks, packed=args.packed_order), args.output_path, fmt=args.storage_format)
+        write_partitioned(G.gold_daily(ticks), args.output_path, fmt=args.storage_format)
         return
-    marker = "_ingested_at" if "_ingested_at" in silver_all.columns else "event_time"
-    new_ticks = silver_all.filter(F.col(marker) >= F.lit(args.incremental_from).cast("timestamp")).select(*TICK_COLS)
+    since = F.lit(args.incremental_from).cast("timestamp")
+    new_ticks = silver_all.filter(F.coalesce("_ingested_at", "event_time") >= since).select(*TICK_COLS)
     prev = scan(spark, args.output_path, args.storage_format, GOLD).select(*GOLD_COLS)
+    changes = G.gold_changes(prev, ticks, new_ticks)
+    if changes is None:
+        return
     # Only symbols with new ticks can change: stage their rows, then replace just
     # those symbol partitions (dynamic overwrite); the rest of gold is untouched.
-    touched = new_ticks.select("symbol").distinct()
-    changed = G.gold_incremental(prev, ticks, new_ticks).join(touched, "symbol", "left_semi")
+    recomputed, start = changes
+    kept = prev.join(start, "symbol").filter(F.col("trade_date") < F.col("_start")).select(*GOLD_COLS)
     staging = scratch_path(spark, "gold_staging")
-    write_partitioned(changed, staging, fmt=args.storage_format)
+    write_partitioned(kept.unionByName(recomputed), staging, fmt=args.storage_format)
     write_partitions_dynamic(
         scan(spark, staging, args.storage_format, GOLD).select(*GOLD_COLS), args.output_path, ["symbol"],
         args.storage_format,
     )
+    remove_path(spark, staging)
 
 
 def run_serve(spark: SparkSession, args) -> None:
-    """Gold → serving: bounded types (overflow rows to rejects), then the keyed
-    upsert; with --run-date the previous day is deleted first. The rejects
-    table holds the rejects of the latest load (overwritten, so re-runs do not
-    pile up copies)."""
+    """Gold → serving: bounded types, then the keyed upsert; with --run-date the
+    previous day is deleted first, with --serve-since only days from then on are
+    loaded. A row with a value over its type goes to the rejects (always
+    written; the rejects of the latest load) and its key leaves the table, so no
+    older version of it stays."""
     gold_df = scan(spark, args.input_path, args.storage_format, GOLD)
+    if args.serve_since:
+        gold_df = gold_df.filter(F.col("trade_date") >= F.lit(args.serve_since).cast("date"))
     ok, rejects = serving.serving_cast(gold_df)
-    if args.rejects_path:
-        rejects.write.mode("overwrite").parquet(args.rejects_path)
+    rejects_path = args.rejects_path or f"{args.serving_path.rstrip('/')}_rejects"
+    rejects.write.mode("overwrite").parquet(rejects_path)
+    rejected = spark.read.schema(rejects.schema).parquet(rejects_path).select(*GOLD_KEYS)
     delete_date = None
     if args.run_date:
         delete_date = (dt.date.fromisoformat(args.run_date) - dt.timedelta(days=1)).isoformat()
     staging = scratch_path(spark, "serving_staging")
-    serving.upsert_table(ok, args.serving_path, staging, args.storage_format, delete_date)
+    serving.upsert_table(ok, args.serving_path, staging, args.storage_format, delete_date, rejected)
 
 
 def run_nightly(spark: SparkSession, args) -> None:
@@ -130,9 +147,10 @@ def run_nightly(spark: SparkSession, args) -> None:
     root = args.root.rstrip("/")
     ns = argparse.Namespace(**vars(args))
     ns.available_now = True
+    ns.starting_offsets = "earliest"  # the first bounded run must see what is there; later ones go on from the checkpoint
     ns.output_path, ns.checkpoint_path = f"{root}/bronze", f"{root}/_checkpoints/bronze"
     run_bronze(spark, ns)
-    ns.input_path, ns.output_path = f"{root}/bronze", f"{root}/silver"
+    ns.input_path, ns.output_path, ns.rejects_path = f"{root}/bronze", f"{root}/silver", f"{root}/silver_rejects"
     run_silver(spark, ns)
     ns.input_path, ns.output_path, ns.incremental_from = f"{root}/silver", f"{root}/gold", None
     run_gold(spark, ns)
@@ -156,6 +174,8 @@ def parse_args(argv=None):
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("--kafka-broker", default="localhost:9092")
     p.add_argument("--starting-offsets", default="latest")
+    p.add_argument("--fail-on-data-loss", action="store_true", help="stop when offsets are gone from the topic")
+    p.add_argument("--min-partitions", type=int, default=None, help="read the topic in at least so many tasks")
     p.add_argument("--source-path", default=None, help="file landing folder instead of Kafka")
     p.add_argument("--max-files-per-trigger", type=int, default=None)
     p.add_argument("--input-path", default="./data/silver")
@@ -167,7 +187,8 @@ def parse_args(argv=None):
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--incremental-from", default=None)
     p.add_argument("--serving-path", default="./data/serving")
-    p.add_argument("--rejects-path", default=None)
+    p.add_argument("--rejects-path", default=None, help="default: the output path with _rejects")
+    p.add_argument("--serve-since", default=None, help="serve: load only days from this date on")
     p.add_argument("--run-date", default=None)
     p.add_argument("--root", default="./data")
     p.add_argument("--rocksdb", action="store_true", help="RocksDB state store (many symbols/windows)")
@@ -179,7 +200,6 @@ def parse_args(argv=None):
         help="initial shuffle partitions; AQE coalesces down to ~advisory size (e.g. input / 128 MB)",
     )
     p.add_argument("--max-partition-bytes", default=None, help="scan split size, e.g. 256m")
-    p.add_argument("--packed-order", action="store_true", help="gold: exact open/close via a packed LONG key (hash aggregate)")
     return p.parse_args(argv)
 
 

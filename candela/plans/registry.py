@@ -4,10 +4,6 @@ from __future__ import annotations
 
 
 def all_queries():
-    from candela.plans import catalog
+    from candela.plans import catalog, stream_catalog  # noqa: F401  (the latter registers into catalog.QUERIES)
 
-    try:
-        from candela.plans import stream_catalog  # noqa: F401  (registers into catalog.QUERIES)
-    except ImportError:  # pragma: no cover - during bootstrap
-        pass
     return dict(catalog.QUERIES)

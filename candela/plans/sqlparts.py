@@ -7,7 +7,7 @@ over the driver's tables, so the two engines are checked against each other.
 from __future__ import annotations
 
 from candela.functions.numeric import round_sql
-from candela.schema import SERVING_TYPES
+from candela.schema import GOLD_COLS, SERVING_COLS, SERVING_TYPES
 from candela.sources import fixtures as fx
 
 # Output columns canonicalised on both sides: doubles rounded half-up to 4
@@ -53,7 +53,8 @@ def ticks_sql(symbols: str = "event_type") -> str:
 def lineitem_ticks_sql() -> str:
     return """SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, l_extendedprice / l_quantity AS price,
       CAST(l_quantity AS BIGINT) AS volume, CAST(l_shipdate AS TIMESTAMP) AS event_time,
-      'lineitem' AS source, l_orderkey AS "offset", CAST(l_linenumber AS INTEGER) AS "partition", l_partkey
+      'lineitem' AS source, l_orderkey AS "offset", CAST(l_linenumber AS INTEGER) AS "partition",
+      l_orderkey * 8 + l_linenumber AS tick_order
     FROM lineitem"""
 
 
@@ -153,23 +154,23 @@ def with_gold(symbols: str = "event_type") -> str:
     return f"WITH ticks AS ({ticks_sql(symbols)}), {gold_ctes()}"
 
 
+def with_snapped_gold(symbols: str = "event_type") -> str:
+    """Gold as the serving fixtures load it: averages snapped to 8 decimals, so both engines cast the same doubles."""
+    doubles = [c for c in GOLD_COLS if c in DOUBLE_COLS]
+    snapped = ", ".join(f"{round_sql(q(c), 8)} AS {q(c)}" for c in doubles)
+    return f"{with_gold(symbols)}, snapped AS (SELECT * REPLACE ({snapped}) FROM gold)"
+
+
+def decimal_sql(expr: str, t) -> str:
+    """DuckDB's own cast: rounds half away from zero, NULL on overflow."""
+    return f"TRY_CAST({expr} AS DECIMAL({t.precision},{t.scale}))"
+
+
 def serving_fits_sql() -> str:
-    """Every serving value fits its decimal type once rounded (NULL fits)."""
-    parts = []
-    for c, t in SERVING_TYPES.items():
-        bound = f"1e{t.precision - t.scale}"
-        parts.append(f"({q(c)} IS NULL OR abs({round_sql(q(c), t.scale)}) < {bound})")
-    return " AND ".join(parts)
+    """Every serving value fits its decimal type (NULL fits)."""
+    return " AND ".join(f"({q(c)} IS NULL OR {decimal_sql(q(c), t)} IS NOT NULL)" for c, t in SERVING_TYPES.items())
 
 
 def serving_typed_cols() -> str:
-    cols = ["symbol", "trade_date"]
-    out = [q(c) for c in cols]
-    for c in ("open_price", "high_price", "low_price", "close_price"):
-        t = SERVING_TYPES[c]
-        out.append(f"TRY_CAST({round_sql(q(c), t.scale)} AS DECIMAL({t.precision},{t.scale})) AS {q(c)}")
-    out.append('"total_volume"')
-    for c in ("avg_price", "volatility", "pct_change", "rsi_14"):
-        t = SERVING_TYPES[c]
-        out.append(f"TRY_CAST({round_sql(q(c), t.scale)} AS DECIMAL({t.precision},{t.scale})) AS {q(c)}")
+    out = [f"{decimal_sql(q(c), SERVING_TYPES[c])} AS {q(c)}" if c in SERVING_TYPES else q(c) for c in SERVING_COLS]
     return ", ".join(out)

@@ -64,8 +64,23 @@ ENVELOPE = StructType(
 LINEAGE_COLS = ["kafka_timestamp", "partition", "offset"]
 BRONZE_COLS = TICK_COLS + ["json_value"] + LINEAGE_COLS + ["_ingested_at"]
 SILVER_COLS = TICK_COLS + ["_ingested_at"]
+
+_NULLABLE_TICK = [StructField(f.name, f.dataType, True) for f in TICK.fields]
+_INGESTED = StructField("_ingested_at", TimestampType(), True)
+BRONZE = StructType(
+    [
+        *_NULLABLE_TICK,
+        StructField("json_value", StringType(), True),
+        StructField("kafka_timestamp", TimestampType(), True),
+        StructField("partition", IntegerType(), True),
+        StructField("offset", LongType(), True),
+        _INGESTED,
+    ]
+)
+SILVER = StructType([*_NULLABLE_TICK, _INGESTED])
 DEDUP_KEYS = ["symbol", "event_time", "source"]
 
+# Fixed values that must equal the reference: window statistics and gold columns.
 WINDOW_STATS_COLS = [
     "symbol",
     "window_start",
@@ -121,6 +136,10 @@ SERVING_TYPES = {
     "pct_change": DecimalType(8, 4),
     "rsi_14": DecimalType(6, 2),
 }
+SERVING = StructType(
+    [StructField(c, SERVING_TYPES.get(c, GOLD[c].dataType), True) for c in SERVING_COLS]
+    + [StructField("loaded_at", TimestampType(), True)]
+)
 SYMBOL_MAX_LEN = 10
 CURRENCY_MAX_LEN = 8
 SOURCE_MAX_LEN = 32

@@ -16,6 +16,10 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "static",
     "spark.ui.enabled": "false",
+    # Symbols are text: a folder named symbol=0700 must not become the number 700.
+    "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Checkpoint files go once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -73,6 +77,12 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the job's own (staging, an emptied partition) through Hadoop's file system."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     base = shared_dir(spark)

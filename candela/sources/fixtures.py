@@ -65,16 +65,16 @@ def ticks_from_events(events: DataFrame, symbols: str = "event_type") -> DataFra
     )
 
 
-# Tie-break of lineitem ticks: many lines share a (supplier, ship date), and
-# only (l_orderkey, l_linenumber, l_partkey) together order them totally.
-LINEITEM_ORDER = ("event_time", "offset", "partition", "l_partkey")
+# Order of lineitem ticks inside a day: all share the ship date, and
+# (l_orderkey, l_linenumber) is the table's key; an order has at most 7 lines.
+LINEITEM_ORDER = ("tick_order",)
 
 
 def ticks_from_lineitem(lineitem: DataFrame) -> DataFrame:
     """Second, larger tick source: one supplier = one symbol, ship date = time.
 
-    Lineage: offset = l_orderkey, partition = l_linenumber, plus l_partkey;
-    use ``LINEITEM_ORDER`` as the open/close ordering.
+    Lineage: offset = l_orderkey, partition = l_linenumber; ``tick_order``
+    packs both, and is the open/close ordering (``LINEITEM_ORDER``).
     """
     ts = F.col("l_shipdate").cast("timestamp")
     return lineitem.select(
@@ -91,7 +91,7 @@ def ticks_from_lineitem(lineitem: DataFrame) -> DataFrame:
         ts.alias("kafka_timestamp"),
         F.col("l_linenumber").cast("int").alias("partition"),
         F.col("l_orderkey").alias("offset"),
-        F.col("l_partkey"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("tick_order"),
     )
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candela.operators.ingest import bronze, decode_envelope, parse_ticks
-from candela.operators.quality import dedup, quality_filter
+from candela.operators.quality import dedup, quality_filter, silver_predicate
 from candela.operators.window_stats import WATERMARK, stats_json, window_stats
 from candela.schema import DEDUP_KEYS, LINEAGE_COLS, TICK_COLS, TOPIC_PROCESSED, WINDOW_STATS_COLS
 
@@ -125,7 +125,7 @@ def latest_window_stats(spark: SparkSession, path: str, min_batch_id: int | None
     folded earlier batches passes ``min_batch_id``; the filter on the
     ``batch_id`` partition column prunes the older folders.
     """
-    log = spark.read.parquet(path)
+    log = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
     if min_batch_id is not None:
         log = log.filter(F.col("batch_id") >= min_batch_id)
     keys = ["symbol", "window_start"]
@@ -158,7 +158,7 @@ def silver_merge_batch(silver_path: str, keys: Sequence[str] = DEDUP_KEYS, parti
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        clean = quality_filter(batch).filter(F.col("event_time").isNotNull() & F.col("source").isNotNull())
+        clean = batch.filter(silver_predicate(batch.columns))
         fresh = dedup(clean.select(*TICK_COLS, *LINEAGE_COLS))
         if "event_date" in partition_by:
             fresh = fresh.withColumn("event_date", F.to_date("event_time"))
@@ -207,9 +207,8 @@ def start_silver_dedup_within_watermark(
     after its original is kept, and the first copy *seen* wins (not the
     earliest delivered) — use ``start_silver_dedup`` when exactness matters.
     """
-    parsed = quality_filter(parse_ticks(decode_envelope(envelope)).drop("json_value")).filter(
-        F.col("event_time").isNotNull() & F.col("source").isNotNull()
-    )
+    parsed = parse_ticks(decode_envelope(envelope)).drop("json_value")
+    parsed = parsed.filter(silver_predicate(parsed.columns))
     deduped = parsed.withWatermark("event_time", delay).dropDuplicatesWithinWatermark(list(DEDUP_KEYS))
     w = _writer(deduped.select(*TICK_COLS, *LINEAGE_COLS), checkpoint, trigger, "append")
     return w.format("parquet").partitionBy("symbol").option("path", path).start()

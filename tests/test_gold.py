@@ -101,7 +101,7 @@ def dt_(day, hour):
     return dt.datetime(2024, 1, day, hour)
 
 
-def test_packed_order_equals_struct_order_with_ties(spark):
+def test_hashed_open_close_equals_struct_order_with_ties(spark):
     import datetime as dt
 
     rows = [
@@ -112,18 +112,24 @@ def test_packed_order_equals_struct_order_with_ties(spark):
         ("A", dt.datetime(2024, 1, 1, 11, 0), "s9", 7.0, 1),
         ("B", dt.datetime(2024, 1, 2, 0, 0), None, 1.0, 1),
         ("B", dt.datetime(2024, 1, 2, 0, 0), "a", 2.0, 1),
+        ("C", dt.datetime(2024, 1, 2, 0, 0), "a", 0.1, 1),
+        ("C", dt.datetime(2024, 1, 2, 0, 0), "b", 0.1, 1),
+        ("C", dt.datetime(2024, 1, 2, 0, 1), "b", 0.1, 1),
+        ("D", dt.datetime(2024, 1, 2, 0, 0), "a", None, 1),
     ]
     t = spark.createDataFrame(rows, "symbol string, event_time timestamp, source string, price double, volume bigint")
-    packed = G.daily_ohlcv(t, packed=True)
-    assert "HashAggregate" in packed._jdf.queryExecution().executedPlan().toString()
-    assert _rows(packed) == _rows(G.daily_ohlcv(t))
-    r = {x.symbol: x for x in packed.collect()}
+    r = {x.symbol: x for x in G.daily_ohlcv(t).collect()}
     assert (r["A"].open_price, r["A"].close_price) == (4.0, 7.0)
     assert (r["B"].open_price, r["B"].close_price) == (1.0, 2.0)  # NULL source sorts first
-
-
-def test_packed_order_falls_back_beyond_the_bound(spark):
-    t = ticks(spark, SF)
-    assert G.with_packed_order(t, max_sources=1) is None  # 3 sources > 1: keep the struct ordering
-    assert _rows(G.daily_ohlcv(t, packed=True)) == _rows(G.daily_ohlcv(t))
-    assert _rows(G.gold_daily(ticks(spark, SF, "user"), packed=True)) == _rows(G.gold_daily(ticks(spark, SF, "user")))
+    assert r["C"].volatility == 0.0 and r["D"].volatility is None and r["D"].avg_price is None
+
+
+def test_merged_days_equal_a_plain_aggregate(spark):
+    t = G.with_trade_date(ticks(spark, SF))
+    order = F.struct("event_time", "source")
+    plain = t.groupBy("symbol", "trade_date").agg(
+        F.min_by("price", order).alias("open_price"), F.max("price").alias("high_price"), F.min("price").alias("low_price"),
+        F.max_by("price", order).alias("close_price"), F.sum("volume").alias("total_volume"), F.avg("price").alias("avg_price"),
+        F.stddev_samp("price").alias("volatility"),
+    )
+    assert _rows(G.daily_ohlcv(ticks(spark, SF))) == _rows(plain)

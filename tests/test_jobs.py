@@ -132,10 +132,36 @@ def test_gold_incremental_job_rewrites_only_touched_symbols(spark, landing):
     assert all(after[d] == before[d] for d in before if d != "symbol=click")
 
 
-def test_gold_job_packed_order_matches_default(spark, landing):
+def test_symbols_stay_text(spark):
+    """Symbols of digits keep their leading zeros through the silver and gold jobs."""
+    rows = ticks(spark, SF).withColumn("symbol", F.concat(F.lit("0"), (F.col("offset") % 3 * 7).cast("string")))
+    landing, root = scratch_path(spark, "landing"), scratch_path(spark, "lake")
+    fx.envelope_from_ticks(rows).write.parquet(landing)
+    jobs.JOBS["nightly"](spark, jobs.parse_args(["nightly", "--root", root, "--source-path", landing]))
+    for step in ("silver", "gold"):
+        found = spark.read.parquet(f"{root}/{step}").select("symbol").distinct().collect()
+        assert {r.symbol for r in found} == {"00", "07", "014"}
+
+
+def test_silver_job_writes_its_rejects(spark, landing):
+    from candela.operators import quality
+    from candela.plans.catalog import bronze
+
+    root = scratch_path(spark, "lake")
+    jobs.JOBS["nightly"](spark, jobs.parse_args(["nightly", "--root", root, "--source-path", landing]))
+    want = quality.quality_rejects(bronze(spark, SF, redelivered=True)).count()
+    rejects = spark.read.parquet(f"{root}/silver_rejects")
+    assert rejects.count() == want > 0
+    assert rejects.filter(F.size("reasons") == 0).count() == 0
+
+
+def test_staging_is_deleted(spark, landing):
+    import glob
+
+    from candela.session import shared_dir
+
+    pattern = f"{shared_dir(spark).removeprefix('file:')}/candela/*staging*"
+    before = set(glob.glob(pattern))
     root = scratch_path(spark, "lake")
     jobs.JOBS["nightly"](spark, jobs.parse_args(["nightly", "--root", root, "--source-path", landing]))
-    out = scratch_path(spark, "gold_packed")
-    jobs.JOBS["gold"](spark, jobs.parse_args(["gold", "--input-path", f"{root}/silver", "--output-path", out, "--packed-order"]))
-    base = spark.read.parquet(f"{root}/gold")
-    assert sorted(canon(spark.read.parquet(out).select(*base.columns)).collect()) == sorted(canon(base).collect())
+    assert set(glob.glob(pattern)) <= before

@@ -18,10 +18,19 @@ def _plan(df):
 
 def test_gold_has_two_exchanges_and_one_window_sort(spark):
     p = _plan(gold(spark, SF))
-    assert p.count("Exchange hashpartitioning") == 2
+    # tick level by (symbol, day, source), its few rows by (symbol, day), daily rows by symbol
+    assert p.count("Exchange hashpartitioning") == 3
     assert p.count("Window [") == 2
 
 
+def test_tick_level_gold_is_hashed(spark):
+    from candela.plans.catalog import daily
+
+    lines = _plan(daily(spark, SF)).split("\n")
+    tick_level = [x for x in lines if "_second" in x and "Aggregate" in x and "var_pop" in x]
+    assert tick_level and all("HashAggregate" in x and "SortAggregate" not in x for x in tick_level)
+
+
 def test_gold_scan_is_pruned(spark):
     p = _plan(gold(spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string>" in p  # event_id is not read
@@ -67,7 +76,7 @@ def test_windows_share_sort_in_indicators(spark):
 
     d = G.daily_ohlcv(ticks(spark, SF))
     p = _plan(I.with_sma(G.with_rsi(G.with_prev_close(d)), 5))
-    assert p.count("Exchange hashpartitioning") == 2  # aggregate + one for all windows
+    assert p.count("Exchange hashpartitioning") == 3  # two aggregates + one for all windows
     assert p.count("Window [") == 2  # lag; then every trailing frame in one node
 
 
@@ -106,18 +115,38 @@ def test_partitioned_write_uses_rebalance(spark):
     assert "RebalancePartitions" in plan
 
 
-def test_distributed_rank_equals_single_task_rank(spark):
+def test_rank_over_ranges_with_ties_and_other_columns(spark):
+    """At least eight ranges, columns outside the order, many rows of equal price."""
+    from pyspark.sql import Window
+
     from candela.operators import ranking
 
-    df = ticks(spark, SF).select("offset", "price")
-    order = [F.col("price").desc(), F.col("offset")]
-    small = ranking.with_position(df, order)
-    old = ranking.SINGLE_TASK_LIMIT
-    ranking.SINGLE_TASK_LIMIT = 0  # force the range-partitioned path
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
     try:
-        ranged = ranking.with_position(df, order)
-        assert "rangepartitioning" in _plan(ranged)
+        df = ticks(spark, SF).select("offset", F.floor(F.col("price") / 50).alias("price"), "symbol", "event_time", "source")
+        order = [F.col("price").desc_nulls_first(), F.col("offset")]
+        ranked = ranking.with_position(df, order)
+        want = df.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+        assert sorted(map(str, ranked.collect())) == sorted(map(str, want.collect()))
+        big = spark.range(1_200_000).selectExpr("id", "id % 1000 AS k", "cast(id AS string) AS a", "id * 2 AS b")
+        ranks = ranking.with_position(big, [F.col("k"), F.col("id")])
+        # rows of key k stand after those of smaller keys: 1200 each, in order of id
+        wrong = ranks.filter(F.col("rank") != F.col("k") * 1200 + F.expr("id div 1000") + 1)
+        assert wrong.count() == 0 and ranks.count() == 1_200_000
     finally:
-        ranking.SINGLE_TASK_LIMIT = old
-    assert sorted(small.collect()) == sorted(ranged.collect())
-    assert sorted(r["rank"] for r in ranged.collect()) == list(range(1, df.count() + 1))
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_untouched_symbols_never_reach_a_window(spark):
+    """Gold is cut to the touched symbols by an inner join below every window."""
+    path = scratch_path(spark, "gold_prev")
+    gold(spark, SF, "user").write.parquet(path)
+    prev = spark.read.schema(GOLD).parquet(path)
+    all_ticks = ticks(spark, SF, "user")
+    new = all_ticks.filter("event_time >= '2024-01-29' and symbol in ('U1', 'U2')")
+    recomputed, start = G.gold_changes(prev, all_ticks, new)
+    assert {r.symbol for r in recomputed.select("symbol").distinct().collect()} == {r.symbol for r in start.collect()} <= {"U1", "U2"}
+    plan = recomputed._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    first_window = min(i for i, x in enumerate(plan) if "Window [" in x)
+    assert not any("LeftOuter" in x for x in plan[first_window:])

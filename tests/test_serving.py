@@ -82,3 +82,81 @@ def test_staging_projection(spark):
     )
     r = serving.staging_raw_ticks(t).first()
     assert r.id == 7 and r.open_price == Decimal("1.0000") and r.price == Decimal("1.5000")
+
+
+def test_decimals_round_half_away_from_zero_once(spark):
+    values = [(-0.03125, "-0.0313"), (0.00004999999996, "0.0000"), (-0.00005, "-0.0001"), (0.00005, "0.0001"), (1.00005, "1.0001")]
+    g = spark.createDataFrame([_row(str(i), D1, 1.0, v) for i, (v, _) in enumerate(values)], SCHEMA)
+    got = {r.symbol: r.pct_change for r in serving.serving_typed(g).collect()}
+    assert got == {str(i): Decimal(w) for i, (_, w) in enumerate(values)}
+
+
+def _load(spark, path, rows, **options):
+    from candela.session import scratch_path
+
+    ok, rejects = serving.serving_cast(spark.createDataFrame(rows, SCHEMA))
+    serving.upsert_table(ok, path, scratch_path(spark, "staging"), removed_keys=rejects, **options)
+    from candela.schema import SERVING
+
+    return {(r.symbol, r.trade_date): r.close_price for r in spark.read.schema(SERVING).parquet(path).collect()}
+
+
+def test_table_load_leaves_no_stale_row_and_takes_an_empty_batch(spark):
+    from candela.session import scratch_path
+
+    path = scratch_path(spark, "serving")
+    assert len(_load(spark, path, [_row("A", D1, 1.0), _row("A", D2, 5.0), _row("B", D2, 6.0)])) == 3
+    # the new row of (A, D2) overflows: its old row goes too
+    assert set(_load(spark, path, [_row("A", D2, 500.0, 50000.0)])) == {("A", D1), ("B", D2)}
+    # every row refused, and the day is left empty
+    assert set(_load(spark, path, [_row("A", D1, 1.0, 50000.0)])) == {("B", D2)}
+    assert set(_load(spark, path, [])) == {("B", D2)}
+
+
+def test_table_load_enforces_the_constraints(spark):
+    import pytest
+
+    from candela.session import scratch_path
+
+    path = scratch_path(spark, "serving")
+    _load(spark, path, [_row("A", D1, 1.0)])
+    for bad in ([_row("A", D1, 2.0), _row("A", D1, 3.0)], [_row("WAYTOOLONGSYMBOL", D1, 1.0)], [_row(None, D1, 1.0)]):
+        with pytest.raises(ValueError, match="constraints"):
+            _load(spark, path, bad)
+        assert set(_load(spark, path, [])) == {("A", D1)}
+
+
+def test_delete_day_touches_no_other_date(spark):
+    import os
+
+    from candela.session import scratch_path
+
+    path = scratch_path(spark, "serving")
+    _load(spark, path, [_row("A", D1, 1.0), _row("A", D2, 2.0), _row("A", D3, 3.0)])
+    local = path.removeprefix("file:")
+    before = {d: sorted(os.listdir(f"{local}/{d}")) for d in os.listdir(local) if d.startswith("trade_date")}
+    assert set(_load(spark, path, [_row("B", D3, 4.0)], delete_date="2024-01-02")) == {("A", D1), ("A", D3), ("B", D3)}
+    after = {d: sorted(os.listdir(f"{local}/{d}")) for d in os.listdir(local) if d.startswith("trade_date")}
+    assert set(before) - set(after) == {"trade_date=2024-01-02"}
+    assert after["trade_date=2024-01-01"] == before["trade_date=2024-01-01"]
+
+
+def test_staging_refuses_what_does_not_fit(spark):
+    schema = (
+        "offset long, symbol string, price double, open double, day_high double, day_low double, "
+        "prev_close double, volume bigint, currency string, event_time timestamp, source string"
+    )
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [
+        (1, "A", 1e9, None, None, None, None, 1, "USD", t0, "s"),
+        (2, None, 1.0, None, None, None, None, 1, "USD", t0, "s"),
+        (3, "A", 1.0, 1e12, None, None, None, 1, "US DOLLARS", None, "s" * 40),
+        (4, "A", 1.0, None, None, None, None, 1, "USD", t0, "s"),
+    ]
+    ok, refused = serving.staging_load(spark.createDataFrame(rows, schema))
+    assert [r.id for r in ok.collect()] == [4] and "inserted_at" in ok.columns
+    assert {r.id: r.reasons for r in refused.collect()} == {
+        1: ["overflow_price"],
+        2: ["null_symbol"],
+        3: ["overflow_open_price", "null_event_time", "currency_too_long", "source_too_long"],
+    }
