@@ -87,7 +87,7 @@ def postings(docs: DataFrame, terms: dict[bytes, int], shard_words: int = SHARD_
             order = np.argsort(codes, kind="stable")
             codes, owner, place = codes[order], owner[order].astype("<i4"), place[order].astype("<i4")
             cuts = np.flatnonzero(np.diff(codes, prepend=-1)) if len(codes) else np.zeros(0, dtype=np.int64)
-            ends = np.append(cuts[1:], len(codes))
+            ends = np.append(cuts[1:], len(codes)) if len(cuts) else cuts
             return pd.DataFrame(
                 {
                     "shard": task << 32 | number,

@@ -34,9 +34,9 @@ from candela.llm.common import SpanHasher, stored, text_or_empty
 from candela.llm.quality_rules import FEATURES, statistics
 
 SAMPLE_ROWS = 20_000
-BINS = 12
+BINS = 8
 STEPS = 12
-RIDGE = 1e-3
+RIDGE = 0.02
 
 
 def held_out(doc_id: Column) -> Column:

@@ -390,16 +390,26 @@ def cut_text(text: str, runs) -> tuple[int, int, int, bytes]:
 
 
 def suffix_dedup(
-    docs: DataFrame, *carried: str, length: int = LENGTH, gram: int = GRAM, group_members: int = GROUP_MEMBERS, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame,
+    *carried: str,
+    length: int = LENGTH,
+    gram: int = GRAM,
+    group_members: int = GROUP_MEMBERS,
+    shard_bytes: int = SHARD_BYTES,
+    as_text: bool = False,
 ) -> DataFrame:
-    """Per document the carried columns, byte counts, the number of removed runs and the bytes that stay."""
+    """Per document the carried columns, byte counts, the number of removed runs and the bytes that stay.
+
+    ``as_text`` gives them as a string, without the characters that a cut went through.
+    """
     runs = removed_runs(docs, length, gram, group_members, shard_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [cut_text(t, r) for t, r in zip(batch.column("_text").to_pylist(), batch.column("_runs").to_pylist(), strict=True)]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            added = [pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)]
+            kept = [r[3].decode("utf-8", "ignore") if as_text else r[3] for r in rows]
+            added = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
+            added.append(pa.array(kept, pa.string() if as_text else pa.binary()))
             names = [c for c in batch.schema.names if c not in ("_text", "_runs")]
             columns = [batch.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, *added], [*names, "n_bytes", "n_removed", "n_spans", "kept"])
@@ -410,7 +420,7 @@ def suffix_dedup(
     own = runs.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("runs").alias("_runs"))
     joined = rows.join(own, ["_id", "_mark"], "left").drop("_id", "_mark")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("_text", "_runs")]
-    return joined.mapInArrow(run, ", ".join([*fields, "n_bytes long, n_removed long, n_spans long, kept binary"]))
+    return joined.mapInArrow(run, ", ".join([*fields, "n_bytes long, n_removed long, n_spans long", "kept string" if as_text else "kept binary"]))
 
 
 def suffix_dedup_digest(docs: DataFrame) -> DataFrame:
