@@ -9,13 +9,23 @@ from pyspark.sql import functions as F
 from candela.session import scratch_path
 
 
+#: Texts differ in length by orders of magnitude, so batches sent to Python workers are bounded in bytes.
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
+    bounded_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -80,12 +90,10 @@ class SpanHasher:
         raw = (prefix[end] - prefix[start]) * self.back[start]
         return mix64(raw + (end - start).astype(np.uint64) * _BASE)
 
-    def grams(self, prefix: np.ndarray, k: int) -> np.ndarray:
-        """Hashes of all k-byte spans, by start."""
+    def raw_grams(self, prefix: np.ndarray, k: int) -> np.ndarray:
+        """Polynomial sums of all k-byte spans, by start; their leading bits are well mixed."""
         m = len(prefix) - k
-        if m <= 0:
-            return np.zeros(0, dtype=np.uint64)
-        return mix64((prefix[k:] - prefix[:m]) * self.back[:m] + np.uint64(k) * _BASE)
+        return (prefix[k:] - prefix[:m]) * self.back[:m] if m > 0 else np.zeros(0, dtype=np.uint64)
 
 
 def word_spans(joined: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

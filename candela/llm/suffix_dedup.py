@@ -49,22 +49,28 @@ SHARD_BYTES = 2 << 20
 #: While more than one place in so many is new or open, a level is taken densely.
 DENSE = 16
 #: Texts are hashed in overlapping stretches of this size, so very long ones need bounded memory.
-STRETCH = 1 << 20
+STRETCH = 1 << 19
+
+
+PLACE_BITS = np.uint64(20)
 
 
 def least_in_window(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Place of the least value of each window of ``width`` values (the last of equals)."""
-    if len(hashes) < width:
+    """Place of the least value of each window of ``width`` values (of equals, the last), at most 2**20 places.
+
+    Values count by their leading 44 bits; the place, counted from the end, fills the rest, so one minimum does both.
+    """
+    n = len(hashes)
+    if n < width:
         return np.zeros(0, dtype=np.int64)
-    # Doubling: after each step a value is the least of twice as many; ties keep the later place.
-    value, place, span = hashes, np.arange(len(hashes)), 1
-    while span < width:
+    mask = (np.uint64(1) << PLACE_BITS) - np.uint64(1)
+    least = (hashes & ~mask) | (mask - np.arange(n, dtype=np.uint64))
+    span = 1
+    while span < width:  # each step covers up to twice as many values
         step = min(span, width - span)
-        later = value[step:] <= value[:-step]
-        value = np.where(later, value[step:], value[:-step])
-        place = np.where(later, place[step:], place[:-step])
+        least = np.minimum(least[step:], least[:-step])
         span += step
-    return place
+    return (mask - (least & mask)).astype(np.int64)
 
 
 def anchors(data: np.ndarray, hasher: SpanHasher, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -77,16 +83,15 @@ def anchors(data: np.ndarray, hasher: SpanHasher, length: int, gram: int) -> tup
     for at in range(0, max(n - length + 1, 0), STRETCH):
         begin, end = at, min(n, at + STRETCH + length - 1)
         prefix = hasher.prefix(data[begin:end])
-        grams = hasher.grams(prefix, gram)
-        owner = least_in_window(grams, width)  # by the start of the string
+        owner = least_in_window(hasher.raw_grams(prefix, gram), width)  # by the start of the string
         first = np.flatnonzero(np.diff(owner, prepend=-1))
         last = np.append(first[1:], len(owner)) - 1
         place = owner[first]
-        around = hasher.spans(prefix, first, last + length)
-        found.append((place + begin, grams[place], place - first, last + length - place, around))
+        grams, around = hasher.spans(prefix, place, place + gram), hasher.spans(prefix, first, last + length)
+        found.append((place + begin, grams, place - first, last + length - place, around))
     if not found:
         return tuple(np.zeros(0, dtype=np.int64) for _ in range(5))
-    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+    return found[0] if len(found) == 1 else tuple(np.concatenate(c) for c in zip(*found, strict=True))
 
 
 def as_bytes(text: str) -> np.ndarray:
@@ -103,31 +108,24 @@ def keyed(docs: DataFrame) -> DataFrame:
 def anchor_table(docs: DataFrame, length: int, gram: int) -> DataFrame:
     """An anchor a row: key, place, gram and neighbourhood hashes, reach."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SpanHasher()
         with np.errstate(over="ignore"):
             for batch in batches:
-                out: list[pd.DataFrame] = []
-                for doc, mark, text in zip(batch["id"], batch["mark"], batch["text"], strict=True):
-                    place, grams, left, right, around = anchors(as_bytes(text), hasher, length, gram)
-                    if len(place):
-                        out.append(
-                            pd.DataFrame(
-                                {
-                                    "id": doc, "mark": mark, "place": place.astype(np.int64), "gram": grams.astype(np.int64),
-                                    "around": around.astype(np.int64), "left": left.astype(np.int32), "right": right.astype(np.int32),
-                                }
-                            )
-                        )
-                        if sum(map(len, out)) > 200_000:
-                            yield pd.concat(out, ignore_index=True)
-                            out = []
-                if out:
-                    yield pd.concat(out, ignore_index=True)
+                found = [anchors(as_bytes(t), hasher, length, gram) for t in batch.column("text").to_pylist()]
+                if not found:
+                    continue
+                row = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
+                place, grams, left, right, around = (np.concatenate(c).astype(np.int64) for c in zip(*found, strict=True))
+                columns = [
+                    batch.column("id").take(row), batch.column("mark").take(row), pa.array(place), pa.array(grams), pa.array(around),
+                    pa.array(left.astype(np.int32)), pa.array(right.astype(np.int32)),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "mark", "place", "gram", "around", "left", "right"])
 
     long_enough = keyed(docs).filter(F.octet_length("text") >= length).select("key.id", "key.mark", "text")
     schema = "id string, mark long, place long, gram long, around long, left int, right int"
-    return stored(long_enough.mapInPandas(run, schema), "anchors")
+    return stored(long_enough.mapInArrow(run, schema), "anchors")
 
 
 def sorted_suffixes(data: np.ndarray, depth: int) -> np.ndarray:
@@ -349,13 +347,14 @@ def with_data(docs: DataFrame, rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["gram", "around", "base", "weight", "members", "data"]
         for batch in batches:
+            out = []
             for text, own in zip(batch["text"], batch["wanted"], strict=True):
                 data = text.encode("utf-8", "surrogatepass")
-                out = [
+                out += [
                     (w["gram"], w["around"], w["left"], w["weight"], w["members"], data[w["place"] - w["left"] : w["place"] + w["right"]])
                     for w in own
                 ]
-                yield pd.DataFrame(out, columns=columns)
+            yield pd.DataFrame(out, columns=columns)
 
     texts = keyed(docs).select("key.id", "key.mark", "text")
     found = texts.join(wanted, ["id", "mark"]).select("text", "wanted")
