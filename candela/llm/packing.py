@@ -19,6 +19,7 @@ gives an empty result.
 from __future__ import annotations
 
 import bisect
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -44,16 +45,55 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+#: A run of Latin letters with at most ASCII marks behind it, the shape of most words.
+PLAIN_WORD = re.compile(r"([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+)([!-&(-/:-@\[-`{-~]*)")
+
+
+def byte_letters() -> dict[int, int]:
+    """The printable letter that byte-level models write for each byte: itself, or the next free one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(rest)}
+
+
 class WordIds(dict):
-    """Little-endian unsigned 32-bit ids by word; the tokenizer drops white space, so words are independent."""
+    """Little-endian unsigned 32-bit ids by word; the tokenizer drops white space, so words are independent.
+
+    The tokenizer also parts letters from marks and ignores case, so a plain word is the ids of its lower-case letters,
+    which go to the BPE model itself, and those of its marks. Any other word takes the tokenizer's full way.
+    """
 
     def __init__(self, path: str, limit: int) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.model, self.letters = self.tokenizer.model, byte_letters()
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def full(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def part(self, letters: str) -> bytes:
+        ids = self.parts.get(letters)
+        if ids is None:
+            spelled = letters.encode().decode("latin-1").translate(self.letters)
+            ids = b"".join(t.id.to_bytes(4, "little") for t in self.model.tokenize(spelled))
+            if len(self.parts) >= self.limit:
+                self.parts.clear()
+            self.parts[letters] = ids
+        return ids
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        plain = PLAIN_WORD.fullmatch(word)
+        if plain is None:
+            ids = self.full(word)
+        else:
+            letters, marks = plain.groups()
+            ids = self.part(letters.lower())
+            if marks:
+                if marks not in self:
+                    self[marks] = self.full(marks)
+                ids += self[marks]
         if len(self) >= self.limit:
             self.clear()
         self[word] = ids
