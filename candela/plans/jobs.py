@@ -192,7 +192,12 @@ def parse_args(argv=None):
     p.add_argument("--run-date", default=None)
     p.add_argument("--root", default="./data")
     p.add_argument("--rocksdb", action="store_true", help="RocksDB state store (many symbols/windows)")
-    p.add_argument("--partition-by-date", action="store_true", help="silver_stream: partition by symbol and event_date")
+    p.add_argument(
+        "--partition-by-date",
+        action=argparse.BooleanOptionalAction,
+        default=True,
+        help="silver_stream: partition by symbol and event_date, so the duplicate lookup reads a batch's own days",
+    )
     p.add_argument(
         "--shuffle-partitions",
         type=int,

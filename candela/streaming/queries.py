@@ -19,6 +19,7 @@ from candela.operators.ingest import bronze, decode_envelope, parse_ticks
 from candela.operators.quality import dedup, quality_filter, silver_predicate
 from candela.operators.window_stats import WATERMARK, stats_json, window_stats
 from candela.schema import DEDUP_KEYS, LINEAGE_COLS, TICK_COLS, TOPIC_PROCESSED, WINDOW_STATS_COLS
+from candela.session import remove_path, scratch_path
 
 # Fixed values that must equal the reference: default trigger intervals.
 SILVER_STREAM_TRIGGER = {"processingTime": "15 seconds"}
@@ -114,7 +115,7 @@ def latest_by_key(log: DataFrame, keys: Sequence[str], value_cols: Sequence[str]
     A partial aggregate, so a key updated in every batch still reaches the
     shuffle as one row per map task.
     """
-    picked = log.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), "batch_id").alias("_v"))
+    picked = log.groupBy(*keys).agg(F.max_by(F.struct(*value_cols), F.col("batch_id").cast("bigint")).alias("_v"))
     return picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
@@ -125,35 +126,68 @@ def latest_window_stats(spark: SparkSession, path: str, min_batch_id: int | None
     folded earlier batches passes ``min_batch_id``; the filter on the
     ``batch_id`` partition column prunes the older folders.
     """
-    log = spark.read.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    log = spark.read.parquet(path)
     if min_batch_id is not None:
-        log = log.filter(F.col("batch_id") >= min_batch_id)
+        log = log.filter(F.col("batch_id").cast("bigint") >= min_batch_id)
     keys = ["symbol", "window_start"]
     return latest_by_key(log, keys, [c for c in WINDOW_STATS_COLS if c not in keys]).select(*WINDOW_STATS_COLS)
 
 
+def compact_window_stats(spark: SparkSession, path: str, up_to: int) -> None:
+    """Fold the update log's batches up to ``up_to`` into that batch's folder.
+
+    Readers see the same values at every step: the folded rows replace batch
+    ``up_to`` (its highest version of a key wins anyway) before the older
+    folders go. Call it between micro-batches, with a batch already written.
+    """
+    log = spark.read.parquet(path).filter(F.col("batch_id").cast("bigint") <= up_to)
+    keys = ["symbol", "window_start"]
+    folded = latest_by_key(log, keys, [c for c in WINDOW_STATS_COLS if c not in keys]).select(*WINDOW_STATS_COLS)
+    staging = scratch_path(spark, "stats_compaction")
+    folded.write.parquet(staging)
+    batches = [int(r.batch_id) for r in log.select("batch_id").distinct().collect()]  # one number a folder
+    spark.read.schema(folded.schema).parquet(staging).write.mode("overwrite").parquet(f"{path}/batch_id={up_to}")
+    for batch in batches:
+        if batch < up_to:
+            remove_path(spark, f"{path}/batch_id={batch}")
+    remove_path(spark, staging)
+
+
 def stored_keys(
-    spark: SparkSession, silver_path: str, schema, lo, hi, keys: Sequence[str] = DEDUP_KEYS, partition_by=("symbol",)
+    spark: SparkSession,
+    silver_path: str,
+    schema,
+    lo,
+    hi,
+    keys: Sequence[str] = DEDUP_KEYS,
+    partition_by=("symbol",),
+    days: Sequence | None = None,
 ) -> DataFrame:
-    """Keys already in silver for the event-time span [lo, hi].
+    """Keys already in silver for the event-time span [lo, hi], on the given days if any.
 
-    With ``event_date`` among the partition columns the span prunes whole
-    partitions; otherwise it skips row groups by their event_time statistics.
+    With ``event_date`` among the partition columns the days (or the span)
+    prune whole partitions; otherwise the span skips row groups by their
+    event_time statistics.
     """
     stored = spark.read.schema(schema).parquet(silver_path)
-    if "event_date" in partition_by:
+    if "event_date" in partition_by and days is not None:
+        stored = stored.filter(F.col("event_date").isin(list(days)))
+    elif "event_date" in partition_by:
         stored = stored.filter(F.col("event_date").between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi))))
     return stored.filter(F.col("event_time").between(F.lit(lo), F.lit(hi))).select(*keys)
 
 
-def silver_merge_batch(silver_path: str, keys: Sequence[str] = DEDUP_KEYS, partition_by: Sequence[str] = ("symbol",)):
+def silver_merge_batch(
+    silver_path: str, keys: Sequence[str] = DEDUP_KEYS, partition_by: Sequence[str] = ("symbol", "event_date")
+):
     """foreachBatch body: insert-only merge of a micro-batch into silver.
 
     The batch is deduplicated (earliest delivery wins), then anti-joined with
     the silver keys of the batch's event-time span, so a redelivered copy
     arriving in a later batch is dropped, and a retried batch inserts nothing
-    twice. ``partition_by`` may include ``event_date`` (derived from
-    event_time) so that lookup prunes partitions on a large table.
+    twice. With ``event_date`` (derived from event_time) among the partition
+    columns the lookup reads just the batch's own days, so one late tick does
+    not stretch it over all days in between.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -167,7 +201,10 @@ def silver_merge_batch(silver_path: str, keys: Sequence[str] = DEDUP_KEYS, parti
             span = fresh.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
             if span is None or span.lo is None:
                 return
-            existing = stored_keys(spark, silver_path, fresh.schema, span.lo, span.hi, keys, partition_by)
+            days = None
+            if "event_date" in partition_by:
+                days = [r.event_date for r in fresh.select("event_date").distinct().collect()]  # calendar days of one batch
+            existing = stored_keys(spark, silver_path, fresh.schema, span.lo, span.hi, keys, partition_by, days)
             new_rows = fresh.join(existing, list(keys), "left_anti")
             new_rows.write.mode("append").partitionBy(*partition_by).parquet(silver_path)
         finally:
@@ -186,7 +223,7 @@ def start_silver_dedup(
     silver_path: str,
     checkpoint: str,
     trigger: dict | None = None,
-    partition_by: Sequence[str] = ("symbol",),
+    partition_by: Sequence[str] = ("symbol", "event_date"),
 ) -> StreamingQuery:
     spark = bronze_stream.sparkSession
     parsed = parse_ticks(decode_envelope(bronze_stream)).drop("json_value")

@@ -163,7 +163,7 @@ def test_stream_dedup_date_partitioned_prunes_and_matches(spark):
 
     env = fx.envelope_from_ticks(fx.redelivered_ticks(ticks(spark, SF)))
     a, b = scratch_path(spark, "silver_sym"), scratch_path(spark, "silver_date")
-    replay(spark, env, lambda s, ck: P.start_silver_dedup(s, a, ck, trigger=BOUNDED))
+    replay(spark, env, lambda s, ck: P.start_silver_dedup(s, a, ck, trigger=BOUNDED, partition_by=("symbol",)))
     replay(
         spark,
         env,
@@ -189,3 +189,29 @@ def test_update_log_reader_prunes_old_batches(spark):
     # batches 6-7 hold the last chunk (days 24+) only
     assert recent.filter(F.col("window_start") < "2024-01-24").count() == 0
     assert 0 < recent.count() < P.latest_window_stats(spark, log).count()
+
+
+def test_compaction_keeps_the_current_values(spark):
+    log = scratch_path(spark, "stats_compact")
+    replay(spark, _envelope(spark), lambda s, ck: P.start_window_stats(P.clean_ticks(s), ck, log, trigger=BOUNDED))
+    before = sorted(map(str, P.latest_window_stats(spark, log).collect()))
+    batches = sorted(int(r.batch_id) for r in spark.read.parquet(log).select("batch_id").distinct().collect())
+    P.compact_window_stats(spark, log, batches[-2])
+    left = sorted(int(r.batch_id) for r in spark.read.parquet(log).select("batch_id").distinct().collect())
+    assert left == batches[-2:]
+    assert sorted(map(str, P.latest_window_stats(spark, log).collect())) == before
+
+
+def test_dedup_lookup_reads_only_the_days_of_the_batch(spark):
+    import datetime as dt
+
+    path = scratch_path(spark, "silver_days")
+    rows = ticks(spark, SF).select("symbol", "event_time", "source").withColumn("event_date", F.to_date("event_time"))
+    rows.write.partitionBy("symbol", "event_date").parquet(path)
+    days = [dt.date(2024, 1, 2), dt.date(2024, 1, 20)]
+    keys = P.stored_keys(
+        spark, path, rows.schema, dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 21), partition_by=("symbol", "event_date"), days=days
+    )
+    plan = keys._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert {r.d for r in keys.select(F.to_date("event_time").alias("d")).distinct().collect()} <= set(days)
