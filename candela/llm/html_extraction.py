@@ -445,7 +445,10 @@ class Composer:
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, composed_pages: int = COMPOSED_PAGES) -> Boosted:
     """Boosted trees trained on pages composed of the sample's words."""
-    rows = pages.filter("page_id is not null").select("page_id", "html").orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    # The ids first, so that no task sends more than ids to the driver; then at most so many pages.
+    ids = pages.select("page_id").filter("page_id is not null").distinct().orderBy(F.xxhash64("page_id"), "page_id").limit(sample_pages)
+    chosen = [r["page_id"] for r in ids.collect()]
+    rows = pages.filter(F.col("page_id").isin(chosen)).groupBy("page_id").agg(F.min("html").alias("html")).orderBy("page_id")
     tree, sampled = Tree(), Pages()
     for row in rows.collect():
         sampled.add(tree.parsed(row["html"] or ""))
