@@ -9,11 +9,15 @@ the partial counts are summed per pair.
 
 Groups of copies stay linear. Equal sets are one node. In every posting list
 the node with the fewest shingles before the shared one is the hub, and first
-only hub pairs are verified; lists whose members became connected are done.
-What is left - pairs of different components that the length and position
+only pairs with a hub are verified; lists whose members became connected are
+done. What is left - pairs of different components that the length and position
 bounds allow - is verified in full, so no link between different components is
 lost and no pair inside a component needs checking.
 
+Shingles and postings travel in blocks: packed arrays by bucket, the leading
+bits of the hash, which are more for more partitions. Overlaps are counted on 48
+bits of the hashes of two sets.
+
 The frequency classes only steer how many candidates there are, never the
 result: the ``ordered_last`` most frequent shingles are moved to the end of the
 order (counted over all documents, equal sets inside a task once), the rest
@@ -32,10 +36,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import SpanHasher, mix64, partitions, shingle_hashes, stored, text_or_empty
+from candela.llm.common import SpanHasher, partitions, shingle_hashes, stored, text_or_empty
 from candela.llm.components import connected_components
 
 SIZE = 4
@@ -44,7 +49,6 @@ PERCENT = 85
 FRAGMENTS = 8
 #: Shingles that get a frequency class (9 bytes each on every worker).
 ORDERED_LAST = 1 << 19
-HUB_ROUNDS = 2
 
 
 def shingle_set(text: str, hasher: SpanHasher, size: int = SIZE) -> np.ndarray:
@@ -54,11 +58,24 @@ def shingle_set(text: str, hasher: SpanHasher, size: int = SIZE) -> np.ndarray:
 
 
 def set_fingerprint(hashes: np.ndarray) -> int:
-    """64-bit fingerprint of a set, as a signed number."""
-    with np.errstate(over="ignore"):
-        n = np.uint64(len(hashes))
-        value = mix64(np.atleast_1d(mix64(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64) + n))
-    return int(value.astype(np.int64)[0])
+    """64-bit fingerprint of a set of well mixed hashes, as a signed number."""
+    value = int(hashes.sum(dtype=np.uint64)) * 0x9E3779B97F4A7C15 + len(hashes) * 0xC2B2AE3D27D4EB4F
+    value = (value ^ (value >> 29)) & 0xFFFFFFFFFFFFFFFF
+    return value - (1 << 64) if value >> 63 else value
+
+
+def bucket_bits(docs: DataFrame) -> int:
+    return max(8, partitions(docs).bit_length() + 2)
+
+
+def planes(values: np.ndarray) -> bytes:
+    """The bytes of sorted numbers by significance, which compress better than number by number."""
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def from_planes(data: bytes, kind: str) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(width, -1).T).view(kind).ravel()
 
 
 class Order:
@@ -80,11 +97,10 @@ class Order:
 def frequency_order(docs: DataFrame, size: int, ordered_last: int) -> Order:
     """Classes of the most frequent shingles, counted over all documents.
 
-    Tasks send sorted 32-bit remainders in blocks by bucket (the leading bits, more of them
-    for more partitions), so a shingle costs four bytes.
+    Tasks send sorted 32-bit remainders in blocks by bucket, so a shingle costs four bytes at most.
     """
-    bucket_bits = max(8, partitions(docs).bit_length() + 2)
-    rest = np.uint64(64 - bucket_bits - 32)
+    bits = bucket_bits(docs)
+    rest = np.uint64(64 - bits - 32)
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher, seen = SpanHasher(), set()
@@ -98,7 +114,7 @@ def frequency_order(docs: DataFrame, size: int, ordered_last: int) -> Order:
             ends = np.append(cuts[1:], len(keys))
             low = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
             return pd.DataFrame(
-                {"bucket": bucket[cuts].astype(np.int32), "keys": [low[a:b].tobytes() for a, b in zip(cuts, ends, strict=True)]}
+                {"bucket": bucket[cuts].astype(np.int32), "keys": [planes(low[a:b]) for a, b in zip(cuts, ends, strict=True)]}
             )
 
         with np.errstate(over="ignore"):
@@ -111,14 +127,14 @@ def frequency_order(docs: DataFrame, size: int, ordered_last: int) -> Order:
                     seen.add(mark)
                     held.append(hashes)
                     count += len(hashes)
-                    if count >= 4_000_000:
+                    if count >= 2_000_000:
                         yield flush()
                         held, count = [], 0
             if held:
                 yield flush()
 
     def counted(rows: pd.DataFrame) -> pd.DataFrame:
-        keys, times = np.unique(np.frombuffer(b"".join(rows["keys"]), dtype="<u4"), return_counts=True)
+        keys, times = np.unique(np.concatenate([from_planes(k, "<u4") for k in rows["keys"]]), return_counts=True)
         often = times > 1
         keys, classes = keys[often], np.minimum(1 + 4 * np.log2(times[often]), 255).astype(np.uint8)
         histogram = np.bincount(classes, minlength=256).tolist()
@@ -147,36 +163,108 @@ def frequency_order(docs: DataFrame, size: int, ordered_last: int) -> Order:
 
     rows = table.drop("histogram").mapInPandas(chosen, "keys binary, classes binary").toPandas()
     keys = np.frombuffer(b"".join(rows["keys"]), dtype=np.uint64)
-    return Order(keys, np.frombuffer(b"".join(rows["classes"]), dtype=np.uint8), bucket_bits + 32)
+    return Order(keys, np.frombuffer(b"".join(rows["classes"]), dtype=np.uint8), bits + 32)
+
+
+PREFIX_TYPES = {
+    "doc_id": pa.string(), "mark": pa.int64(), "n_shingles": pa.int64(), "bucket": pa.int32(), "keys": pa.binary(),
+    "nodes": pa.binary(), "sizes": pa.binary(), "places": pa.binary(),
+}
+
+
+def prefix_batch(**columns) -> pa.RecordBatch:
+    """Some of the prefix table's columns, the others null."""
+    n = len(next(iter(columns.values())))
+    held = [pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in PREFIX_TYPES.items()]
+    return pa.RecordBatch.from_arrays(held, list(PREFIX_TYPES))
 
 
 def prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
-    """Per document: set fingerprint (null: empty set), set size and prefix, in order."""
+    """One row a document (doc_id, mark: set fingerprint, n_shingles) and, bucket set, blocks of prefix postings."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
+    rest = np.uint64(64 - bucket_bits(docs) - 32)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, ranks = SpanHasher(), shared.value
+        heads: list[np.ndarray] = []
+        marks: list[int] = []
+        sizes: list[int] = []
+        seen: set[int] = set()
+
+        def flush() -> pa.RecordBatch:
+            lengths = [len(h) for h in heads]
+            keys = np.concatenate(heads) >> rest
+            by = np.argsort(keys, kind="stable")
+            keys = keys[by]
+            bucket = (keys >> np.uint64(32)).astype(np.int32)
+            low = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
+            node = np.repeat(np.array(marks, dtype="<i8"), lengths)[by]
+            n = np.repeat(np.array(sizes, dtype="<i4"), lengths)[by]
+            place = np.concatenate([np.arange(k, dtype="<i4") for k in lengths])[by]
+            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+            spans = list(zip(cuts, np.append(cuts[1:], len(keys)), strict=True))
+            columns = {"keys": low, "nodes": node, "sizes": n, "places": place}
+            return prefix_batch(bucket=bucket[cuts], **{c: [planes(v[a:b]) for a, b in spans] for c, v in columns.items()})
+
         with np.errstate(over="ignore"):
             for batch in batches:
-                marks, sizes, heads = [], [], []
-                for text in batch["_text"]:
+                own_marks, own_sizes = [], []
+                for text in batch.column("_text").to_pylist():
                     hashes = shingle_set(text, hasher, size)
                     n = len(hashes)
-                    sizes.append(n)
-                    marks.append(set_fingerprint(hashes) if n else 0)
+                    mark = set_fingerprint(hashes) if n else 0
+                    own_marks.append(mark)
+                    own_sizes.append(n)
+                    if not n or mark in seen:
+                        continue
+                    seen.add(mark)
                     ranked = np.argsort(ranks.of(hashes), kind="stable")
-                    head = hashes[ranked[: n - -(-percent * n // 100) + 1]] if n else hashes
-                    heads.append(head.astype(np.int64))
-                yield pd.DataFrame(
-                    {"doc_id": batch["doc_id"], "mark": marks, "n_shingles": np.array(sizes, dtype=np.int64), "prefix": heads}
-                )
+                    heads.append(hashes[ranked[: n - -(-percent * n // 100) + 1]])
+                    marks.append(mark)
+                    sizes.append(n)
+                if own_marks:
+                    yield prefix_batch(doc_id=batch.column("doc_id").to_pylist(), mark=own_marks, n_shingles=own_sizes)
+                if sum(map(len, heads)) >= 500_000:
+                    yield flush()
+                    heads, marks, sizes = [], [], []
+            if heads:
+                yield flush()
 
     rows = docs.select(F.col("doc_id").cast("string").alias("doc_id"), text_or_empty().alias("_text"))
-    return rows.mapInPandas(run, "doc_id string, mark long, n_shingles long, prefix array<long>")
+    schema = "doc_id string, mark long, n_shingles long, bucket int, keys binary, nodes binary, sizes binary, places binary"
+    return rows.mapInArrow(run, schema)
+
+
+def posting_lists(blocks: DataFrame, percent: int) -> DataFrame:
+    """Postings (shingle, node, n, i) of lists of two or more nodes, if another member could be reached from there.
+
+    i is the shingle's place in the node's set; the bound takes the least place of any other member.
+    """
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        key, node, n, i = (
+            np.concatenate([from_planes(v, kind) for v in rows[c]]).astype(np.int64)
+            for c, kind in (("keys", "<u4"), ("nodes", "<i8"), ("sizes", "<i4"), ("places", "<i4"))
+        )
+        by = np.lexsort((node, i, key))
+        key, node, n, i = key[by], node[by], n[by], i[by]
+        # Equal sets met by several tasks have equal postings, next to each other.
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])))
+        key, node, n, i = key[new], node[new], n[new], i[new]
+        first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        length = np.diff(np.append(first, len(key)))
+        head = np.repeat(first, length)
+        second = np.minimum(head + 1, len(key) - 1)
+        least = np.where(np.arange(len(key)) == head, i[second], i[head])
+        keep = (np.repeat(length, length) > 1) & (100 * (n - i) >= percent * (n + least))
+        shingle = key[keep] | np.int64(rows["bucket"].iloc[0]) << 32
+        return pd.DataFrame({"shingle": shingle, "node": node[keep], "n": n[keep], "i": i[keep]})
+
+    return blocks.groupBy("bucket").applyInPandas(run, "shingle long, node long, n long, i long")
 
 
 def node_sets(docs: DataFrame, source: DataFrame, order: Order, size: int, parts: int) -> DataFrame:
-    """The sets of the nodes in ``source`` (node, rep), cut along the global order; repeated rows give equal copies."""
+    """The sets of the nodes in ``source`` (node, rep, is_hub), cut along the global order; repeated rows give equal copies."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -184,21 +272,43 @@ def node_sets(docs: DataFrame, source: DataFrame, order: Order, size: int, parts
         width = np.uint64((1 << 64) // (parts - 1) + 1)
         with np.errstate(over="ignore"):
             for batch in batches:
-                node, part, held = [], [], []
-                for i, text in zip(batch["node"], batch["_text"], strict=True):
+                node, hub, part, held = [], [], [], []
+                for i, is_hub, text in zip(batch["node"], batch["is_hub"], batch["_text"], strict=True):
                     hashes = shingle_set(text, hasher, size)
                     if set_fingerprint(hashes) != i:
                         continue  # another text under the same id
                     own = np.where(ranks.of(hashes) > 0, parts - 1, (hashes // width).astype(np.int64))
                     for p in np.unique(own).tolist():
                         node.append(i)
+                        hub.append(is_hub)
                         part.append(p)
-                        held.append(hashes[own == p].astype(np.int64))
-                yield pd.DataFrame({"node": np.array(node, dtype=np.int64), "fragment": np.array(part, dtype=np.int32), "shingles": held})
+                        short = (hashes[own == p] >> np.uint64(16)).astype("<u8")
+                        held.append(short.view(np.uint8).reshape(-1, 8)[:, :6].tobytes())
+                yield pd.DataFrame(
+                    {"node": np.array(node, dtype=np.int64), "is_hub": np.array(hub, dtype=bool), "fragment": np.array(part, dtype=np.int32), "shingles": held}
+                )
 
     texts = docs.select(F.col("doc_id").cast("string").alias("rep"), text_or_empty().alias("_text"))
-    found = source.join(texts, source["rep"].eqNullSafe(texts["rep"])).select("node", "_text")
-    return stored(found.mapInPandas(run, "node long, fragment int, shingles array<long>"), "fragments")
+    found = source.join(texts, source["rep"].eqNullSafe(texts["rep"])).select("node", "is_hub", "_text")
+    return stored(found.mapInPandas(run, "node long, is_hub boolean, fragment int, shingles binary"), "fragments")
+
+
+def common_counts(left: pd.Series, right: pd.Series) -> np.ndarray:
+    """For each row how many 48-bit values two sets share; rows are told apart by the leading 16 bits."""
+    out = np.zeros(len(left), dtype=np.int64)
+    for at in range(0, len(left), 1 << 16):
+        values = []
+        for column in (left, right):
+            held = column.iloc[at : at + (1 << 16)]
+            counts = held.map(len).to_numpy() // 6
+            wide = np.zeros((int(counts.sum()), 8), dtype=np.uint8)
+            wide[:, :6] = np.frombuffer(b"".join(held), dtype=np.uint8).reshape(-1, 6)
+            values.append(wide.view("<u8").ravel() | np.repeat(np.arange(len(held), dtype=np.uint64), counts) << np.uint64(48))
+        both = np.sort(np.concatenate(values))
+        row = (both[1:][both[1:] == both[:-1]] >> np.uint64(48)).astype(np.int64)
+        found = np.bincount(row, minlength=len(held))
+        out[at : at + len(found)] = found
+    return out
 
 
 def possible(n: str, m: str, i: str, j: str, percent: int) -> Column:
@@ -210,12 +320,18 @@ def possible(n: str, m: str, i: str, j: str, percent: int) -> Column:
     )
 
 
-def verified(pairs: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The linked pairs: overlaps counted fragment by fragment, then summed."""
-    left = sets.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("_x"))
+def verified(pairs: DataFrame, hubs: DataFrame, sets: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The linked pairs (a among ``hubs``): overlaps counted fragment by fragment, then summed."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            part = common_counts(batch.pop("_x"), batch.pop("_y"))
+            yield batch.assign(part=part)
+
+    left = hubs.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("_x"))
     right = sets.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("_y"))
-    partial = pairs.join(left, "a").join(right, ["b", "fragment"])
-    partial = partial.select("a", "b", "fragment", F.size(F.array_intersect("_x", "_y")).cast("long").alias("part"))
+    partial = pairs.join(left, "a").join(right, ["b", "fragment"]).select("a", "b", "fragment", "_x", "_y")
+    partial = partial.mapInPandas(run, "a long, b long, fragment int, part long")
     partial = partial.groupBy("a", "b", "fragment").agg(F.max("part").alias("part"))
     overlap = partial.groupBy("a", "b").agg(F.sum("part").alias("overlap"))
     sizes = nodes.select("node", "n")
@@ -230,22 +346,17 @@ def jaccard_components(
 ) -> DataFrame:
     """Per document: doc_id, n_shingles and the smallest doc_id reachable by links."""
     kind = docs.schema["doc_id"].dataType
+    docs = docs.select("doc_id", "text")
     order = frequency_order(docs, size, ordered_last)
-    with_prefix = prefixes(docs.select("doc_id", "text"), order, size, percent)
-    rows = stored(with_prefix.withColumn("doc_id", F.col("doc_id").cast(kind)), "prefixes")
+    written = stored(prefixes(docs, order, size, percent), "prefixes")
+    rows = written.filter("bucket is null").select(F.col("doc_id").cast(kind).alias("doc_id"), "mark", "n_shingles")
     full = rows.filter("n_shingles > 0")
-    # One node for each distinct set; copies are counted down before anything is shuffled by shingle.
-    grouped = full.groupBy(F.col("mark").alias("node")).agg(
-        F.min("doc_id").alias("smallest"), F.max("n_shingles").alias("n"), F.min("prefix").alias("prefix")
-    )
-    grouped = stored(grouped, "nodes")
-    nodes = grouped.select("node", "smallest", "n")
-    postings = grouped.select("node", "n", F.posexplode("prefix").alias("i", "shingle"))
-    shared = postings.groupBy("shingle").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("shingle")
-    postings = stored(prune(stored(postings.join(shared, "shingle"), "shared"), percent), "postings")
-    links = linked(docs, rows, nodes, postings, order, size, percent, parts)
-    parts_of = connected_components(links)
-    labelled = nodes.join(parts_of, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    # One node for each distinct set.
+    nodes = full.groupBy(F.col("mark").alias("node")).agg(F.min("doc_id").alias("smallest"), F.max("n_shingles").alias("n"))
+    nodes = stored(nodes, "nodes")
+    postings = stored(posting_lists(written.filter("bucket is not null").select("bucket", "keys", "nodes", "sizes", "places"), percent), "postings")
+    labels = connected_components(linked(docs, full, nodes, postings, order, size, percent, parts))
+    labelled = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("smallest").alias("component_id"))
     of_node = labelled.join(least, "component").select(F.col("node").alias("mark"), "component_id")
     empty = rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
@@ -253,58 +364,32 @@ def jaccard_components(
     return joined.unionByName(empty)
 
 
-def prune(postings: DataFrame, percent: int) -> DataFrame:
-    """Postings that some other member of their list could reach by position (list minima, so one pass)."""
-    least = postings.groupBy("shingle").agg(F.min(F.struct("i", "node")).alias("first"), F.count(F.lit(1)).alias("members"))
-    second = (
-        postings.join(least.select("shingle", F.col("first.node").alias("_hub")), "shingle")
-        .filter("node != _hub").groupBy("shingle").agg(F.min("i").alias("next"))
-    )
-    bounds = least.join(second, "shingle").select("shingle", "first", "next")
-    j = F.when(F.col("node") == F.col("first.node"), F.col("next")).otherwise(F.col("first.i"))
-    kept = postings.join(bounds, "shingle").filter(100 * (F.col("n") - F.col("i")) >= percent * (F.col("n") + j))
-    return kept.select("shingle", "node", "n", "i")
+def candidates(members: DataFrame, others: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (b: of ``members``, a: of ``others``) of a common list and different components, within the bounds."""
+    others = others.select(
+        "shingle", F.col("node").alias("a"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("component").alias("other")
+    )
+    pairs = members.withColumnRenamed("node", "b").join(others, "shingle").filter(F.col("component") != F.col("other"))
+    return pairs.filter(possible("n", "m", "i", "j", percent)).select("a", "b").distinct()
 
 
-def linked(docs, rows, nodes, postings, order, size, percent, parts) -> DataFrame:
+def linked(docs, full, nodes, postings, order, size, percent, parts) -> DataFrame:
     """All links needed to connect what is connected."""
-    involved = postings.select("node").distinct()
-    source = rows.filter("n_shingles > 0").select(F.col("mark").alias("node"), F.col("doc_id").cast("string").alias("rep"))
-    # A node's text is that of any of its documents; take the smallest id (as text) for a stable choice.
-    source = source.join(involved, "node", "left_semi").groupBy("node").agg(F.min("rep").alias("rep"))
+    members = postings.withColumn("component", F.col("node"))
+    hubs = members.groupBy("shingle").agg(F.min_by(F.struct("node", "n", "i", "component"), F.struct("i", "node")).alias("hub"))
+    first = stored(candidates(members, hubs.select("shingle", "hub.*"), percent), "hub-pairs")
+    # A node's text is that of any of its documents; the smallest id (as text) is a stable choice.
+    source = full.select(F.col("mark").alias("node"), F.col("doc_id").cast("string").alias("rep"))
+    source = source.join(postings.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("rep").alias("rep"))
+    hub_nodes = first.select(F.col("a").alias("node")).distinct().withColumn("is_hub", F.lit(True))
+    source = source.join(hub_nodes, "node", "left").withColumn("is_hub", F.coalesce("is_hub", F.lit(False)))
     sets = node_sets(docs, source, order, size, parts)
-    links, done = None, None
-    for step in range(HUB_ROUNDS + 1):
-        members = postings
-        if links is not None:
-            members = postings.join(connected_components(links), "node", "left")
-            members = members.withColumn("component", F.coalesce("component", "node"))
-            open_lists = members.groupBy("shingle").agg(
-                F.min("component").alias("_low"), F.max("component").alias("_high")
-            ).filter("_low != _high").select("shingle")
-            members = stored(members.join(open_lists, "shingle"), "open-lists")
-        else:
-            members = members.withColumn("component", F.col("node"))
-        if step < HUB_ROUNDS:
-            # Later rounds look for a hub in the component of the highest number, so another one is tried.
-            first = F.struct("i", "node") if step == 0 else F.struct(-F.col("component"), "i", "node")
-            hubs = members.groupBy("shingle").agg(
-                F.min_by(F.struct("node", "n", "i", "component"), first).alias("hub")
-            ).select("shingle", F.col("hub.node").alias("b"), F.col("hub.n").alias("m"), F.col("hub.i").alias("j"), F.col("hub.component").alias("other"))
-        else:
-            hubs = members.select(
-                "shingle", F.col("node").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("component").alias("other")
-            )
-        pairs = members.withColumnRenamed("node", "a").join(hubs, "shingle")
-        pairs = pairs.filter(F.col("component") != F.col("other"))
-        if step == HUB_ROUNDS:
-            pairs = pairs.filter("a < b")
-        pairs = pairs.filter(possible("n", "m", "i", "j", percent))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        done = pairs if done is None else done.unionByName(pairs)
-        found = stored(verified(pairs, sets, nodes, percent), "links")
-        links = found if links is None else links.unionByName(found)
-    return links
+    links = stored(verified(first, sets.filter("is_hub"), sets, nodes, percent), "hub-links")
+    # Lists that still span components: every pair across them.
+    members = postings.join(connected_components(links), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    spread = members.groupBy("shingle").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+    members = stored(members.join(spread.filter("_low != _high").select("shingle"), "shingle"), "open-lists")
+    rest = candidates(members, members, percent).filter("a < b")
+    checked = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = stored(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs")
+    return links.unionByName(stored(verified(rest, sets, sets, nodes, percent), "rest-links"))
