@@ -3,8 +3,8 @@
 Each query replays the envelope fixture (derived from ``events``) in four
 delivery-time chunks through a real Structured Streaming query, restarting
 from its checkpoint after each chunk, and returns what the sink holds. The
-oracle is the batch SQL of the same result; ``stream_late_drop`` has none, as
-its outcome depends on chunk boundaries by design.
+oracle is the batch SQL of the same result; that of ``stream_late_drop`` uses
+the replay's fixed chunk boundaries, which decide its outcome.
 """
 
 from __future__ import annotations
