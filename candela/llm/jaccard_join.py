@@ -47,6 +47,8 @@ SIZE = 4
 #: Similarity threshold in hundredths.
 PERCENT = 85
 FRAGMENTS = 8
+#: Hash slots of a prefilter: what is broadcast is never more rows than this.
+SLOTS = 1 << 18
 #: Shingles that get a frequency class (9 bytes each on every worker).
 ORDERED_LAST = 1 << 19
 
@@ -263,6 +265,16 @@ def posting_lists(blocks: DataFrame, percent: int) -> DataFrame:
     return blocks.groupBy("bucket").applyInPandas(run, "shingle long, node long, n long, i long")
 
 
+def possible_rows(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` may be among ``keys``, before they are shuffled: a semi join on hash slots.
+
+    Beyond a few hundred thousand keys more and more other rows pass; the join that follows is exact.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS)).alias("_slot")
+    slots = keys.select(slot).distinct()  # SLOTS rows at most
+    return rows.select("*", slot).join(F.broadcast(slots), "_slot", "left_semi").drop("_slot")
+
+
 def node_sets(docs: DataFrame, source: DataFrame, order: Order, size: int, parts: int) -> DataFrame:
     """The sets of the nodes in ``source`` (node, rep, is_hub), cut along the global order; repeated rows give equal copies."""
     shared = docs.sparkSession.sparkContext.broadcast(order)
@@ -392,4 +404,7 @@ def linked(docs, full, nodes, postings, order, size, percent, parts) -> DataFram
     rest = candidates(members, members, percent).filter("a < b")
     checked = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = stored(rest.join(checked, ["a", "b"], "left_anti"), "rest-pairs")
-    return links.unionByName(stored(verified(rest, sets, sets, nodes, percent), "rest-links"))
+    # Few nodes are left to compare; only their sets should move.
+    left = possible_rows(sets, rest.select(F.col("a").alias("node")), "node")
+    right = possible_rows(sets, rest.select(F.col("b").alias("node")), "node")
+    return links.unionByName(stored(verified(rest, left, right, nodes, percent), "rest-links"))
