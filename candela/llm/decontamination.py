@@ -16,8 +16,8 @@ vocabulary and one block's phrases are in memory at a time.
 Defined results: null texts have no words; items without words are no phrase
 and match nothing; an item shorter than a window is one window; documents
 without words are never contaminated; repeated rows are judged each; null doc
-or item ids pass through (a null item id is left out of ``items_sha256``);
-extra columns are ignored; an empty benchmark leaves every document clean.
+or item ids pass through (an item without an id counts in the hit words and is
+left out of the items lists, and so of ``items_sha256``); extra columns are ignored; an empty benchmark leaves every document clean.
 """
 
 from __future__ import annotations
@@ -196,7 +196,8 @@ def matches(index: DataFrame, phrases: Phrases, near: int = NEAR) -> DataFrame:
                 nearly.setdefault(doc, set()).add(item)
         numbers = range(len(ids))
         united = [merged(spans.get(d, [])) for d in numbers]
-        names = [[[str(phrases.items[i]) for i in sorted(found.get(d, ()))] for d in numbers] for found in (exact, nearly)]
+        named = [None if i is None else str(i) for i in phrases.items]
+        names = [[[named[i] for i in sorted(found.get(d, ())) if named[i] is not None] for d in numbers] for found in (exact, nearly)]
         return pd.DataFrame(
             {
                 "shard": rows["shard"].iloc[0], "number": list(numbers), "doc_id": list(ids), "n_words": shard.lengths,
@@ -216,11 +217,11 @@ def contamination(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, near: int = NEAR, block_items: int = BLOCK_ITEMS
 ) -> DataFrame:
     """Per document: words, hit words, the items met exactly (and nearly) and the hit spans."""
-    rows = benchmark.filter(F.col("item_id").isNotNull()).select(F.col("item_id").cast("string").alias("item_id"), text_or_empty().alias("_text"))
+    rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), text_or_empty().alias("_text"))
     blocks = max(1, -(-rows.count() // block_items))
     block_of = F.pmod(F.xxhash64("item_id", "_text"), F.lit(blocks))
 
-    def read(block: int) -> list[tuple[str, str]]:
+    def read(block: int) -> list[tuple[str | None, str]]:
         return [(r["item_id"], r["_text"]) for r in rows.filter(block_of == block).orderBy("item_id", "_text").collect()]
 
     terms: dict[bytes, int] = {}

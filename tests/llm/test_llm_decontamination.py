@@ -77,3 +77,13 @@ def test_empty_tables(spark, make_docs):
     none = spark.createDataFrame([], ITEMS)
     assert contamination_digest(make_docs([]), none).count() == 0
     assert [r["n_hit"] for r in contamination_digest(make_docs([(1, "a b")]), none).collect()] == [0]
+
+
+@pytest.mark.parametrize("block_items", [1000, 1])
+def test_items_without_an_id_count_in_the_hit_words(spark, make_docs, block_items):
+    own = " ".join(f"own{i}" for i in range(15))
+    benchmark = spark.createDataFrame([(None, own, 15, "x"), (7, "seven words stand in this item alone", 7, "x")], ITEMS)
+    docs = make_docs([(1, f"before {own} after"), (2, f"{own} seven words stand in this item alone"), (3, "clean")])
+    rows = contamination(docs, benchmark, block_items=block_items).collect()
+    got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["near_items"], r["contaminated"]) for r in rows}
+    assert got == {1: (17, 15, [], [], True), 2: (22, 22, ["7"], ["7"], True), 3: (1, 0, [], [], False)}
