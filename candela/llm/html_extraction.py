@@ -42,11 +42,15 @@ TREES, DEPTH, RATE, BIN_COUNT, LEAST_ROWS = 80, 4, 0.2, 32, 20
 
 # Fixed values of the HTML standard: elements by the way they are laid out and closed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style noscript template head title iframe object svg math canvas audio video textarea select option datalist".split())
+SILENT = frozenset("script style template head title iframe svg audio video textarea select option datalist".split())
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img"
+    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img "
+    "math maction maligngroup malignmark menclose merror mfenced mfrac mglyph mi mlabeledtr mlongdiv mmultiscripts mn mo mover mpadded mphantom mprescripts mroot "
+    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics annotation annotation-xml"
     .split()
 )
+#: What can stand in a head (and html, which adds nothing there); any other element or text ends it.
+IN_HEAD = frozenset("html base basefont bgsound link meta title style script noscript noframes template".split())
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dt dd"
     .split()
@@ -95,7 +99,18 @@ class Tree(HTMLParser):
         self.linked.append(0)
         return len(self.tag) - 1
 
+    def end_head(self, anywhere: bool) -> None:
+        """Ends an open head whose end tag is left out: the innermost open element, or one ``anywhere``."""
+        for k in range(len(self.open) - 1, 0, -1):
+            if self.open[k][0] == "head":
+                self.cut(k)
+                return
+            if not anywhere:
+                return
+
     def handle_starttag(self, tag: str, attrs) -> None:
+        if self.silent and tag not in IN_HEAD:
+            self.end_head(tag == "body")
         if tag in VOID:
             if tag == "br" and not self.silent:
                 self.handle_data(" ")
@@ -155,6 +170,8 @@ class Tree(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
+        if self.silent and not data.isspace():
+            self.end_head(False)
         if self.silent:
             return
         if self.leaf < 0:

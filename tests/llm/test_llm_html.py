@@ -66,3 +66,42 @@ def test_articles_of_the_given_pages(spark, model):
         right += got[page]["text"] == "\n\n".join(b for b in blocks if b)
         assert got[page]["n_chars"] == len(got[page]["text"])
     assert right >= 0.98 * len(rows)
+
+
+def blocks_of(text):
+    pages = H.Pages()
+    pages.add(H.Tree().parsed(text))
+    return [b for b in pages.blocks if b]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>x</title><body><article><p>a<p>b</article>",
+        "<head><meta charset=utf-8><title>x</title><link href=y><article><p>a<p>b</article>",
+        "<head><script>s</script><noscript><img src=t>n</noscript><style>s</style><p>a<p>b",
+        "<head><title>x</title>\na<p>b",
+        "<head><title>x</title><b>a</b><p>b",
+        "<head><noscript>n<body><p>a<p>b",
+        "<html><head><title>x</title><body><p>a</p></head><p>b",
+        "<html><head><title>x</title></head><body><p>a<p>b",
+        "<title>x</title><p>a<p>b",
+    ],
+)
+def test_head_ends_without_its_end_tag(page):
+    assert blocks_of(page) == ["a", "b"]
+
+
+def test_pages_without_end_of_head(spark, model):
+    got = extract(spark, model, f"<html><head><title>x</title><body><article><h1>T</h1><p>{LONG}<p>{LONG}</article>")
+    assert got[0] == f"T\n\n{LONG}\n\n{LONG}"
+
+
+def test_text_of_math_object_canvas_and_noscript_stays(spark, model):
+    inner = f"<p>{LONG} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p>" + "".join(
+        f"<{t}><p>In {t}. {LONG}</p></{t}>" for t in ("object", "canvas", "noscript")
+    )
+    want = [f"{LONG} x=2 holds.", *(f"In {t}. {LONG}" for t in ("object", "canvas", "noscript"))]
+    assert blocks_of(f"<article>{inner}</article>") == want
+    got = extract(spark, model, f"<html><head><title>x</title></head><body><article><h1>T</h1><p>{LONG}</p>{inner}<p>{LONG}</p></article></body></html>")
+    assert got[0].split("\n\n") == ["T", LONG, *want, LONG]
