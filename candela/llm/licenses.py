@@ -1,7 +1,10 @@
 """Licence scans by sentence rules.
 
-A text is split into sentences (at line ends and at ``.``, ``!``, ``?``, ``;``
-or ``:`` before white space). A sentence is normalised (lower case, runs of
+A text is split into sentences (at ``.``, ``!``, ``?``, ``;`` or ``:`` before
+white space, and at lines without letters or digits); a single line end is
+white space, so wrapped texts are read like unwrapped ones. Where a sentence of
+several lines isn't known, each of its lines is one, as notices often stand on
+a line of their own without a point. A sentence is normalised (lower case, runs of
 anything but letters, digits, ``+`` and inner points to one space, trimmed)
 and looked up among known licence sentences. The sequence of identifiers found
 in a document, in order and with other sentences left out, is matched against
@@ -28,14 +31,19 @@ SENTENCES = {
     "this project is licensed under the mit license": "mit-notice",
     "the mit license": "mit-title",
     "mit license": "mit-title",
+    "the mit license mit": "mit-title",
     "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction": "mit-grant",
+    "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions": "mit-grant",
     "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software": "mit-condition",
     "the software is provided as is without warranty of any kind express or implied": "as-is",
+    "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement": "as-is",
     "licensed under the apache license version 2.0": "apache-2-notice",
     "licensed under the apache license version 2.0 the license": "apache-2-notice",
     "released under the apache license version 2.0": "apache-2-notice",
     "you may not use this file except in compliance with the license": "apache-2-compliance",
     "you may obtain a copy of the license at": "apache-2-copy",
+    "you may obtain a copy of the license at http www apache org licenses license 2.0": "apache-2-copy",
+    "you may obtain a copy of the license at https www apache org licenses license 2.0": "apache-2-copy",
     "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied": "apache-2-warranty",
     "this work is licensed under the gnu general public license version 3": "gpl-3-notice",
     "licensed under the gnu general public license version 3": "gpl-3-notice",
@@ -44,6 +52,8 @@ SENTENCES = {
     "licensed under the gnu general public license version 2": "gpl-2-notice",
     "this program is free software": "gpl-free",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "gpl-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "gpl-3-terms",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "gpl-2-terms",
     "either version 3 of the license or at your option any later version": "gpl-3-later",
     "either version 2 of the license or at your option any later version": "gpl-2-later",
     "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met": "bsd-grant",
@@ -66,15 +76,20 @@ SENTENCES = {
 
 # Ordered rules, licence and the identifiers in order.
 RULES = (
+    ("MIT", ("mit-title", "mit-grant", "mit-condition", "as-is")),
+    ("MIT", ("mit-title", "mit-grant", "mit-condition")),
     ("MIT", ("mit-grant", "mit-condition", "as-is")),
     ("MIT", ("mit-grant", "mit-condition")),
     ("MIT", ("mit-notice",)),
+    ("MIT", ("mit-title",)),
     ("Apache-2.0", ("apache-2-notice", "apache-2-compliance", "apache-2-copy", "apache-2-warranty")),
     ("Apache-2.0", ("apache-2-notice", "apache-2-compliance")),
     ("Apache-2.0", ("apache-2-notice",)),
     ("GPL-3.0", ("gpl-free", "gpl-terms", "gpl-3-later")),
+    ("GPL-3.0", ("gpl-free", "gpl-3-terms")),
     ("GPL-3.0", ("gpl-3-notice",)),
     ("GPL-2.0", ("gpl-free", "gpl-terms", "gpl-2-later")),
+    ("GPL-2.0", ("gpl-free", "gpl-2-terms")),
     ("GPL-2.0", ("gpl-2-notice",)),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
@@ -88,6 +103,8 @@ RULES = (
     ("Proprietary", ("reserved",)),
 )
 
+#: Where sentences part, lines left whole; one class for all that may follow, as Java recurses on repeated groups.
+SENTENCE_BREAK = r"\n[^A-Za-z0-9]*\n|[.!?;:][ \t\r\n]+"
 #: Java and RE2 read these alike.
 BREAK = r"\n+|[.!?;:][ \t\r\n]+"
 JUNK = r"[^a-z0-9.+]+"
@@ -103,11 +120,19 @@ def normalised(sentence: Column) -> Column:
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     """The identifiers of the known sentences of ``text``, in order."""
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    shortest = min(map(len, sentences))
+    alone = F.create_map(*[x for s, i in sentences.items() for x in (F.lit(s), F.array(F.lit(i)))])
     # Normalising adds nothing to a sentence, so shorter ones can't be known.
-    candidates = F.filter(F.split(text, BREAK), lambda s: F.length(s) >= shortest)
-    hits = F.transform(candidates, lambda s: known[normalised(s)])
-    return F.filter(hits, lambda i: i.isNotNull())
+    shortest = min(map(len, sentences))
+
+    def long_enough(parts: Column) -> Column:
+        return F.filter(parts, lambda s: F.length(s) >= shortest)
+
+    def lines(sentence: Column) -> Column:
+        several = F.when(F.contains(sentence, F.lit("\n")), F.split(sentence, BREAK))
+        return F.transform(long_enough(several), lambda s: known[normalised(s)])
+
+    hits = F.transform(long_enough(F.split(text, SENTENCE_BREAK)), lambda s: F.coalesce(alone[normalised(s)], lines(s), F.array().cast("array<string>")))
+    return F.filter(F.flatten(hits), lambda i: i.isNotNull())
 
 
 def marked(sequence) -> str:
