@@ -15,8 +15,8 @@ from candela.llm.common import stored, table, text_or_empty
 from candela.llm.decontamination import contamination
 from candela.llm.jaccard_join import jaccard_components
 from candela.llm.packing import best_fit_packing
+from candela.llm.passages import without_repeated_passages
 from candela.llm.quality_rules import quality_rules
-from candela.llm.suffix_dedup import suffix_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 #: Near duplicates: words of a shingle, and the similarity in hundredths.
@@ -44,11 +44,16 @@ def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the bytes of repeated passages; a cut inside a character drops it; texts left blank go."""
-    cut = suffix_dedup(docs.select(*COLUMNS), *[c for c in COLUMNS if c not in ("text", "n_chars")], as_text=True)
+    """Texts without the passages of more than 50 words that also stand elsewhere; texts left blank go.
+
+    Words are counted, not bytes: every word goes that stands in a repeated string of 51 words, and shorter repeats stay,
+    however many bytes they have.
+    """
+    rows = docs.select(*COLUMNS).withColumn("_key", row_key())
+    cut = without_repeated_passages(rows, "_key", *[c for c in COLUMNS if c not in ("text", "n_chars")])
     rows = cut.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast("long"))
     blank = F.trim(F.translate("text", "\n\t\r", "   ")) == ""
-    return rows.filter((F.col("n_removed") == 0) | ~blank).select(*COLUMNS)
+    return rows.filter((F.col("n_words_cut") == 0) | ~blank).select(*COLUMNS)
 
 
 def keep_uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
