@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.session import scratch_path
+from candela.session import remove_path, scratch_path
 
 
 #: Texts differ in length by orders of magnitude, so batches sent to Python workers are bounded in bytes.
@@ -22,11 +25,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors."""
+#: Tables written in the open ``temporary_tables`` blocks.
+_TEMPORARY: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stored`` writes inside the block go at its end, when nothing may read them any more."""
+    _TEMPORARY.append([])
+    try:
+        yield
+    finally:
+        for path in _TEMPORARY.pop():
+            remove_path(spark, path)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors.
+
+    ``keep`` lets the table outlive the ``temporary_tables`` block it is written in.
+    """
     spark = df.sparkSession
     bounded_batches(spark)
     path = scratch_path(spark, name)
+    if _TEMPORARY and not keep:
+        _TEMPORARY[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

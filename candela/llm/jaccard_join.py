@@ -87,6 +87,10 @@ class Order:
         at = np.argsort(keys)
         self.keys, self.classes, self.shift = keys[at], classes[at], np.uint64(64 - bits)
 
+    def parts(self) -> tuple[np.ndarray, np.ndarray, int]:
+        """Plain arrays: broadcasts are pickled by reference to a class, which workers may not be able to import."""
+        return self.keys, self.classes, 64 - int(self.shift)
+
     def of(self, hashes: np.ndarray) -> np.ndarray:
         """Class of each hash."""
         if not len(self.keys):
@@ -183,11 +187,11 @@ def prefix_batch(**columns) -> pa.RecordBatch:
 
 def prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
     """One row a document (doc_id, mark: set fingerprint, n_shingles) and, bucket set, blocks of prefix postings."""
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+    shared = docs.sparkSession.sparkContext.broadcast(order.parts())
     rest = np.uint64(64 - bucket_bits(docs) - 32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, ranks = SpanHasher(), shared.value
+        hasher, ranks = SpanHasher(), Order(*shared.value)
         heads: list[np.ndarray] = []
         marks: list[int] = []
         sizes: list[int] = []
@@ -277,10 +281,10 @@ def possible_rows(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
 
 def node_sets(docs: DataFrame, source: DataFrame, order: Order, size: int, parts: int) -> DataFrame:
     """The sets of the nodes in ``source`` (node, rep, is_hub), cut along the global order; repeated rows give equal copies."""
-    shared = docs.sparkSession.sparkContext.broadcast(order)
+    shared = docs.sparkSession.sparkContext.broadcast(order.parts())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hasher, ranks = SpanHasher(), shared.value
+        hasher, ranks = SpanHasher(), Order(*shared.value)
         width = np.uint64((1 << 64) // (parts - 1) + 1)
         with np.errstate(over="ignore"):
             for batch in batches:

@@ -6,7 +6,9 @@ equal places, and every start of a string belongs to one anchor. Anchors seen
 once are done with. The others' neighbourhoods (the strings that belong to the
 anchor) are grouped by anchor; equal ones are counted into one with a weight.
 
-Groups are dealt to shards of bounded size. A shard sorts its suffixes up to
+Groups are dealt to tasks by anchor and stream through them in order; a running
+sum of their sizes cuts the stream into shards of whole groups, so a shard never
+holds more than ``shard_bytes`` and one group. A shard sorts its suffixes up to
 ``length`` bytes, takes the Burrows-Wheeler transform and derives the common
 prefixes of neighbouring suffixes by increasing value: breadth first, each
 level extends the intervals of the level before by one byte to the left, and
@@ -23,7 +25,9 @@ where equal members are one.
 Defined results: null and empty texts have no bytes; texts shorter than
 ``length`` lose nothing; repeated rows are copies, so their strings repeat;
 null ids pass through; extra columns are ignored; an empty table gives an empty
-result. Removal works on bytes and may cut a character.
+result. Removal works on bytes and may cut a character; the text given beside
+the bytes leaves out what is left of such a character. Rows of equal id and text
+are judged once, however many there are.
 """
 
 from __future__ import annotations
@@ -42,10 +46,11 @@ from candela.llm.common import SpanHasher, stored, text_or_empty
 LENGTH = 400
 GRAM = 120
 #: Distinct neighbourhoods of an anchor that one task may gather.
-GROUP_MEMBERS = 2000
+GROUP_MEMBERS = 1000
 #: Anchor places that stay together when a large group is parted.
 REFINED = 17
-SHARD_BYTES = 2 << 20
+#: Bytes of neighbourhoods whose suffixes are sorted together; a single group may be larger (``GROUP_MEMBERS``).
+SHARD_BYTES = 1 << 18
 #: While more than one place in so many is new or open, a level is taken densely.
 DENSE = 16
 #: Texts are hashed in overlapping stretches of this size, so very long ones need bounded memory.
@@ -247,14 +252,14 @@ MEMBER = "gram long, around long, base int, weight long, data binary"
 
 
 def judged(members: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """Verdicts on distinct members (gram, around, base, weight, data), whole groups in shards of bounded size.
+    """Verdicts on members (gram, around, base, weight, data), whole groups in shards of bounded size.
 
-    Runs are relative to the anchor, which stands ``base`` bytes into data.
+    Runs are relative to the anchor, which stands ``base`` bytes into data. Copies of a member follow each other and
+    count as one.
     """
 
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
+    def shard(rows: pd.DataFrame) -> pd.DataFrame:
         out = []
-        rows = rows.sort_values(["gram", "around"], kind="stable")
         starts = repeated_starts(rows["data"].tolist(), rows["weight"].tolist(), length)
         for gram, around, base, own in zip(rows["gram"], rows["around"], rows["base"], starts, strict=True):
             lows, highs = covered(own - base, length)
@@ -262,10 +267,27 @@ def judged(members: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                 out.append((gram, around, lows, highs))
         return pd.DataFrame(out, columns=["gram", "around", "lows", "highs"])
 
-    total = members.agg(F.sum(F.octet_length("data"))).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    dealt = members.groupBy(F.pmod(F.xxhash64("gram"), F.lit(shards)).alias("shard"))
-    return dealt.applyInPandas(run, VERDICT)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: pd.DataFrame | None = None  # the last group met, which may go on, and whole groups before it
+        for batch in batches:
+            rows = batch if held is None else pd.concat([held, batch], ignore_index=True)
+            rows = rows.drop_duplicates(["gram", "around"], ignore_index=True)
+            if not len(rows):
+                continue
+            gram = rows["gram"].to_numpy()
+            heads = np.append(np.flatnonzero(np.diff(gram, prepend=gram[0] - 1)), len(rows))
+            sizes = np.concatenate(([0], np.cumsum(rows["data"].map(len).to_numpy())))
+            at = 0
+            for begin, end in zip(heads[:-1], heads[1:], strict=True):
+                if begin > at and sizes[end] - sizes[at] > shard_bytes:
+                    yield shard(rows.iloc[at:begin])
+                    at = begin
+            held = rows.iloc[at:]
+        if held is not None and len(held):
+            yield shard(held)
+
+    dealt = members.select("gram", "around", "base", "weight", "data").repartition("gram").sortWithinPartitions("gram", "around")
+    return dealt.mapInPandas(run, VERDICT)
 
 
 def parted(members: DataFrame, places: int, length: int, gram: int) -> DataFrame:
@@ -346,9 +368,13 @@ def with_data(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         columns = ["gram", "around", "base", "weight", "members", "data"]
+        seen: set[tuple[str, int]] = set()
         for batch in batches:
             out = []
-            for text, own in zip(batch["text"], batch["wanted"], strict=True):
+            for id, mark, text, own in zip(batch["id"], batch["mark"], batch["text"], batch["wanted"], strict=True):
+                if (id, mark) in seen:  # a repeated row
+                    continue
+                seen.add((id, mark))
                 data = text.encode("utf-8", "surrogatepass")
                 out += [
                     (w["gram"], w["around"], w["left"], w["weight"], w["members"], data[w["place"] - w["left"] : w["place"] + w["right"]])
@@ -357,8 +383,8 @@ def with_data(docs: DataFrame, rows: DataFrame) -> DataFrame:
             yield pd.DataFrame(out, columns=columns)
 
     texts = keyed(docs).select("key.id", "key.mark", "text")
-    found = texts.join(wanted, ["id", "mark"]).select("text", "wanted")
-    # A repeated row gives its members twice; they weigh two already, so nothing changes.
+    found = texts.join(wanted, ["id", "mark"]).select("id", "mark", "text", "wanted")
+    # Repeated rows that reach several tasks give their members more than once; they weigh two already.
     return found.mapInPandas(run, f"{MEMBER}, members long")
 
 
@@ -369,7 +395,8 @@ def removed_runs(docs: DataFrame, length: int, gram: int, group_members: int, sh
     joined = table.select("id", "mark", "place", "gram", "around").join(found, ["gram", "around"])
     runs = joined.select("id", "mark", "place", F.explode(F.arrays_zip("lows", "highs")).alias("run"))
     run = F.struct((F.col("place") + F.col("run.lows")).alias("low"), (F.col("place") + F.col("run.highs")).alias("high"))
-    return runs.groupBy("id", "mark").agg(F.collect_list(run).alias("runs"))
+    # Repeated rows have equal runs: a set keeps each once, before anything moves.
+    return runs.groupBy("id", "mark").agg(F.collect_set(run).alias("runs"))
 
 
 def cut_text(text: str, runs) -> tuple[int, int, int, bytes]:
@@ -395,23 +422,19 @@ def suffix_dedup(
     gram: int = GRAM,
     group_members: int = GROUP_MEMBERS,
     shard_bytes: int = SHARD_BYTES,
-    as_text: bool = False,
 ) -> DataFrame:
-    """Per document the carried columns, byte counts, the number of removed runs and the bytes that stay.
-
-    ``as_text`` gives them as a string, without the characters that a cut went through.
-    """
+    """Per document the carried columns, byte counts, the number of removed runs, the bytes that stay and their text."""
     runs = removed_runs(docs, length, gram, group_members, shard_bytes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [cut_text(t, r) for t, r in zip(batch.column("_text").to_pylist(), batch.column("_runs").to_pylist(), strict=True)]
-            kept = [r[3].decode("utf-8", "ignore") if as_text else r[3] for r in rows]
             added = [pa.array([r[i] for r in rows], pa.int64()) for i in range(3)]
-            added.append(pa.array(kept, pa.string() if as_text else pa.binary()))
+            added.append(pa.array([r[3] for r in rows], pa.binary()))
+            added.append(pa.array([r[3].decode("utf-8", "ignore") for r in rows], pa.string()))
             names = [c for c in batch.schema.names if c not in ("_text", "_runs")]
             columns = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, *added], [*names, "n_bytes", "n_removed", "n_spans", "kept"])
+            yield pa.RecordBatch.from_arrays([*columns, *added], [*names, "n_bytes", "n_removed", "n_spans", "kept", "kept_text"])
 
     text = text_or_empty()
     key = (F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.xxhash64(text).alias("_mark"))
@@ -419,9 +442,9 @@ def suffix_dedup(
     own = runs.select(F.col("id").alias("_id"), F.col("mark").alias("_mark"), F.col("runs").alias("_runs"))
     joined = rows.join(own, ["_id", "_mark"], "left").drop("_id", "_mark")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema if f.name not in ("_text", "_runs")]
-    return joined.mapInArrow(run, ", ".join([*fields, "n_bytes long, n_removed long, n_spans long", "kept string" if as_text else "kept binary"]))
+    return joined.mapInArrow(run, ", ".join([*fields, "n_bytes long, n_removed long, n_spans long, kept binary, kept_text string"]))
 
 
 def suffix_dedup_digest(docs: DataFrame) -> DataFrame:
     rows = suffix_dedup(docs, "doc_id")
-    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), F.col("kept_text").alias("text"))

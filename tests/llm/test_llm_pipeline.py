@@ -4,7 +4,6 @@ import corpus_pipeline as C
 import test_llm_decontamination as test_decontamination
 import test_llm_jaccard as test_jaccard
 import test_llm_packing as test_packing
-import test_llm_suffix as test_suffix
 from candela.llm.common import stored, table
 from llm_corpora import SF_SMALL
 
@@ -22,8 +21,8 @@ def test_stages_match_brute_force(spark):
     assert 0 < len(quality) < table(spark, SF_SMALL, "documents").count()
     components = test_jaccard.brute(quality, C.SHINGLE_WORDS, C.SIMILAR_PERCENT)
     assert {d for d, _ in unique} == {d for d, _, least in components if d == least} and len(unique) == len({c for *_, c in components})
-    kept = {d: k.decode("utf-8", "ignore") for d, _, _, _, k in test_suffix.brute(unique, 400)}
-    assert dict(cut) == {d: kept[d] for d, t in unique if kept[d].strip() or kept[d] == t}
+    kept = without_repeats(unique)
+    assert {d: t.split() for d, t in cut} == {d: kept[d] for d, t in unique if kept[d] or not t.split()}
     items = [(r["item_id"], r["text"]) for r in table(spark, SF_SMALL, "benchmark").collect()]
     bad = {d for d, *_, flag in test_decontamination.brute(cut, items) if flag}
     assert {d for d, _ in clean} == {d for d, _ in cut} - bad

@@ -67,5 +67,19 @@ def test_dedup_matches_brute_force(make_docs, seed, length, gram, members, shard
 
 def test_empty_table_and_text(make_docs):
     assert S.suffix_dedup_digest(make_docs([])).count() == 0
-    rows = S.suffix_dedup(make_docs([(1, "é" * 300), (2, "xé" + "é" * 300)]), "doc_id", as_text=True).collect()
-    assert {r["doc_id"]: r["kept"] for r in rows} == {1: "", 2: "x"}
+    rows = S.suffix_dedup(make_docs([(1, "é" * 300), (2, "xé" + "é" * 300)]), "doc_id").collect()
+    assert {r["doc_id"]: r["kept_text"] for r in rows} == {1: "", 2: "x"}
+
+
+def test_many_equal_rows(spark):
+    """10,000 rows of one text under one id, and as many without an id: each loses what repeats, once."""
+    text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(1500))
+    other = "".join(chr(97 + (i * i * 3 + i // 5) % 26) for i in range(900))
+    same = spark.range(10_000).selectExpr("7L AS doc_id", f"'{text}' AS text")
+    none = spark.range(10_000).selectExpr("CAST(NULL AS LONG) AS doc_id", f"'{other}' AS text")
+    own = spark.createDataFrame([(8, "z" * 10 + text[200:700])], "doc_id long, text string")
+    table = S.anchor_table(same.unionByName(none), S.LENGTH, S.GRAM)
+    found = S.removed_runs(same.unionByName(none), S.LENGTH, S.GRAM, S.GROUP_MEMBERS, S.SHARD_BYTES)
+    assert found.count() == 2 and found.selectExpr("max(size(runs)) AS n").first()["n"] <= table.select("place").distinct().count()
+    rows = S.suffix_dedup_digest(same.unionByName(none).unionByName(own)).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count()
+    assert sorted(map(tuple, rows.collect()), key=str) == [(7, 1500, 1500, 1, 10_000), (8, 510, 500, 1, 1), (None, 900, 900, 1, 10_000)]
