@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.llm.common import stored, table, text_or_empty
+from candela.llm.common import stored, table, temporary_tables, text_or_empty
 from candela.llm.decontamination import contamination
 from candela.llm.jaccard_join import jaccard_components
 from candela.llm.packing import best_fit_packing
@@ -77,14 +77,13 @@ STAGES = [
     ("best-fit packing", packed),
 ]
 
-#: The forest's scores, byte cuts and packing have no SQL form; tests compare with brute force.
+#: The forest's scores, the word cuts and packing have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i + 1 < len(STAGES):
-            docs = stored(docs, name.replace(" ", "-"))
-    return docs
+    for name, stage in STAGES[:-1]:
+        with temporary_tables(spark):  # what a stage wrote for itself goes once its result stands
+            docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"), keep=True)
+    return STAGES[-1][1](spark, docs, sf_dir)
