@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from candela.llm.chat import chat_roundtrip, chat_roundtrip_sql
 from candela.llm.common import table
 from candela.llm.decontamination import contamination_digest, contamination_sql
+from candela.llm.hard_negatives import hard_negatives, hard_negatives_sql
 from candela.llm.html_extraction import html_extraction
 from candela.llm.jaccard_join import jaccard_components
 from candela.llm.licenses import license_scan_digest, license_scan_sql
 from candela.llm.packing import best_fit_packing
 from candela.llm.pu_classifier import pu_quality
 from candela.llm.quality_rules import quality_rules
+from candela.llm.spelling import spelling_variants
 from candela.llm.suffix_dedup import suffix_dedup_digest
 from candela.llm.warc import warc_roundtrip, warc_roundtrip_sql
 
@@ -61,6 +63,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_license_scan": op1_license_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -72,6 +82,8 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: DuckDB SQL where it can express the operator.
@@ -80,4 +92,5 @@ ORACLES: dict[str, str] = {
     "op4_warc_members": warc_roundtrip_sql(),
     "op6_chat_format": chat_roundtrip_sql(),
     "op8_decontamination": contamination_sql(),
+    "op13_hard_negatives": hard_negatives_sql(),
 }
