@@ -43,13 +43,14 @@ def temporary_tables(spark: SparkSession) -> Iterator[None]:
 def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts lineage, survives lost executors.
 
-    ``keep`` lets the table outlive the ``temporary_tables`` block it is written in.
+    ``keep`` lets the table outlive the ``temporary_tables`` block it is written in, up to the end of the one around it.
     """
     spark = df.sparkSession
     bounded_batches(spark)
     path = scratch_path(spark, name)
-    if _TEMPORARY and not keep:
-        _TEMPORARY[-1].append(path)
+    blocks = _TEMPORARY[:-1] if keep else _TEMPORARY
+    if blocks:
+        blocks[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

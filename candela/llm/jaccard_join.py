@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import SpanHasher, partitions, shingle_hashes, stored, text_or_empty
+from candela.llm.common import SpanHasher, partitions, shingle_hashes, stored, temporary_tables, text_or_empty
 from candela.llm.components import connected_components
 
 SIZE = 4
@@ -51,6 +51,9 @@ FRAGMENTS = 8
 SLOTS = 1 << 18
 #: Shingles that get a frequency class (9 bytes each on every worker).
 ORDERED_LAST = 1 << 19
+#: Shingles, and postings, that a task holds before it sends them on in blocks.
+HELD_SHINGLES = 700_000
+HELD_POSTINGS = 250_000
 
 
 def shingle_set(text: str, hasher: SpanHasher, size: int = SIZE) -> np.ndarray:
@@ -133,7 +136,7 @@ def frequency_order(docs: DataFrame, size: int, ordered_last: int) -> Order:
                     seen.add(mark)
                     held.append(hashes)
                     count += len(hashes)
-                    if count >= 2_000_000:
+                    if count >= HELD_SHINGLES:
                         yield flush()
                         held, count = [], 0
             if held:
@@ -230,7 +233,7 @@ def prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFram
                     sizes.append(n)
                 if own_marks:
                     yield prefix_batch(doc_id=batch.column("doc_id").to_pylist(), mark=own_marks, n_shingles=own_sizes)
-                if sum(map(len, heads)) >= 500_000:
+                if sum(map(len, heads)) >= HELD_POSTINGS:
                     yield flush()
                     heads, marks, sizes = [], [], []
             if heads:
@@ -361,6 +364,11 @@ def jaccard_components(
     docs: DataFrame, size: int = SIZE, percent: int = PERCENT, parts: int = FRAGMENTS, ordered_last: int = ORDERED_LAST
 ) -> DataFrame:
     """Per document: doc_id, n_shingles and the smallest doc_id reachable by links."""
+    with temporary_tables(docs.sparkSession):
+        return stored(components(docs, size, percent, parts, ordered_last), "components", keep=True)
+
+
+def components(docs: DataFrame, size: int, percent: int, parts: int, ordered_last: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     docs = docs.select("doc_id", "text")
     order = frequency_order(docs, size, ordered_last)

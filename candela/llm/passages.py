@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import stored, text_or_empty
+from candela.llm.common import stored, temporary_tables, text_or_empty
 from candela.llm.suffix_dedup import GROUP_MEMBERS, SHARD_BYTES, removed_runs
 
 WORDS = 51
@@ -84,8 +84,9 @@ def cut_words(text: str, runs) -> tuple[int, str]:
 
 def without_repeated_passages(docs: DataFrame, key: str, *carried: str, words: int = WORDS) -> DataFrame:
     """The carried columns, the number of words cut and the text that stays; ``key`` tells different rows apart."""
-    texts = stored(coded(docs, key), "coded")  # read for the anchors and for the neighbourhoods
-    runs = removed_runs(texts, words * CODE, GRAM, GROUP_MEMBERS, SHARD_BYTES)
+    with temporary_tables(docs.sparkSession):
+        texts = stored(coded(docs, key), "coded")  # read for the anchors and for the neighbourhoods
+        runs = stored(removed_runs(texts, words * CODE, GRAM, GROUP_MEMBERS, SHARD_BYTES), "runs", keep=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -14,6 +14,7 @@ from candela.llm.html_extraction import html_extraction
 from candela.llm.jaccard_join import jaccard_components
 from candela.llm.licenses import license_scan_digest, license_scan_sql
 from candela.llm.packing import best_fit_packing
+from candela.llm.pii import pii_digest
 from candela.llm.pu_classifier import pu_quality
 from candela.llm.quality_rules import quality_rules
 from candela.llm.spelling import spelling_variants
@@ -63,6 +64,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "doc_id")
 
 
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
     "op8_decontamination": op8_decontamination,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_quality_rules": op10_quality_rules,
+    "op11_personal_data": op11_personal_data,
     "op12_spelling_variants": op12_spelling_variants,
     "op13_hard_negatives": op13_hard_negatives,
 }

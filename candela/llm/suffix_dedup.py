@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import SpanHasher, stored, text_or_empty
+from candela.llm.common import SpanHasher, stored, temporary_tables, text_or_empty
 
 LENGTH = 400
 GRAM = 120
@@ -424,7 +424,8 @@ def suffix_dedup(
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """Per document the carried columns, byte counts, the number of removed runs, the bytes that stay and their text."""
-    runs = removed_runs(docs, length, gram, group_members, shard_bytes)
+    with temporary_tables(docs.sparkSession):
+        runs = stored(removed_runs(docs, length, gram, group_members, shard_bytes), "runs", keep=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
