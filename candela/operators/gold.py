@@ -23,6 +23,13 @@ from candela.session import shared_dir
 # so the first/last tick is well defined without lineage columns.
 DEFAULT_TICK_ORDER = ("event_time", "source")
 
+# Mergeable state of a (symbol, trade_date): prices at the first and last tick by
+# (time, second ordering column), extremes, and the sums behind mean and deviation.
+STATE_COLS = [
+    "symbol", "trade_date", "first_time", "first_by", "open_price", "last_time", "last_by", "close_price",
+    "high_price", "low_price", "total_volume", "n", "price_sum", "m2",
+]
+
 
 def with_trade_date(ticks: DataFrame) -> DataFrame:
     return ticks.withColumn("trade_date", F.to_date("event_time"))
@@ -52,59 +59,70 @@ def daily_ohlcv(ticks: DataFrame, order_by: Sequence[str] = DEFAULT_TICK_ORDER)
             F.avg("price").alias("avg_price"),
             F.stddev_samp("price").alias("volatility"),
         )
-    return merge_partial_days(partial_days(ticks, *order_by))
+    return ohlcv(merge_states(partial_days(ticks, *order_by)))
 
 
 def partial_days(ticks: DataFrame, time: str, second: str) -> DataFrame:
-    """Mergeable state per (symbol, trade_date, second ordering column)."""
-    return with_trade_date(ticks).groupBy("symbol", "trade_date", F.col(second).alias("_second")).agg(
-        F.min(time).alias("_first"),
-        F.max(time).alias("_last"),
-        F.min_by("price", time).alias("_open"),
-        F.max_by("price", time).alias("_close"),
-        F.max("price").alias("_high"),
-        F.min("price").alias("_low"),
-        F.sum("volume").alias("_volume"),
-        F.count("price").alias("_n"),
-        F.sum("price").alias("_sum"),
-        (F.var_pop("price") * F.count("price")).alias("_m2"),
+    """Mergeable state per (symbol, trade_date, second ordering column); columns as in ``STATE_COLS``."""
+    by = F.col(second)
+    states = with_trade_date(ticks).groupBy("symbol", "trade_date", by.alias("first_by")).agg(
+        F.min(time).alias("first_time"),
+        F.max(time).alias("last_time"),
+        F.min_by("price", time).alias("open_price"),
+        F.max_by("price", time).alias("close_price"),
+        F.max("price").alias("high_price"),
+        F.min("price").alias("low_price"),
+        F.sum("volume").alias("total_volume"),
+        F.count("price").alias("n"),
+        F.sum("price").alias("price_sum"),
+        (F.var_pop("price") * F.count("price")).alias("m2"),
     )
+    return states.withColumn("last_by", F.col("first_by")).select(*STATE_COLS)
 
 
-def merge_partial_days(parts: DataFrame) -> DataFrame:
-    """Per (symbol, trade_date): first/last by (time, second), sums, and the deviation from count, mean and M2.
+def merge_states(states: DataFrame) -> DataFrame:
+    """Any number of states a (symbol, trade_date) merged into one: first/last by (time, second), sums, and M2.
 
-    The states gathered per day are one per value of the second column. Their
-    squared deviations are merged pairwise about the means (no difference of
-    large sums), so constant prices give exactly zero.
+    Each state's squared deviations are moved to the day's mean, which is joined
+    back first: M2 = sum(m2 + n * (mean - day mean)^2). Nothing is gathered per
+    day and there is no difference of large sums; a day of one price has M2 zero
+    however its mean was rounded.
     """
-    state = F.struct(
-        F.col("_n").cast("double").alias("n"), F.try_divide("_sum", "_n").alias("mean"), F.col("_m2").alias("m2")
+    keys = ["symbol", "trade_date"]
+    means = states.groupBy(*keys).agg(F.try_divide(F.sum("price_sum"), F.sum("n")).alias("_mean"))
+    means = means.select(*[F.col(k).alias(f"_{k}") for k in keys], "_mean")
+    same_day = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("trade_date").eqNullSafe(F.col("_trade_date"))
+    off = F.try_divide("price_sum", "n") - F.col("_mean")
+    moved = states.join(means, same_day).withColumn("m2", F.when(F.col("n") > 0, F.col("m2") + F.col("n") * off * off))
+    days = moved.groupBy(*keys).agg(
+        F.min(F.struct("first_time", "first_by", "open_price")).alias("_first"),
+        F.max(F.struct("last_time", "last_by", "close_price")).alias("_last"),
+        F.max("high_price").alias("high_price"),
+        F.min("low_price").alias("low_price"),
+        F.sum("total_volume").alias("total_volume"),
+        F.sum("n").alias("n"),
+        F.sum("price_sum").alias("price_sum"),
+        F.sum("m2").alias("m2"),
     )
-    days = parts.groupBy("symbol", "trade_date").agg(
-        F.min_by("_open", F.struct("_first", "_second")).alias("open_price"),
-        F.max("_high").alias("high_price"),
-        F.min("_low").alias("low_price"),
-        F.max_by("_close", F.struct("_last", "_second")).alias("close_price"),
-        F.sum("_volume").alias("total_volume"),
-        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_price"),
-        F.collect_list(F.when(F.col("_n") > 0, state)).alias("_states"),
+    days = days.withColumn("m2", F.when(F.col("high_price") == F.col("low_price"), 0.0).otherwise(F.col("m2")))
+    return days.select("*", "_first.*", "_last.*").select(*STATE_COLS)
+
+
+def ohlcv(states: DataFrame) -> DataFrame:
+    """Daily rows of merged states (one a day)."""
+    n = F.col("n")
+    return states.select(
+        "symbol",
+        "trade_date",
+        "open_price",
+        "high_price",
+        "low_price",
+        "close_price",
+        "total_volume",
+        F.try_divide("price_sum", n).alias("avg_price"),
+        F.when(n > 1, F.sqrt(F.try_divide("m2", n - 1))).alias("volatility"),
     )
 
-    def merged(a, b):
-        n = a["n"] + b["n"]
-        delta = b["mean"] - a["mean"]
-        return F.struct(
-            n.alias("n"),
-            (a["mean"] + delta * b["n"] / n).alias("mean"),
-            (a["m2"] + b["m2"] + delta * delta * a["n"] * b["n"] / n).alias("m2"),
-        )
-
-    zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("mean"), F.lit(0.0).alias("m2"))
-    total = F.aggregate("_states", zero, merged)
-    volatility = F.when(total["n"] > 1, F.sqrt(total["m2"] / (total["n"] - 1)))
-    return days.withColumn("volatility", volatility).drop("_states")
-
 
 def with_prev_close(daily: DataFrame, price_col: str = "close_price") -> DataFrame:
     """prev_close is the previous *row* of the symbol, not the previous calendar day."""
@@ -182,9 +200,21 @@ def gold_changes(
     first_day = touched.agg(F.min("trade_date")).first()[0]
     if first_day is None:
         return None
-    start = touched.groupBy("symbol").agg(F.min("trade_date").alias("_start"))
     recent = silver_all.filter(F.col("event_time") >= F.lit(first_day).cast("timestamp"))
     redo = daily_ohlcv(with_trade_date(recent).join(touched, ["symbol", "trade_date"], "left_semi"), order_by)
+    return recomputed_rows(gold_prev, redo, touched, period)
+
+
+def recomputed_rows(
+    gold_prev: DataFrame, redo: DataFrame, touched: DataFrame, period: int = ind.RSI_PERIOD
+) -> tuple[DataFrame, DataFrame]:
+    """(gold rows of each touched symbol from its first touched day on, that day per symbol).
+
+    ``redo`` are the daily rows of the ``touched`` (symbol, trade_date) pairs.
+    Gold is cut to the touched symbols before any window; before a symbol's
+    first touched day only the ``period`` rows of context are read.
+    """
+    start = touched.groupBy("symbol").agg(F.min("trade_date").alias("_start"))
     own = gold_prev.select(*redo.columns).join(start, "symbol")
     later = own.filter(F.col("trade_date") >= F.col("_start")).join(touched, ["symbol", "trade_date"], "left_anti")
     back = F.row_number().over(Window.partitionBy("symbol").orderBy(F.col("trade_date").desc()))
@@ -210,7 +240,11 @@ def gold_incremental(
     changes = gold_changes(gold_prev, silver_all, new_ticks, order_by, period)
     if changes is None:
         return gold_prev.select(*GOLD_COLS)
-    recomputed, start = changes
+    return replaced_from(gold_prev, *changes)
+
+
+def replaced_from(gold_prev: DataFrame, recomputed: DataFrame, start: DataFrame) -> DataFrame:
+    """Previous gold with each touched symbol's rows from its first touched day on replaced."""
     unchanged = gold_prev.join(start, "symbol", "left").filter(
         F.col("_start").isNull() | (F.col("trade_date") < F.col("_start"))
     )

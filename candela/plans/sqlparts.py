@@ -162,8 +162,12 @@ def with_snapped_gold(symbols: str = "event_type") -> str:
 
 
 def decimal_sql(expr: str, t) -> str:
-    """DuckDB's own cast: rounds half away from zero, NULL on overflow."""
-    return f"TRY_CAST({expr} AS DECIMAL({t.precision},{t.scale}))"
+    """The printed value rounded half away from zero, NULL on overflow.
+
+    A direct cast of a double rounds the product of its binary value; the
+    serving column takes the decimal number that the double prints as.
+    """
+    return f"TRY_CAST(CAST({expr} AS VARCHAR) AS DECIMAL({t.precision},{t.scale}))"
 
 
 def serving_fits_sql() -> str:

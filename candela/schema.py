@@ -111,6 +111,26 @@ GOLD = StructType(
 GOLD_COLS = [f.name for f in GOLD.fields]
 GOLD_KEYS = ["symbol", "trade_date"]
 
+# Mergeable daily state (operators.gold.STATE_COLS) as the state log stores it.
+DAILY_STATE = StructType(
+    [
+        StructField("symbol", StringType(), True),
+        StructField("trade_date", DateType(), True),
+        StructField("first_time", TimestampType(), True),
+        StructField("first_by", StringType(), True),
+        StructField("open_price", DoubleType(), True),
+        StructField("last_time", TimestampType(), True),
+        StructField("last_by", StringType(), True),
+        StructField("close_price", DoubleType(), True),
+        StructField("high_price", DoubleType(), True),
+        StructField("low_price", DoubleType(), True),
+        StructField("total_volume", LongType(), True),
+        StructField("n", LongType(), True),
+        StructField("price_sum", DoubleType(), True),
+        StructField("m2", DoubleType(), True),
+    ]
+)
+
 # Fixed values that must equal the reference: the serving table's columns in
 # their order (gold without prev_close), its decimal types and text length limits.
 SERVING_COLS = [
