@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candela.schema import DEDUP_KEYS, LINEAGE_COLS, TICK_COLS
@@ -83,6 +83,30 @@ def silver_accounting(bronze_df: DataFrame) -> DataFrame:
     return per_key.select(F.inline(kinds)).groupBy("kind").agg(F.sum("n").alias("n"))
 
 
+REASONS = ("null_symbol", "bad_price", "bad_volume", "null_event_time", "null_source")
+
+
+def judged(bronze_df: DataFrame, observation: Observation | None = None) -> DataFrame:
+    """Bronze rows with their reject reasons (empty: accepted), counted on the way by ``observation``.
+
+    One pass: whatever is written from this has been read once, and the metrics
+    (``input``, ``rejected``, and each reason) come with that write.
+    """
+    rows = with_reject_reasons(bronze_df)
+    if observation is None:
+        return rows
+    by_reason = [F.count_if(F.array_contains("reasons", r)).alias(f"reject:{r}") for r in REASONS]
+    return rows.observe(observation, F.count(F.lit(1)).alias("input"), F.count_if(F.size("reasons") > 0).alias("rejected"), *by_reason)
+
+
+def accounting_rows(metrics: dict[str, int], silver_rows: int) -> list[tuple[str, int]]:
+    """(kind, n) as ``silver_accounting`` gives them, from the metrics of one pass and the number of silver rows."""
+    accepted = metrics["input"] - metrics["rejected"]
+    rows = [("input", metrics["input"]), ("silver", silver_rows), ("duplicate", accepted - silver_rows)]
+    rows += [(k, n) for k, n in metrics.items() if k == "rejected" or k.startswith("reject:")]
+    return [(k, n) for k, n in rows if n > 0 or k in ("input", "silver", "duplicate")]
+
+
 def dedup(
     df: DataFrame,
     keys: Sequence[str] = DEDUP_KEYS,
@@ -106,10 +130,15 @@ def dedup(
 def silver(bronze_df: DataFrame, keep_lineage: bool = False) -> DataFrame:
     """Bronze → silver: quality rules, keys present, one row per (symbol, event_time, source)."""
     clean = bronze_df.filter(silver_predicate(bronze_df.columns))
+    return dedup_accepted(clean, keep_lineage)
+
+
+def dedup_accepted(clean: DataFrame, keep_lineage: bool = False) -> DataFrame:
+    """Accepted rows → silver columns, one row per (symbol, event_time, source)."""
     cols = TICK_COLS + (LINEAGE_COLS if keep_lineage else [])
-    if "_ingested_at" in bronze_df.columns:
+    if "_ingested_at" in clean.columns:
         cols = cols + ["_ingested_at"]
     # Project before the dedup shuffle: the raw payload never leaves the map side.
-    lineage = [c for c in LINEAGE_COLS if c in bronze_df.columns]
+    lineage = [c for c in LINEAGE_COLS if c in clean.columns]
     narrow = clean.select(*dict.fromkeys(cols + lineage))
     return dedup(narrow).select(*cols)

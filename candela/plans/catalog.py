@@ -20,7 +20,7 @@ from candela.functions.numeric import round_half_up
 from candela.operators import daily_state
 from candela.operators import gold as G
 from candela.operators import indicators as I
-from candela.operators import ingest, marts, quality, serving
+from candela.operators import ingest, long_history, marts, quality, serving
 from candela.operators.window_stats import window_stats
 from candela.plans import sqlparts as S
 from candela.schema import GOLD, GOLD_COLS, LINEAGE_COLS, SERVING_COLS, STAGING_TICK_TYPES, TICK_COLS
@@ -301,10 +301,10 @@ def q_gold_daily_users(spark, sf):
 _LI_ORDER = "tick_order"
 
 
-@query(
-    "gold_daily_lineitem",
-    f"WITH ticks AS ({S.lineitem_ticks_sql()}), {S.gold_ctes(order=_LI_ORDER)} " + S.canon_select(GOLD_COLS, "gold"),
-)
+_GOLD_LINEITEM_SQL = f"WITH ticks AS ({S.lineitem_ticks_sql()}), {S.gold_ctes(order=_LI_ORDER)} " + S.canon_select(GOLD_COLS, "gold")
+
+
+@query("gold_daily_lineitem", _GOLD_LINEITEM_SQL)
 def q_gold_daily_lineitem(spark, sf):
     li = fx.ticks_from_lineitem(table(spark, sf, "lineitem"))
     return canon(G.gold_daily(li, fx.LINEITEM_ORDER))
@@ -362,6 +362,17 @@ def q_gold_from_states(spark, sf):
     return canon(daily_state.gold_from_states(daily_state.state_log(spark, path)))
 
 
+#: Block size of the long-history queries: small, so the fixture's symbols span many blocks.
+HISTORY_BLOCK_ROWS = 32
+
+
+@query("gold_long_history", _GOLD_LINEITEM_SQL)
+def q_gold_long_history(spark, sf):
+    """Gold with windows over blocks of a symbol's days and a halo of 14 rows; equals the plain windows."""
+    t = fx.ticks_from_lineitem(table(spark, sf, "lineitem"))
+    return canon(long_history.gold_daily_long_history(t, fx.LINEITEM_ORDER, HISTORY_BLOCK_ROWS))
+
+
 # ========================================================== indicators
 def _rsi_strict_sql(period: int) -> str:
     w = S.w_rows(period)
@@ -910,9 +921,7 @@ def q_silver_numeric_symbols(spark, sf):
     return scan(spark, path, "parquet", SILVER).groupBy("symbol").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@query(
-    "silver_accounting",
-    f"""{_SILVER}, judged AS (SELECT *, coalesce({S.quality_pred_sql()} AND event_time IS NOT NULL AND source IS NOT NULL, false) AS ok FROM parsed)
+_ACCOUNTING_SQL = f"""{_SILVER}, judged AS (SELECT *, coalesce({S.quality_pred_sql()} AND event_time IS NOT NULL AND source IS NOT NULL, false) AS ok FROM parsed)
     SELECT kind, n FROM (
       SELECT 'input' AS kind, count(*) AS n FROM parsed
       UNION ALL SELECT 'silver', count(*) FROM silver
@@ -922,8 +931,10 @@ def q_silver_numeric_symbols(spark, sf):
       UNION ALL SELECT 'reject:bad_price', count(*) FROM judged WHERE NOT ok AND NOT coalesce(price > 0, false)
       UNION ALL SELECT 'reject:bad_volume', count(*) FROM judged WHERE NOT ok AND NOT coalesce(volume >= 0, false)
       UNION ALL SELECT 'reject:null_event_time', count(*) FROM judged WHERE NOT ok AND event_time IS NULL
-      UNION ALL SELECT 'reject:null_source', count(*) FROM judged WHERE NOT ok AND source IS NULL)""",
-)
+      UNION ALL SELECT 'reject:null_source', count(*) FROM judged WHERE NOT ok AND source IS NULL)"""
+
+
+@query("silver_accounting", _ACCOUNTING_SQL)
 def q_silver_accounting(spark, sf):
     """Every bronze row is in silver, a duplicate or a reject with its reasons."""
     return quality.silver_accounting(bronze(spark, sf, redelivered=True))
@@ -974,3 +985,50 @@ def q_pipeline_nightly(spark, sf):
     root = scratch_path(spark, "lake")
     jobs.run_nightly(spark, jobs.parse_args(["nightly", "--root", root, "--source-path", _landed(spark, sf)]))
     return spark.read.schema(SERVING).parquet(f"{root}/serving").select(*SERVING_COLS)
+
+
+@query("pipeline_nightly_since", _NIGHTLY_SQL)
+def q_pipeline_nightly_since(spark, sf):
+    """Two nights: the first days in full, then with --since only what was ingested after; equals one full night."""
+    from candela.plans import jobs
+    from candela.schema import SERVING
+    from candela.streaming.replay import DAY_BOUNDS
+
+    root, all_rows, landing = scratch_path(spark, "lake"), _landed(spark, sf), scratch_path(spark, "landing")
+    delivered = spark.read.parquet(all_rows)
+    first = F.col("timestamp") < F.lit(DAY_BOUNDS[-1]).cast("timestamp")
+    delivered.filter(first).write.parquet(landing)
+    argv = ["nightly", "--root", root, "--source-path", landing]
+    jobs.run_nightly(spark, jobs.parse_args(argv))
+    since = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+    delivered.filter(~first).write.mode("append").parquet(landing)
+    jobs.run_nightly(spark, jobs.parse_args([*argv, "--since", since]))
+    return spark.read.schema(SERVING).parquet(f"{root}/serving").select(*SERVING_COLS)
+
+
+@query("silver_job_accounting", _ACCOUNTING_SQL)
+def q_silver_job_accounting(spark, sf):
+    """What the silver job says of its one pass over bronze."""
+    from candela.plans import jobs
+
+    root = scratch_path(spark, "lake")
+    bronze(spark, sf, redelivered=True).write.parquet(f"{root}/bronze")
+    jobs.run_silver(spark, jobs.parse_args(["silver", "--input-path", f"{root}/bronze", "--output-path", f"{root}/silver"]))
+    return spark.read.parquet(f"{root}/silver_accounting")
+
+
+@query(
+    "validate_job_invalid",
+    f"""{_TICKS}, e AS (SELECT "offset", CASE WHEN "offset" % {fx.JSON_GARBAGE_MOD} = 0 THEN 'garbage'
+        WHEN "offset" % {fx.JSON_WRONG_TYPE_MOD} = 0 OR "offset" % {fx.JSON_MISSING_KEY_MOD} = 0 THEN 'field' END AS kind FROM ticks)
+    SELECT "offset", kind FROM e WHERE kind IS NOT NULL""",
+)
+def q_validate_job_invalid(spark, sf):
+    """Messages that the validation job of the nightly chain sets aside."""
+    from candela.plans import jobs
+
+    root = scratch_path(spark, "lake")
+    bronze(spark, sf).withColumn("_ingested_at", F.current_timestamp()).write.parquet(f"{root}/bronze")
+    jobs.run_validate(spark, jobs.parse_args(["validate", "--input-path", f"{root}/bronze", "--invalid-path", f"{root}/invalid"]))
+    garbage = F.col("json_value") == "not json"
+    return spark.read.parquet(f"{root}/invalid").select("offset", F.when(garbage, "garbage").otherwise("field").alias("kind"))

@@ -1,12 +1,14 @@
-"""Argument-driven jobs: stream, bronze, silver, gold, serve, nightly.
+"""Argument-driven jobs: stream, bronze, validate, silver, gold, serve, nightly, compact.
 
     python -m candela.plans.jobs stream  --kafka-broker HOST:9092 --output-path P --checkpoint-path C
     python -m candela.plans.jobs bronze  --source-path LANDING --output-path P --checkpoint-path C --available-now
-    python -m candela.plans.jobs silver  --input-path BRONZE --output-path SILVER
+    python -m candela.plans.jobs validate --input-path BRONZE --invalid-path INVALID
+    python -m candela.plans.jobs silver  --input-path BRONZE --output-path SILVER [--since TIME]
     python -m candela.plans.jobs silver_stream --source-path LANDING --output-path SILVER --checkpoint-path C
-    python -m candela.plans.jobs gold    --input-path SILVER --output-path GOLD [--incremental-from DATE]
+    python -m candela.plans.jobs gold    --input-path SILVER --output-path GOLD [--incremental-from DATE] [--state-path STATES]
     python -m candela.plans.jobs serve   --input-path GOLD --serving-path T --rejects-path R --run-date D
-    python -m candela.plans.jobs nightly --root ROOT --source-path LANDING --run-date D
+    python -m candela.plans.jobs nightly --root ROOT --source-path LANDING --run-date D [--since TIME] [--register PREFIX]
+    python -m candela.plans.jobs compact --stats-path LOG --state-path STATES
 
 Paths may be any Hadoop-compatible URI; --storage-format is parquet or delta.
 """
@@ -16,14 +18,25 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
+from candela.operators import daily_state, ingest, quality, serving
 from candela.operators import gold as G
-from candela.operators import quality, serving
-from candela.schema import BRONZE, GOLD, GOLD_COLS, GOLD_KEYS, SILVER, TICK_COLS
+from candela.schema import (
+    BRONZE,
+    DEDUP_KEYS,
+    GOLD,
+    GOLD_COLS,
+    GOLD_KEYS,
+    LINEAGE_COLS,
+    SERVING,
+    SILVER,
+    SILVER_COLS,
+    TICK_COLS,
+)
 from candela.session import build_session, ensure_utc, remove_path, scratch_path
-from candela.sources.lake import scan, write_partitioned, write_partitions_dynamic
+from candela.sources.lake import register_table, scan, write_partitioned, write_partitions_dynamic
 from candela.streaming import queries as P
 from candela.streaming.sources import file_source, kafka_source
 
@@ -85,28 +98,90 @@ def run_silver_stream(spark: SparkSession, args) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def _since(df, args):
+    """Rows ingested since ``--since`` (all without it)."""
+    since = getattr(args, "since", None)
+    return df if not since else df.filter(F.col("_ingested_at") >= F.lit(since).cast("timestamp"))
+
+
+def run_validate(spark: SparkSession, args) -> None:
+    """Bronze payloads that break the message contract, with their errors, to the invalid path."""
+    bronze_df = _since(scan(spark, args.input_path, args.storage_format, BRONZE), args)
+    _, invalid = ingest.split_valid(bronze_df.select("json_value", *LINEAGE_COLS, "_ingested_at"))
+    invalid.drop("is_valid").write.format(args.storage_format).mode("overwrite").save(args.invalid_path)
+
+
 def run_silver(spark: SparkSession, args) -> None:
+    """Bronze → silver and its rejects in one pass over bronze, with the accounting of that pass.
+
+    Bronze is judged once and staged: accepted rows with the columns silver
+    needs, refused ones whole. Silver and the rejects (always written, so nothing
+    goes unseen) are made from the staging, and ``<output>_accounting`` says where
+    every row went. With ``--since`` only bronze rows ingested since then are
+    read, and rows whose key silver has already are left out, so running it
+    again adds nothing.
+    """
     if args.input_path.rstrip("/") == args.output_path.rstrip("/"):
         raise ValueError("silver must not overwrite the bronze path it reads")
-    bronze_df = scan(spark, args.input_path, args.storage_format, BRONZE)
-    write_partitioned(quality.silver(bronze_df), args.output_path, fmt=args.storage_format)
-    # What silver refused, with the reasons; always written, so nothing goes unseen.
-    rejects = quality.quality_rejects(bronze_df)
-    rejects.write.format(args.storage_format).mode("overwrite").save(args.rejects_path or f"{args.output_path.rstrip('/')}_rejects")
+    output, fmt = args.output_path.rstrip("/"), args.storage_format
+    observation = Observation("silver")
+    rows = quality.judged(_since(scan(spark, args.input_path, fmt, BRONZE), args), observation)
+    rejected = F.size("reasons") > 0
+    rows = rows.withColumn("json_value", F.when(rejected, F.col("json_value"))).withColumn("_rejected", rejected)
+    staging = scratch_path(spark, "silver_staging")
+    rows.write.partitionBy("_rejected").parquet(staging)
+    staged = spark.read.schema(rows.schema).parquet(staging)
+    refused = staged.filter("_rejected").drop("_rejected")
+    refused.write.format(fmt).mode("overwrite").save(args.rejects_path or f"{output}_rejects")
+    fresh = quality.dedup_accepted(staged.filter(~F.col("_rejected")))
+    if getattr(args, "since", None):
+        span = fresh.agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi")).first()
+        old = scan(spark, output, fmt, SILVER).filter(F.col("event_time").between(F.lit(span.lo), F.lit(span.hi)))
+        fresh = fresh.join(old.select(*DEDUP_KEYS), DEDUP_KEYS, "left_anti")
+        added = scratch_path(spark, "silver_staging")
+        fresh.write.parquet(added)
+        fresh = spark.read.schema(SILVER).parquet(added).select(*SILVER_COLS)
+        written = fresh.count()
+        write_partitioned(fresh, output, fmt=fmt, mode="append")
+        remove_path(spark, added)
+    else:
+        write_partitioned(fresh, output, fmt=fmt)
+        written = scan(spark, output, fmt, SILVER).count()
+    account = quality.accounting_rows(observation.get, written)
+    spark.createDataFrame(account, "kind string, n bigint").coalesce(1).write.format(fmt).mode("overwrite").save(f"{output}_accounting")
+    remove_path(spark, staging)
 
 
 def run_gold(spark: SparkSession, args) -> None:
     """Full rebuild by default; --incremental-from D updates the existing gold with
-    the ticks ingested (or, without an ingestion stamp, timed) since D."""
+    the ticks ingested (or, without an ingestion stamp, timed) since D.
+
+    With ``--state-path`` the daily states are stored: a rebuild writes them, and
+    an update merges the new ticks' states into them without reading old ticks
+    (the new ticks must not have been counted before, except by an earlier run
+    with the same date, which is replaced). Without it, the touched days are
+    aggregated from silver again.
+    """
     silver_all = scan(spark, args.input_path, args.storage_format, SILVER)
     ticks = silver_all.select(*TICK_COLS)
     if not args.incremental_from:
-        write_partitioned(G.gold_daily(ticks), args.output_path, fmt=args.storage_format)
+        if args.state_path:
+            daily_state.write_generation(daily_state.daily_states(ticks), args.state_path)
+            gold_df = daily_state.gold_from_states(daily_state.state_log(spark, args.state_path))
+        else:
+            gold_df = G.gold_daily(ticks)
+        write_partitioned(gold_df, args.output_path, fmt=args.storage_format)
+        _register(spark, args, "gold_daily", args.output_path, GOLD, ["symbol"])
         return
     since = F.lit(args.incremental_from).cast("timestamp")
     new_ticks = silver_all.filter(F.coalesce("_ingested_at", "event_time") >= since).select(*TICK_COLS)
     prev = scan(spark, args.output_path, args.storage_format, GOLD).select(*GOLD_COLS)
-    changes = G.gold_changes(prev, ticks, new_ticks)
+    if args.state_path:
+        batch_id = "since-" + "".join(c if c.isalnum() else "-" for c in args.incremental_from)
+        batch = daily_state.append_batch(new_ticks, args.state_path, batch_id)
+        changes = daily_state.gold_changes(prev, args.state_path, batch)
+    else:
+        changes = G.gold_changes(prev, ticks, new_ticks)
     if changes is None:
         return
     # Only symbols with new ticks can change: stage their rows, then replace just
@@ -120,6 +195,13 @@ def run_gold(spark: SparkSession, args) -> None:
         args.storage_format,
     )
     remove_path(spark, staging)
+    _register(spark, args, "gold_daily", args.output_path, GOLD, ["symbol"])
+
+
+def _register(spark: SparkSession, args, name: str, path: str, schema, partition_by) -> None:
+    """Register a job's output in the catalog under ``--register``'s prefix (without it: not at all)."""
+    if args.register is not None:
+        register_table(spark, f"{args.register}{name}", path, schema, partition_by, args.storage_format)
 
 
 def run_serve(spark: SparkSession, args) -> None:
@@ -143,29 +225,56 @@ def run_serve(spark: SparkSession, args) -> None:
 
 
 def run_nightly(spark: SparkSession, args) -> None:
-    """bronze (bounded) → silver → gold → serving, in order, each step waiting."""
+    """bronze (bounded) → validation → silver → gold → serving, in order, each step waiting.
+
+    Without ``--since`` silver, gold and serving are rebuilt. With it each step
+    takes what was ingested since then: silver appends new keys, gold merges
+    their daily states, serving loads the days from the first touched one on.
+    """
     root = args.root.rstrip("/")
     ns = argparse.Namespace(**vars(args))
     ns.available_now = True
     ns.starting_offsets = "earliest"  # the first bounded run must see what is there; later ones go on from the checkpoint
     ns.output_path, ns.checkpoint_path = f"{root}/bronze", f"{root}/_checkpoints/bronze"
     run_bronze(spark, ns)
-    ns.input_path, ns.output_path, ns.rejects_path = f"{root}/bronze", f"{root}/silver", f"{root}/silver_rejects"
+    ns.input_path, ns.invalid_path = f"{root}/bronze", f"{root}/invalid"
+    run_validate(spark, ns)
+    ns.output_path, ns.rejects_path = f"{root}/silver", f"{root}/silver_rejects"
     run_silver(spark, ns)
-    ns.input_path, ns.output_path, ns.incremental_from = f"{root}/silver", f"{root}/gold", None
+    ns.input_path, ns.output_path, ns.incremental_from = f"{root}/silver", f"{root}/gold", args.since
+    ns.state_path = f"{root}/daily_states"
     run_gold(spark, ns)
     ns.input_path, ns.serving_path, ns.rejects_path = f"{root}/gold", f"{root}/serving", f"{root}/serving_rejects"
+    if args.since:
+        new = _since(scan(spark, f"{root}/silver", args.storage_format, SILVER), args)
+        first = new.agg(F.min(F.to_date("event_time"))).first()[0]
+        if first is None:
+            return
+        ns.serve_since = first.isoformat()
     run_serve(spark, ns)
+    _register(spark, ns, "serving_gold_daily", ns.serving_path, SERVING, ["trade_date"])
+
+
+def run_compact(spark: SparkSession, args) -> None:
+    """Fold the logs that grow by the batch: window statistics or messages, and the daily states."""
+    if args.stats_path:
+        log = spark.read.parquet(args.stats_path)
+        fold = P.compact_stats_messages if "value" in log.columns else P.compact_window_stats
+        fold(spark, args.stats_path)
+    if args.state_path:
+        daily_state.compact(spark, args.state_path)
 
 
 JOBS = {
     "stream": run_stream,
     "bronze": run_bronze,
+    "validate": run_validate,
     "silver": run_silver,
     "silver_stream": run_silver_stream,
     "gold": run_gold,
     "serve": run_serve,
     "nightly": run_nightly,
+    "compact": run_compact,
 }
 
 
@@ -190,6 +299,10 @@ def parse_args(argv=None):
     p.add_argument("--rejects-path", default=None, help="default: the output path with _rejects")
     p.add_argument("--serve-since", default=None, help="serve: load only days from this date on")
     p.add_argument("--run-date", default=None)
+    p.add_argument("--since", default=None, help="silver, validate, nightly: only what was ingested since then")
+    p.add_argument("--state-path", default=None, help="gold, compact: the stored daily states")
+    p.add_argument("--invalid-path", default="./data/invalid", help="validate: messages that break the contract")
+    p.add_argument("--register", default=None, metavar="PREFIX", help="register the written tables under PREFIX + name")
     p.add_argument("--root", default="./data")
     p.add_argument("--rocksdb", action="store_true", help="RocksDB state store (many symbols/windows)")
     p.add_argument(

@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from candela.plans import sqlparts as S
 from candela.plans.catalog import _SILVER, _TICKS, canon, query, ticks, window_stats_sql
 from candela.schema import BRONZE_COLS, WINDOW_STATS_COLS
-from candela.session import scratch_path
+from candela.session import scratch_path, session_conf
 from candela.sources import fixtures as fx
+from candela.streaming import late
 from candela.streaming import queries as P
+from candela.streaming.keyed_state import ROCKSDB, start_silver_dedup_state
 from candela.streaming.replay import DAY_BOUNDS, replay
 
 BOUNDED = {"availableNow": True}
@@ -58,6 +60,22 @@ def q_stream_silver_dedup(spark, sf):
     return canon(spark.read.parquet(out).select("symbol", "event_time", "source", "offset"))
 
 
+@query(
+    "stream_silver_dedup_state",
+    f"{_SILVER} " + S.canon_select(["symbol", "event_time", "source", "offset"], "silver"),
+)
+def q_stream_silver_dedup_state(spark, sf):
+    """Deduplication by keyed state with timers; the replay delivers in order, so a day's horizon covers every copy."""
+    out = scratch_path(spark, "silver")
+    with session_conf(spark, ROCKSDB):
+        replay(
+            spark,
+            _envelope(spark, sf, redelivered=True),
+            lambda s, ck: start_silver_dedup_state(s, out, ck, trigger=BOUNDED, bucket="1 day"),
+        )
+    return canon(spark.read.parquet(out).select("symbol", "event_time", "source", "offset"))
+
+
 _WS_SQL = f"{_CLEAN}, ws AS ({window_stats_sql('clean')}) "
 
 
@@ -134,3 +152,36 @@ def q_stream_late_drop(spark, sf):
         reverse=True,
     )
     return canon(P.latest_window_stats(spark, out))
+
+
+_LATE_COLS = ["symbol", "event_time", "source", "price", "volume", "watermark"]
+
+
+def _late_split(spark, sf) -> str:
+    """The reversed replay through the late split: all but the first delivered chunk is behind its watermark."""
+    out = scratch_path(spark, "late_split")
+    replay(spark, _envelope(spark, sf), lambda s, ck: late.start_late_split(P.clean_ticks(s), out, ck, trigger=BOUNDED), reverse=True)
+    return out
+
+
+@query(
+    "late_rows",
+    f"""{_CLEAN}, mark AS (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 5 MINUTE AS watermark FROM clean),
+      late AS (SELECT clean.*, mark.watermark FROM clean, mark WHERE kafka_timestamp < TIMESTAMP '{DAY_BOUNDS[-1]}')
+    """
+    + f"SELECT {', '.join(S.canon_col(c) for c in _LATE_COLS[:-1])}, strftime(watermark, '{S.TS_FORMAT_SQL}') AS watermark FROM late",
+)
+def q_late_rows(spark, sf):
+    """Ticks behind the watermark, kept in the side table with the watermark they missed."""
+    return canon(late.late_rows(spark, _late_split(spark, sf)).select(*_LATE_COLS))
+
+
+@query(
+    "late_accounting",
+    f"""{_CLEAN} SELECT 'input' AS kind, count(*) AS n FROM clean
+    UNION ALL SELECT 'windows', count(*) FROM clean WHERE kafka_timestamp >= TIMESTAMP '{DAY_BOUNDS[-1]}'
+    UNION ALL SELECT 'late', count(*) FROM clean WHERE kafka_timestamp < TIMESTAMP '{DAY_BOUNDS[-1]}'""",
+)
+def q_late_accounting(spark, sf):
+    """Input = windows + late."""
+    return late.window_accounting(spark, _late_split(spark, sf))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -133,24 +133,46 @@ def latest_window_stats(spark: SparkSession, path: str, min_batch_id: int | None
     return latest_by_key(log, keys, [c for c in WINDOW_STATS_COLS if c not in keys]).select(*WINDOW_STATS_COLS)
 
 
-def compact_window_stats(spark: SparkSession, path: str, up_to: int) -> None:
-    """Fold the update log's batches up to ``up_to`` into that batch's folder.
+def compact_log(
+    spark: SparkSession, path: str, keys: dict[str, Column], value_cols: Sequence[str], up_to: int | None = None
+) -> int | None:
+    """Fold an update log's batches up to ``up_to`` (the last but one) into that batch; returns it (None: nothing to fold).
 
-    Readers see the same values at every step: the folded rows replace batch
-    ``up_to`` (its highest version of a key wins anyway) before the older
-    folders go. Call it between micro-batches, with a batch already written.
+    The folded rows, the newest per key, are added to that batch's folder by one
+    write, and only then do the older folders go. A reader, or a crash, in
+    between sees some rows twice, never one less, and takes one a key anyway. The
+    last batch is left alone: a stream that starts again may write it anew.
     """
-    log = spark.read.parquet(path).filter(F.col("batch_id").cast("bigint") <= up_to)
-    keys = ["symbol", "window_start"]
-    folded = latest_by_key(log, keys, [c for c in WINDOW_STATS_COLS if c not in keys]).select(*WINDOW_STATS_COLS)
-    staging = scratch_path(spark, "stats_compaction")
-    folded.write.parquet(staging)
-    batches = [int(r.batch_id) for r in log.select("batch_id").distinct().collect()]  # one number a folder
-    spark.read.schema(folded.schema).parquet(staging).write.mode("overwrite").parquet(f"{path}/batch_id={up_to}")
+    log = spark.read.parquet(path)
+    batches = sorted(int(r.batch_id) for r in log.select("batch_id").distinct().collect())  # one number a folder
+    if up_to is None:
+        up_to = batches[-2] if len(batches) > 1 else None
+    elif up_to >= batches[-1]:
+        raise ValueError(f"batch {batches[-1]} may be written again and can't be folded")
+    if up_to is None or batches[0] == up_to:
+        return None
+    own = log.filter(F.col("batch_id").cast("bigint") <= up_to).withColumns({f"_key_{k}": c for k, c in keys.items()})
+    newest = latest_by_key(own, [f"_key_{k}" for k in keys], value_cols).select(*value_cols)
+    staging = scratch_path(spark, "log_compaction")
+    newest.write.parquet(staging)
+    spark.read.schema(newest.schema).parquet(staging).write.mode("append").parquet(f"{path}/batch_id={up_to}")
     for batch in batches:
         if batch < up_to:
             remove_path(spark, f"{path}/batch_id={batch}")
     remove_path(spark, staging)
+    return up_to
+
+
+def compact_window_stats(spark: SparkSession, path: str, up_to: int | None = None) -> int | None:
+    """Compact the log of ``start_window_stats``; ``latest_window_stats`` gives the same before, meanwhile and after."""
+    keys = {"symbol": F.col("symbol"), "window_start": F.col("window_start")}
+    return compact_log(spark, path, keys, WINDOW_STATS_COLS, up_to)
+
+
+def compact_stats_messages(spark: SparkSession, path: str, up_to: int | None = None) -> int | None:
+    """Compact the message log of ``start_stats_messages`` to the newest message per key and window."""
+    keys = {"key": F.col("key"), "window": F.get_json_object("value", "$.window_start")}
+    return compact_log(spark, path, keys, ["key", "value"], up_to)
 
 
 def stored_keys(

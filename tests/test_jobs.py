@@ -165,3 +165,56 @@ def test_staging_is_deleted(spark, landing):
     root = scratch_path(spark, "lake")
     jobs.JOBS["nightly"](spark, jobs.parse_args(["nightly", "--root", root, "--source-path", landing]))
     assert set(glob.glob(pattern)) <= before
+
+
+def test_nightly_since_equals_full_and_again(spark, landing):
+    """The second night takes only what came since; run twice it adds nothing."""
+    from candela.operators import quality
+    from candela.schema import BRONZE
+
+    root, part = scratch_path(spark, "lake"), scratch_path(spark, "landing_part")
+    rows = spark.read.parquet(landing)
+    late = (F.col("timestamp") >= "2024-01-24") | (F.col("offset") % 9 == 0)  # late ticks of earlier days too
+    rows.filter(~late).write.parquet(part)
+    argv = ["nightly", "--root", root, "--source-path", part, "--register", "night_"]
+    jobs.run_nightly(spark, jobs.parse_args(argv))
+    since = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+    rows.filter(late).write.mode("append").parquet(part)
+    bronze = spark.read.schema(BRONZE)
+    for _ in range(2):
+        jobs.run_nightly(spark, jobs.parse_args([*argv, "--since", since]))
+        silver = quality.silver(bronze.parquet(f"{root}/bronze"))
+        got = spark.read.parquet(f"{root}/silver")
+        assert got.count() == silver.count()
+        assert _rows(spark.read.parquet(f"{root}/gold").select(*G.GOLD_COLS)) == _rows(G.gold_daily(got))
+    from candela.operators import serving
+
+    ok, _ = serving.serving_cast(G.gold_daily(spark.read.parquet(f"{root}/silver")))
+    cols = ["symbol", "trade_date", "open_price", "close_price", "total_volume"]
+    from candela.schema import SERVING
+
+    loaded = spark.read.schema(SERVING).parquet(f"{root}/serving")
+    assert sorted(loaded.select(*cols).collect()) == sorted(ok.select(*cols).collect())
+    for name in ("gold_daily", "serving_gold_daily"):
+        assert spark.table(f"night_{name}").count() > 0
+        spark.sql(f"DROP TABLE night_{name}")
+    states = f"{root}/daily_states"
+    jobs.run_compact(spark, jobs.parse_args(["compact", "--state-path", states]))
+    from candela.operators import daily_state
+
+    assert _rows(daily_state.gold_from_states(daily_state.state_log(spark, states))) == _rows(G.gold_daily(spark.read.parquet(f"{root}/silver")))
+
+
+def test_silver_reads_bronze_once(spark, landing):
+    """One judging pass; its metrics are the accounting, and validation keeps what breaks the contract."""
+    from candela.operators import quality
+    from candela.schema import BRONZE
+
+    root = scratch_path(spark, "lake")
+    jobs.run_nightly(spark, jobs.parse_args(["nightly", "--root", root, "--source-path", landing]))
+    bronze = spark.read.schema(BRONZE).parquet(f"{root}/bronze")
+    want = {r.kind: r.n for r in quality.silver_accounting(bronze).collect()}
+    got = {r.kind: r.n for r in spark.read.parquet(f"{root}/silver_accounting").collect()}
+    assert got == want and got["input"] == got["silver"] + got["duplicate"] + got["rejected"]
+    invalid = spark.read.parquet(f"{root}/invalid")
+    assert invalid.count() > 0 and invalid.filter(F.size("errors") == 0).isEmpty()

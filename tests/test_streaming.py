@@ -215,3 +215,21 @@ def test_dedup_lookup_reads_only_the_days_of_the_batch(spark):
     plan = keys._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "event_date" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert {r.d for r in keys.select(F.to_date("event_time").alias("d")).distinct().collect()} <= set(days)
+
+
+def test_message_log_compaction(spark):
+    """Folding the message log keeps the newest message a window; the last batch can't be folded."""
+    log = scratch_path(spark, "messages")
+    replay(spark, _envelope(spark), lambda s, ck: P.start_stats_messages(P.clean_ticks(s), ck, path=log, trigger=BOUNDED))
+
+    def current():
+        rows = spark.read.parquet(log).withColumn("window", F.get_json_object("value", "$.window_start"))
+        return sorted(map(str, P.latest_by_key(rows, ["key", "window"], ["value"]).collect()))
+
+    before = current()
+    batches = sorted(int(r.batch_id) for r in spark.read.parquet(log).select("batch_id").distinct().collect())
+    with pytest.raises(ValueError):
+        P.compact_stats_messages(spark, log, batches[-1])
+    assert P.compact_stats_messages(spark, log) == batches[-2] and current() == before
+    left = sorted(int(r.batch_id) for r in spark.read.parquet(log).select("batch_id").distinct().collect())
+    assert left == batches[-2:] and P.compact_stats_messages(spark, log) is None
