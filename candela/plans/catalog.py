@@ -1032,3 +1032,29 @@ def q_validate_job_invalid(spark, sf):
     jobs.run_validate(spark, jobs.parse_args(["validate", "--input-path", f"{root}/bronze", "--invalid-path", f"{root}/invalid"]))
     garbage = F.col("json_value") == "not json"
     return spark.read.parquet(f"{root}/invalid").select("offset", F.when(garbage, "garbage").otherwise("field").alias("kind"))
+
+
+@query("gold_bucketed", f"{_T('user')}, r AS (SELECT symbol, trade_date, avg(close_price) OVER {S.w_rows(5)} AS sma, count(close_price) OVER {S.w_rows(5)} AS n FROM gold) "
+       "SELECT symbol, trade_date, " + S.canon_col("sma") + " FROM (SELECT symbol, trade_date, CASE WHEN n = 5 THEN sma END AS sma FROM r)")
+def q_gold_bucketed(spark, sf):
+    """A moving average over gold stored in sorted buckets: neither exchange nor sort."""
+    from candela.session import session_conf
+    from candela.sources.lake import BUCKET_ORDER, write_bucketed
+
+    path = scratch_path(spark, "gold_bucketed")
+    name = "gold_bucketed_" + path.rsplit("-", 1)[-1]
+    write_bucketed(gold(spark, sf, "user"), name, path, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    with session_conf(spark, BUCKET_ORDER):
+        out = canon(I.with_sma(spark.table(name).select("symbol", "trade_date", "close_price"), 5).select("symbol", "trade_date", "sma"))
+        out._jdf.queryExecution().executedPlan()  # planned under these settings
+    return out
+
+
+@query("distinct_symbols_trailing", None)
+def q_distinct_symbols_trailing(spark, sf):
+    """Symbols seen in the seven days up to each day, from stored daily sketches (an estimate: tested by its bound)."""
+    from candela.operators import symbol_sketch
+
+    path = scratch_path(spark, "symbol_sketches")
+    symbol_sketch.daily_symbol_sketches(gold(spark, sf, "user")).write.parquet(path)
+    return symbol_sketch.distinct_symbols_trailing(spark.read.parquet(path), 7)

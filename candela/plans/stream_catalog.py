@@ -16,10 +16,10 @@ from candela.plans.catalog import _SILVER, _TICKS, canon, query, ticks, window_s
 from candela.schema import BRONZE_COLS, WINDOW_STATS_COLS
 from candela.session import scratch_path, session_conf
 from candela.sources import fixtures as fx
-from candela.streaming import late
+from candela.streaming import late, topic_log
 from candela.streaming import queries as P
 from candela.streaming.keyed_state import ROCKSDB, start_silver_dedup_state
-from candela.streaming.replay import DAY_BOUNDS, replay
+from candela.streaming.replay import DAY_BOUNDS, chunks, replay
 
 BOUNDED = {"availableNow": True}
 _PARSED = f"{_TICKS}, parsed AS ({S.parsed_sql()})"
@@ -185,3 +185,35 @@ def q_late_rows(spark, sf):
 def q_late_accounting(spark, sf):
     """Input = windows + late."""
     return late.window_accounting(spark, _late_split(spark, sf))
+
+
+@query("stream_topic_log", f"{_PARSED} " + S.canon_select(_BRONZE_OUT, "parsed"))
+def q_stream_topic_log(spark, sf):
+    """Bronze from a landed topic log: a segment a chunk, each read from the positions in the checkpoint."""
+    root, out, checkpoint = scratch_path(spark, "topic"), scratch_path(spark, "bronze"), scratch_path(spark, "checkpoint")
+    for part in chunks(_envelope(spark, sf)):
+        topic_log.append_segment(part, root)
+        q = P.start_bronze_sink(topic_log.topic_log(spark, root, "earliest", True, 8), out, checkpoint, trigger=BOUNDED)
+        q.awaitTermination()
+    return canon(spark.read.parquet(out).select(*_BRONZE_OUT))
+
+
+@query(
+    "stream_message_log",
+    _WS_SQL
+    + S.canon_select(
+        _JSON_COLS,
+        "(SELECT symbol AS key, * FROM ws)",
+        "WHERE window_end <= (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 5 MINUTE FROM clean)",
+    ),
+)
+def q_stream_message_log(spark, sf):
+    """The message of every closed window, committed once an epoch."""
+    from candela.operators.window_stats import stats_json, window_stats
+
+    out = scratch_path(spark, "messages")
+    replay(spark, _envelope(spark, sf), lambda s, ck: topic_log.start_message_log(stats_json(window_stats(P.clean_ticks(s))), out, ck, BOUNDED))
+    schema = "symbol string, window_start timestamp, window_end timestamp, avg_price double, " \
+        "max_price double, min_price double, volatility double, tick_count bigint"
+    rows = topic_log.committed_messages(spark, out).select("key", F.from_json("value", schema).alias("v")).select("key", "v.*")
+    return canon(rows.select(*_JSON_COLS))

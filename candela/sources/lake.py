@@ -81,3 +81,18 @@ def register_table(
     if partition_by:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     return name
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, by: str = "symbol", order: str = "trade_date") -> None:
+    """A table of ``buckets`` buckets by ``by``, each one file sorted by (``by``, ``order``).
+
+    Windows and joins keyed by the bucket column read it without an exchange, and
+    with one file a bucket also without a sort (``bucket_order`` settings).
+    """
+    rows = df.repartition(buckets, by)
+    writer = rows.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, by).sortBy(by, order).saveAsTable(name)
+
+
+#: Session settings under which a scan of one file a bucket keeps the buckets and their order.
+BUCKET_ORDER = {"spark.sql.legacy.bucketedTableScan.outputOrdering": "true", "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
