@@ -1,7 +1,9 @@
 """Main text of web pages by boosted trees over DOM nodes, decoded along the tree.
 
 A page becomes a tree of block elements; the text that stands directly in a
-block, with its inline elements, is a leaf. Gradient-boosted trees score every
+block, with its inline elements, is a leaf. Elements that aren't known to be
+blocks are inline, and nothing inside a silent element (head, script, style,
+form controls, frames) is a node. Gradient-boosted trees score every
 node from its tag, attribute tokens, depth, sibling statistics and the text,
 link and tag densities of its subtree. A node counts as content if main text
 stands anywhere below it, so a child can only be content if its parent is. The
@@ -42,11 +44,12 @@ TREES, DEPTH, RATE, BIN_COUNT, LEAST_ROWS = 80, 4, 0.2, 32, 20
 
 # Fixed values of the HTML standard: elements by the way they are laid out and closed.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SILENT = frozenset("script style template head title iframe svg audio video textarea select option datalist".split())
-INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr br img "
-    "math maction maligngroup malignmark menclose merror mfenced mfrac mglyph mi mlabeledtr mlongdiv mmultiscripts mn mo mover mpadded mphantom mprescripts mroot "
-    "mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover none semantics annotation annotation-xml"
+SILENT = frozenset("script style template head title iframe textarea select option datalist".split())
+#: Elements that stand as blocks of their own; any other, known or not, is a part of the text around it.
+BLOCK = frozenset(
+    "html body main article section nav aside header footer address div p h1 h2 h3 h4 h5 h6 hgroup blockquote pre listing plaintext xmp figure figcaption "
+    "ul ol menu dir li dl dt dd table caption tbody thead tfoot tr td th form fieldset legend label button details summary dialog search center "
+    "frameset noframes"
     .split()
 )
 #: What can stand in a head (and html, which adds nothing there); any other element or text ends it.
@@ -119,6 +122,10 @@ class Tree(HTMLParser):
             return
         if tag in ("html", "body") and any(t == tag for t, _ in self.open[1:]):
             return
+        if self.silent:  # nothing in here is laid out
+            self.silent += tag in SILENT
+            self.open.append((tag, self.open[-1][1]))
+            return
         if tag in CLOSES_P:
             self.end_of(("p",), SCOPES)
         for_ends = ENDS.get(tag)
@@ -127,7 +134,7 @@ class Tree(HTMLParser):
         if tag in SILENT:
             self.silent += 1
             self.open.append((tag, self.open[-1][1]))
-        elif tag in INLINE:
+        elif tag not in BLOCK:
             self.links += tag == "a"
             self.open.append((tag, self.open[-1][1]))
         else:
@@ -151,11 +158,13 @@ class Tree(HTMLParser):
                 return
 
     def cut(self, k: int) -> None:
-        for tag, _ in self.open[k:]:
-            self.links -= tag == "a"
-            self.silent -= tag in SILENT
-            if tag not in INLINE and tag not in SILENT:
-                self.leaf = -1
+        if any(node != self.open[k - 1][1] for _, node in self.open[k:]):  # a block ends
+            self.leaf = -1
+        for tag, _ in reversed(self.open[k:]):  # what stands in a silent element was never counted
+            if tag in SILENT:
+                self.silent -= 1
+            elif tag == "a" and not self.silent:
+                self.links -= 1
         del self.open[k:]
 
     def updatepos(self, i: int, j: int) -> int:

@@ -15,7 +15,7 @@ bounds allow - is verified in full, so no link between different components is
 lost and no pair inside a component needs checking.
 
 Shingles and postings travel in blocks: packed arrays by bucket, the leading
-bits of the hash, which are more for more partitions. Overlaps are counted on 48
+bits of the hash, which are more for more partitions and for more text. Overlaps are counted on 48
 bits of the hashes of two sets.
 
 The frequency classes only steer how many candidates there are, never the
@@ -51,6 +51,8 @@ FRAGMENTS = 8
 SLOTS = 1 << 18
 #: Shingles that get a frequency class (9 bytes each on every worker).
 ORDERED_LAST = 1 << 19
+#: Bytes of text whose shingles go to one bucket, in the mean.
+BUCKET_TEXT = 1 << 20
 #: Shingles, and postings, that a task holds before it sends them on in blocks.
 HELD_SHINGLES = 700_000
 HELD_POSTINGS = 250_000
@@ -70,7 +72,10 @@ def set_fingerprint(hashes: np.ndarray) -> int:
 
 
 def bucket_bits(docs: DataFrame) -> int:
-    return max(8, partitions(docs).bit_length() + 2)
+    """Leading bits of a bucket: buckets get more as there is more text, so none grows with the corpus."""
+    total = docs.agg(F.sum(F.octet_length(text_or_empty()))).first()[0] or 0
+    wanted = (total // BUCKET_TEXT).bit_length()
+    return min(32, max(8, partitions(docs).bit_length() + 2, wanted))
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -103,12 +108,11 @@ class Order:
         return np.where(self.keys[at] == keys, self.classes[at], 0).astype(np.uint8)
 
 
-def frequency_order(docs: DataFrame, size: int, ordered_last: int) -> Order:
+def frequency_order(docs: DataFrame, size: int, ordered_last: int, bits: int) -> Order:
     """Classes of the most frequent shingles, counted over all documents.
 
     Tasks send sorted 32-bit remainders in blocks by bucket, so a shingle costs four bytes at most.
     """
-    bits = bucket_bits(docs)
     rest = np.uint64(64 - bits - 32)
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,10 +192,10 @@ def prefix_batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(held, list(PREFIX_TYPES))
 
 
-def prefixes(docs: DataFrame, order: Order, size: int, percent: int) -> DataFrame:
+def prefixes(docs: DataFrame, order: Order, size: int, percent: int, bits: int) -> DataFrame:
     """One row a document (doc_id, mark: set fingerprint, n_shingles) and, bucket set, blocks of prefix postings."""
     shared = docs.sparkSession.sparkContext.broadcast(order.parts())
-    rest = np.uint64(64 - bucket_bits(docs) - 32)
+    rest = np.uint64(64 - bits - 32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, ranks = SpanHasher(), Order(*shared.value)
@@ -371,8 +375,9 @@ def jaccard_components(
 def components(docs: DataFrame, size: int, percent: int, parts: int, ordered_last: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     docs = docs.select("doc_id", "text")
-    order = frequency_order(docs, size, ordered_last)
-    written = stored(prefixes(docs, order, size, percent), "prefixes")
+    bits = bucket_bits(docs)
+    order = frequency_order(docs, size, ordered_last, bits)
+    written = stored(prefixes(docs, order, size, percent, bits), "prefixes")
     rows = written.filter("bucket is null").select(F.col("doc_id").cast(kind).alias("doc_id"), "mark", "n_shingles")
     full = rows.filter("n_shingles > 0")
     # One node for each distinct set.

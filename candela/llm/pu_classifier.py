@@ -7,22 +7,26 @@ the rule statistics. With class prior p, it minimises
     p * R_pos(+) + max(0, R_unl(-) - p * R_pos(-))
 
 (R(+), R(-): mean logistic loss when called positive, negative). The unlabelled
-risk, gradient and curvature are summed over all documents by Spark; the driver
-sees one small matrix a partition. A Newton step that would make the estimated
-negative risk negative is halved until it doesn't.
-
-The class prior is the positive share among the labelled training rows. Labels
-are read from at most ``sample_rows`` training rows, in a fixed hash order;
+risk, gradient and curvature are summed over all documents by Spark, task by task
+and then over a tree of tasks. Each Newton step is tried at its full length, a
+half, a quarter and an eighth; the best that lowers the risk and keeps the
+estimated negative risk from going below zero is taken, and the fit ends where
+none does.
+
+The class prior is assumed, not learnt from unlabelled texts: it is the positive
+share among the labelled training rows, of which both classes are read for this
+alone. Labels are read from at most ``sample_rows`` training rows, in a fixed hash order;
 bin edges come from the same rows.
 
 Defined results: null and empty texts get the score of their (zero)
-statistics; null ids pass through; repeated rows are scored alike; extra
-columns are ignored; an empty table gives an empty result; without labelled
+statistics; null ids pass through; repeated rows are scored alike; of rows that
+share a labelled id the one of the smallest text is learnt from; extra columns are ignored; an empty table gives an empty result; without labelled
 positives every score is the prior 0.5.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,6 +41,8 @@ SAMPLE_ROWS = 20_000
 BINS = 8
 STEPS = 12
 RIDGE = 0.02
+#: Up to so many tasks send their sums to the driver themselves.
+DIRECT_TASKS = 64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -112,9 +118,21 @@ def unlabelled_sums(codes: DataFrame, bins: Bins, candidates: np.ndarray) -> lis
                 total[k, 2 + width :] += ((x * (times * p * (1 - p))[:, None]).T @ x).ravel()
         yield pd.DataFrame({"sums": [total.astype("<f8").tobytes()]})
 
-    parts = codes.select("codes").coalesce(max(1, min(64, codes.rdd.getNumPartitions())))
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            for sums in batch["sums"]:
+                part = np.frombuffer(sums, dtype="<f8")
+                total = part.copy() if total is None else total + part
+        if total is not None:
+            yield pd.DataFrame({"sums": [total.astype("<f8").tobytes()]})
+
+    # A tree of sums: tasks, then their square root of them, then the driver, one row at a time.
+    tasks, parts = codes.rdd.getNumPartitions(), codes.select("codes").mapInPandas(run, "sums binary")
+    if tasks > DIRECT_TASKS:
+        parts = parts.repartition(math.isqrt(tasks)).mapInPandas(added, "sums binary")
     width, out = bins.width, None
-    for row in parts.mapInPandas(run, "sums binary").toLocalIterator():
+    for row in parts.toLocalIterator():
         part = np.frombuffer(row.sums, dtype="<f8").reshape(len(candidates), -1)
         out = part.copy() if out is None else out + part
     if out is None:
@@ -171,6 +189,8 @@ def pu_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, sampl
                 yield pd.DataFrame({"quality": batch["quality"], "x": [row.astype("<f8").tobytes() for row in x]})
 
     joined = docs.select("doc_id", text_or_empty().alias("_text")).join(F.broadcast(marks), "doc_id")
+    # One row an id, however often it is repeated: its smallest text.
+    joined = joined.groupBy("doc_id").agg(F.min("_text").alias("_text"), F.min("quality").alias("quality"))
     sample = joined.mapInPandas(measure, "quality int, x binary").toPandas()
     sample = sample.sort_values(["x", "quality"], kind="stable")
     matrix = np.frombuffer(b"".join(sample["x"]), dtype="<f8").reshape(len(sample), len(FEATURES))

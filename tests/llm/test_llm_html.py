@@ -105,3 +105,67 @@ def test_text_of_math_object_canvas_and_noscript_stays(spark, model):
     assert blocks_of(f"<article>{inner}</article>") == want
     got = extract(spark, model, f"<html><head><title>x</title></head><body><article><h1>T</h1><p>{LONG}</p>{inner}<p>{LONG}</p></article></body></html>")
     assert got[0].split("\n\n") == ["T", LONG, *want, LONG]
+
+
+@pytest.mark.parametrize(
+    "inner,want",
+    [
+        ("See <svg><path/></svg> the icon", "See the icon"),
+        ("a <picture><source srcset=x><img src=y></picture> b", "a b"),
+        ("a <my-tag>b</my-tag> c", "a b c"),
+        ("a <nobr>b</nobr> c", "a b c"),
+        ("a <output>b</output> c", "a b c"),
+        ("a <object data=x><param name=y>b</object> c", "a b c"),
+        ("a <svg><title>t</title><style>s</style><text>b</text></svg> c", "a b c"),
+        ("a <audio><source src=x>b</audio> <video>c</video> d", "a b c d"),
+        ("a <iframe src=x><p>frame</p></iframe> b", "a b"),
+        ("a <select><option>x<div>y</div></select> b", "a b"),
+    ],
+)
+def test_a_block_stays_one_block(inner, want):
+    assert blocks_of(f"<article><p>{inner}</p><p>next</p></article>") == [want, "next"]
+
+
+def test_blocks_of_random_pages():
+    """Pages composed with known blocks: inline, unknown, void and silent elements split nothing, blocks do."""
+    import random
+
+    rng = random.Random(12)
+    inline = ["b", "i", "span", "a", "x-y", "nobr", "font", "svg", "object", "picture", "output", "abbr", "video", "unknown"]
+    silent = ["<script>no <p>no</p></script>", "<style>p{no}</style>", "<textarea>no</textarea>", "<iframe>no</iframe>", "<!-- no -->", "<img src=no>", "<template><div>no</div></template>"]
+    blocks = ["p", "h2", "li", "blockquote", "div", "figcaption", "td", "dd", "pre", "section"]
+
+    def words(depth):
+        parts, said = [], []
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.random()
+            if kind < 0.5 or depth > 3:
+                w = f"w{rng.randrange(1000)}"
+                parts.append(w)
+                said.append(w)
+            elif kind < 0.7:
+                parts.append(rng.choice(silent))
+            else:
+                tag = rng.choice(inline)
+                own, text = words(depth + 1)
+                parts.append(f"<{tag} class=x>{own}</{tag}>")
+                said += text
+        return " ".join(parts), said
+
+    def page(depth):
+        out, want = [], []
+        for _ in range(rng.randint(1, 4)):
+            tag = rng.choice(blocks)
+            if depth < 3 and tag in ("div", "section", "blockquote") and rng.random() < 0.6:
+                own, inside = page(depth + 1)
+                out.append(f"<{tag}>{own}</{tag}>")
+                want += inside
+            else:
+                own, said = words(0)
+                out.append(f"<{tag}>{own}</{tag}>")
+                want += [" ".join(said)] if said else []
+        return "".join(out), want
+
+    for _ in range(400):
+        text, want = page(0)
+        assert blocks_of(f"<html><head><title>no</title></head><body>{text}</body></html>") == want, text

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from candela.llm import jaccard_join as J
 from candela.llm.components import connected_components
 from candela.llm.jaccard_join import jaccard_components
 from llm_corpora import corpus
@@ -72,3 +73,40 @@ def test_connected_components(spark):
     got = dict(tuple(r) for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect())
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 8: 8, 9: 8, 10: 8, 11: 8, 12: 8}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_buckets_follow_the_text(spark, make_docs, monkeypatch):
+    """More text, more buckets; the result doesn't depend on them."""
+    rows = corpus(6, 40)
+    few = sorted(map(tuple, J.jaccard_components(make_docs(rows)).collect()), key=str)
+    monkeypatch.setattr(J, "BUCKET_TEXT", 1)
+    assert J.bucket_bits(make_docs(rows)) > 12
+    assert sorted(map(tuple, J.jaccard_components(make_docs(rows)).collect()), key=str) == few
+
+
+def test_workers_that_cannot_import_the_package(tmp_path):
+    """Tasks need no candela on their path: the driver puts it on its own path only."""
+    import os
+    import subprocess
+    import sys
+
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    code = f"""
+import os, sys
+os.environ.pop("PYTHONPATH", None)
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").getOrCreate()
+def importable(_):
+    try:
+        import candela
+        yield 1
+    except ImportError:
+        yield 0
+sys.path.insert(0, {repo!r})
+assert sum(spark.sparkContext.parallelize([0, 1], 2).mapPartitions(importable).collect()) == 0
+from candela.llm.jaccard_join import jaccard_components
+docs = spark.createDataFrame([(i, "a b c d e f g " + "x" * (i % 2)) for i in range(6)], "doc_id long, text string")
+assert {{r["component_id"] for r in jaccard_components(docs).collect()}} == {{0, 1}}
+"""
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]

@@ -81,3 +81,29 @@ def test_pu_defined_results(spark, make_docs):
     assert len(rows) == 4 and {r["score"] for r in rows} == {0.5}
     assert pu_quality(docs, spark.createDataFrame([(1, 1, 0), (None, 1, 0), (2, None, 0)], LABELS)).count() == 4
     assert pu_quality(make_docs([]), spark.createDataFrame([], LABELS)).count() == 0
+
+
+def test_repeated_ids_give_one_training_row(spark, make_docs):
+    """A labelled id on very many rows sends one of them to the driver."""
+    from candela.llm.quality_rules import sample_labelled
+
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text)] * 3000 + [(1, "z " + text), (2, text + " x")]
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0), (1, 1, 0)], LABELS)
+    sample = sample_labelled(make_docs(rows), labels, 20_000)
+    assert len(sample) == 2 and sorted(sample["quality"]) == [0, 1]
+    scored = pu_quality(make_docs(rows), labels)
+    assert scored.count() == len(rows)
+
+
+def test_sums_over_a_tree_of_tasks(spark, make_docs, monkeypatch):
+    """The fit is the same whether tasks send their sums or a tree of tasks adds them first."""
+    from candela.llm import pu_classifier
+
+    rows = [(i, t) for i, (_, t) in enumerate(corpus(4, 80))]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(80)], LABELS)
+    docs = make_docs(rows).repartition(5)
+    direct = {r["doc_id"]: r["score"] for r in pu_quality(docs, labels).collect()}
+    monkeypatch.setattr(pu_classifier, "DIRECT_TASKS", 0)
+    tree = {r["doc_id"]: r["score"] for r in pu_quality(docs, labels).collect()}
+    assert direct.keys() == tree.keys() and max(abs(direct[i] - tree[i]) for i in direct) < 1e-6
