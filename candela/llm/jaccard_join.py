@@ -51,8 +51,9 @@ FRAGMENTS = 8
 SLOTS = 1 << 18
 #: Shingles that get a frequency class (9 bytes each on every worker).
 ORDERED_LAST = 1 << 19
-#: Bytes of text whose shingles go to one bucket, in the mean.
-BUCKET_TEXT = 1 << 20
+#: Bytes of text whose shingles go to one bucket, in the mean. Far smaller buckets make rows of a few postings, which
+#: cost memory in every task.
+BUCKET_TEXT = 1 << 24
 #: Shingles, and postings, that a task holds before it sends them on in blocks.
 HELD_SHINGLES = 700_000
 HELD_POSTINGS = 250_000

@@ -71,6 +71,40 @@ SENTENCES = {
     "licensed under cc by nd 4.0": "cc-by-nd-notice",
     "licensed under cc0 1.0": "cc0-notice",
     "this work is dedicated to the public domain": "public-domain",
+    "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed": "bsd-warranty",
+    "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage": "bsd-liability",
+    "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software": "no-claim",
+    "isc license": "isc-title",
+    "the isc license": "isc-title",
+    "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "isc-grant",
+    "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness": "isc-warranty",
+    "this source code form is subject to the terms of the mozilla public license v": "mpl-2-header",
+    "this source code form is subject to the terms of the mozilla public license version 2.0": "mpl-2-header",
+    "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2.0": "mpl-2-copy",
+    "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2.0": "mpl-2-copy",
+    "licensed under the mozilla public license version 2.0": "mpl-2-notice",
+    "released under the mozilla public license version 2.0": "mpl-2-notice",
+    "this library is free software": "lgpl-free",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2.1 of the license or at your option any later version": "lgpl-2.1-terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version": "lgpl-3-terms",
+    "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation": "lgpl-terms",
+    "either version 2.1 of the license or at your option any later version": "lgpl-2.1-later",
+    "licensed under the gnu lesser general public license version 2.1": "lgpl-2.1-notice",
+    "licensed under the gnu lesser general public license version 3": "lgpl-3-notice",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version": "agpl-3-terms",
+    "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation": "agpl-terms",
+    "licensed under the gnu affero general public license version 3": "agpl-3-notice",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license v1.0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html": "epl-1-header",
+    "this program and the accompanying materials are made available under the terms of the eclipse public license 2.0 which is available at https www eclipse org legal epl 2.0": "epl-2-header",
+    "this is free and unencumbered software released into the public domain": "unlicense-title",
+    "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means": "unlicense-grant",
+    "this software is provided as is without any express or implied warranty": "zlib-warranty",
+    "in no event will the authors be held liable for any damages arising from the use of this software": "zlib-liability",
+    "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions": "zlib-grant",
+    "boost software license version 1.0": "bsl-1-title",
+    "boost software license version 1.0 august 17th 2003": "bsl-1-title",
+    "distributed under the boost software license version 1.0": "bsl-1-notice",
+    "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following": "bsl-1-grant",
     "all rights reserved": "reserved",
 }
 
@@ -94,6 +128,34 @@ RULES = (
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-endorse")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("BSD", ("bsd-notice",)),
+    ("ISC", ("isc-title", "isc-grant", "isc-warranty")),
+    ("ISC", ("isc-grant", "isc-warranty")),
+    ("ISC", ("isc-grant",)),
+    ("ISC", ("isc-title",)),
+    ("MPL-2.0", ("mpl-2-header", "mpl-2-copy")),
+    ("MPL-2.0", ("mpl-2-header",)),
+    ("MPL-2.0", ("mpl-2-notice",)),
+    ("LGPL-2.1", ("lgpl-free", "lgpl-terms", "lgpl-2.1-later")),
+    ("LGPL-2.1", ("lgpl-free", "lgpl-2.1-terms")),
+    ("LGPL-2.1", ("lgpl-2.1-terms",)),
+    ("LGPL-2.1", ("lgpl-2.1-notice",)),
+    ("LGPL-3.0", ("lgpl-free", "lgpl-terms", "gpl-3-later")),
+    ("LGPL-3.0", ("lgpl-free", "lgpl-3-terms")),
+    ("LGPL-3.0", ("lgpl-3-terms",)),
+    ("LGPL-3.0", ("lgpl-3-notice",)),
+    ("AGPL-3.0", ("gpl-free", "agpl-terms", "gpl-3-later")),
+    ("AGPL-3.0", ("gpl-free", "agpl-3-terms")),
+    ("AGPL-3.0", ("agpl-3-notice",)),
+    ("EPL-1.0", ("epl-1-header",)),
+    ("EPL-2.0", ("epl-2-header",)),
+    ("Unlicense", ("unlicense-title", "unlicense-grant")),
+    ("Unlicense", ("unlicense-title",)),
+    ("Zlib", ("zlib-warranty", "zlib-liability", "zlib-grant")),
+    ("Zlib", ("zlib-grant",)),
+    ("BSL-1.0", ("bsl-1-title", "bsl-1-grant")),
+    ("BSL-1.0", ("bsl-1-grant",)),
+    ("BSL-1.0", ("bsl-1-title",)),
+    ("BSL-1.0", ("bsl-1-notice",)),
     ("CC-BY-4.0", ("cc-by-notice",)),
     ("CC-BY-SA-4.0", ("cc-by-sa-notice",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-notice",)),
@@ -105,7 +167,7 @@ RULES = (
 
 #: Where sentences part, lines left whole; one class for all that may follow, as Java recurses on repeated groups.
 SENTENCE_BREAK = r"\n[^A-Za-z0-9]*\n|[.!?;:][ \t\r\n]+"
-#: Java and RE2 read these alike.
+#: Lines and sentences of a sentence that isn't known as a whole. Java and RE2 read all of these patterns alike.
 BREAK = r"\n+|[.!?;:][ \t\r\n]+"
 JUNK = r"[^a-z0-9.+]+"
 POINTS = r"(^|[^0-9])[.]+|[.]+($|[^0-9])"
@@ -120,19 +182,20 @@ def normalised(sentence: Column) -> Column:
 def sentence_ids(text: Column, sentences: dict[str, str] = SENTENCES) -> Column:
     """The identifiers of the known sentences of ``text``, in order."""
     known = F.create_map(*[F.lit(x) for pair in sentences.items() for x in pair])
-    alone = F.create_map(*[x for s, i in sentences.items() for x in (F.lit(s), F.array(F.lit(i)))])
-    # Normalising adds nothing to a sentence, so shorter ones can't be known.
+    # Normalising adds nothing to a sentence, so shorter ones can't be known. Nearly all sentences are unknown: a hash
+    # set tells, and the map, which is searched key by key, is only asked for the others.
     shortest = min(map(len, sentences))
+    none = F.array().cast("array<string>")
 
-    def long_enough(parts: Column) -> Column:
-        return F.filter(parts, lambda s: F.length(s) >= shortest)
+    def parts(whole: Column, at: str) -> Column:
+        return F.transform(F.filter(F.split(whole, at), lambda s: F.length(s) >= shortest), lambda s: F.struct(s.alias("s"), normalised(s).alias("n")))
 
     def lines(sentence: Column) -> Column:
-        several = F.when(F.contains(sentence, F.lit("\n")), F.split(sentence, BREAK))
-        return F.transform(long_enough(several), lambda s: known[normalised(s)])
+        hits = F.filter(parts(sentence, BREAK), lambda p: p["n"].isin(*sentences))
+        return F.when(F.contains(sentence, F.lit("\n")), F.transform(hits, lambda p: known[p["n"]])).otherwise(none)
 
-    hits = F.transform(long_enough(F.split(text, SENTENCE_BREAK)), lambda s: F.coalesce(alone[normalised(s)], lines(s), F.array().cast("array<string>")))
-    return F.filter(F.flatten(hits), lambda i: i.isNotNull())
+    hits = F.transform(parts(text, SENTENCE_BREAK), lambda p: F.when(p["n"].isin(*sentences), F.array(known[p["n"]])).otherwise(lines(p["s"])))
+    return F.flatten(hits)
 
 
 def marked(sequence) -> str:
@@ -175,8 +238,20 @@ def license_scan_sql() -> str:
         return "'" + x.replace("'", "''") + "'"
 
     known = f"MAP([{', '.join(map(text, SENTENCES))}], [{', '.join(map(text, SENTENCES.values()))}])"
-    lower = f"regexp_replace(regexp_replace(lower(s), {text(JUNK)}, ' ', 'g'), {text(POINTS)}, '\\1 \\2', 'g')"
-    norm = f"trim(regexp_replace({lower}, ' +', ' ', 'g'))"
+    shortest = min(map(len, SENTENCES))
+
+    def norm(x: str) -> str:
+        lower = f"regexp_replace(regexp_replace(lower({x}), {text(JUNK)}, ' ', 'g'), {text(POINTS)}, '\\1 \\2', 'g')"
+        return f"trim(regexp_replace({lower}, ' +', ' ', 'g'))"
+
+    def parts(x: str, at: str, name: str) -> str:
+        return f"list_filter(string_split_regex({x}, {text(at)}), lambda {name}: length({name}) >= {shortest})"
+
+    # A sentence that isn't known and holds line ends is read line by line.
+    lines = f"list_transform({parts('s', BREAK, 'v')}, lambda t: {known}[{norm('t')}])"
+    sentence = f"CASE WHEN {known}[{norm('s')}] IS NOT NULL THEN [{known}[{norm('s')}]] WHEN contains(s, chr(10)) THEN {lines} ELSE []::VARCHAR[] END"
+    whole = "coalesce(text, '')"
+    found = f"flatten(list_transform({parts(whole, SENTENCE_BREAK, 'u')}, lambda s: {sentence}))"
     cases = []
     for licence, sequence in RULES:
         rest, own = "line", marked(sequence)
@@ -185,9 +260,7 @@ def license_scan_sql() -> str:
         cases.append(f"CASE WHEN contains({rest}, {text(own)}) THEN {text(f'{licence}:{len(sequence)}')} END")
     return f"""
 WITH ids AS (
-  SELECT doc_id, list_filter(list_transform(
-    list_filter(string_split_regex(coalesce(text, ''), {text(BREAK)}), lambda s: length(s) >= {min(map(len, SENTENCES))}),
-    lambda s: {known}[{norm}]), lambda i: i IS NOT NULL) AS ids FROM documents),
+  SELECT doc_id, list_filter({found}, lambda i: i IS NOT NULL) AS ids FROM documents),
 lines AS (SELECT *, coalesce(array_to_string(list_transform(ids, lambda i: '<' || i || '>'), ''), '') AS line FROM ids),
 met AS (SELECT *, list_filter([{', '.join(cases)}], lambda r: r IS NOT NULL) AS rules FROM lines)
 SELECT doc_id, len(ids)::BIGINT AS n_known, array_to_string(ids, ',') AS sentence_ids,

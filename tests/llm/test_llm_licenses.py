@@ -154,3 +154,58 @@ def test_sql_agrees_on_unwrapped_texts_and_given_documents(spark, make_docs):
     db.executemany("INSERT INTO documents VALUES (?, ?)", rows)
     got = sorted(map(tuple, license_scan_digest(make_docs(rows)).collect()), key=str)
     assert got == sorted(db.execute(license_scan_sql()).fetchall(), key=str)
+
+
+WRAPPED = {
+    "MIT": """MIT License
+
+Copyright (c) 2020 Someone
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+    "LGPL-2.1": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+""",
+    "Zlib": """Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n",
+    "BSL-1.0": "Boost Software License - Version 1.0 - August 17th, 2003\n\nDistributed under the Boost Software License, Version 1.0.\n",
+}
+
+
+def test_wrapped_licences_by_operator_and_sql(spark):
+    """The SQL reads wrapped sentences as the operator does."""
+    import duckdb
+    import pandas as pd
+
+    rows = [(i, f"Some words first.\n\n{text}\nMore words.", name) for i, (name, text) in enumerate(WRAPPED.items())]
+    rows += [(100 + i, text.replace("\n", " "), name) for i, (name, text) in enumerate(WRAPPED.items())] + [(200, None, ""), (201, "", "")]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r.asDict() for r in license_scan_digest(docs).collect()}
+    for i, _, name in rows:
+        if name and i < 100:
+            assert name in got[i]["licenses"].split(","), (name, got[i])
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame([r[:2] for r in rows], columns=["doc_id", "text"]))
+    names = [d[0] for d in con.sql(license_scan_sql()).description]
+    assert {r[0]: dict(zip(names, r, strict=True)) for r in con.sql(license_scan_sql()).fetchall()} == got
