@@ -1058,3 +1058,16 @@ def q_distinct_symbols_trailing(spark, sf):
     path = scratch_path(spark, "symbol_sketches")
     symbol_sketch.daily_symbol_sketches(gold(spark, sf, "user")).write.parquet(path)
     return symbol_sketch.distinct_symbols_trailing(spark.read.parquet(path), 7)
+
+
+@query("snk_published_upsert", _UPSERT_SQL)
+def q_snk_published_upsert(spark, sf):
+    """Two publications of serving dates, the second an upsert; readers see them through the switched view."""
+    from candela.operators import publication
+
+    tgt, src = _serving_fixture(spark, sf)
+    root = scratch_path(spark, "publication")
+    name = "serving_" + root.rsplit("-", 1)[-1]
+    publication.publish_upsert(tgt, name, root)
+    publication.publish_upsert(src, name, root)
+    return spark.table(name).select(*SERVING_COLS)

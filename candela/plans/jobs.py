@@ -21,7 +21,7 @@ import datetime as dt
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from candela.operators import daily_state, ingest, quality, serving
+from candela.operators import daily_state, ingest, publication, quality, serving
 from candela.operators import gold as G
 from candela.schema import (
     BRONZE,
@@ -209,7 +209,8 @@ def run_serve(spark: SparkSession, args) -> None:
     previous day is deleted first, with --serve-since only days from then on are
     loaded. A row with a value over its type goes to the rejects (always
     written; the rejects of the latest load) and its key leaves the table, so no
-    older version of it stays."""
+    older version of it stays. With ``--publish`` the dates go to fresh folders
+    and one switch of that catalog view shows them."""
     gold_df = scan(spark, args.input_path, args.storage_format, GOLD)
     if args.serve_since:
         gold_df = gold_df.filter(F.col("trade_date") >= F.lit(args.serve_since).cast("date"))
@@ -220,6 +221,9 @@ def run_serve(spark: SparkSession, args) -> None:
     delete_date = None
     if args.run_date:
         delete_date = (dt.date.fromisoformat(args.run_date) - dt.timedelta(days=1)).isoformat()
+    if args.publish:
+        publication.publish_upsert(ok, args.publish, args.serving_path.rstrip("/"), delete_date, rejected)
+        return
     staging = scratch_path(spark, "serving_staging")
     serving.upsert_table(ok, args.serving_path, staging, args.storage_format, delete_date, rejected)
 
@@ -252,7 +256,8 @@ def run_nightly(spark: SparkSession, args) -> None:
             return
         ns.serve_since = first.isoformat()
     run_serve(spark, ns)
-    _register(spark, ns, "serving_gold_daily", ns.serving_path, SERVING, ["trade_date"])
+    if not args.publish:
+        _register(spark, ns, "serving_gold_daily", ns.serving_path, SERVING, ["trade_date"])
 
 
 def run_compact(spark: SparkSession, args) -> None:
@@ -302,6 +307,7 @@ def parse_args(argv=None):
     p.add_argument("--since", default=None, help="silver, validate, nightly: only what was ingested since then")
     p.add_argument("--state-path", default=None, help="gold, compact: the stored daily states")
     p.add_argument("--invalid-path", default="./data/invalid", help="validate: messages that break the contract")
+    p.add_argument("--publish", default=None, metavar="VIEW", help="serve: publish the dates through this catalog view")
     p.add_argument("--register", default=None, metavar="PREFIX", help="register the written tables under PREFIX + name")
     p.add_argument("--root", default="./data")
     p.add_argument("--rocksdb", action="store_true", help="RocksDB state store (many symbols/windows)")
