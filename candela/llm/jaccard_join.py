@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 
 from candela.llm.common import SpanHasher, partitions, shingle_hashes, stored, temporary_tables, text_or_empty
 from candela.llm.components import connected_components
+from candela.session import session_conf
 
 SIZE = 4
 #: Similarity threshold in hundredths.
@@ -54,6 +55,8 @@ ORDERED_LAST = 1 << 19
 #: Bytes of text whose shingles go to one bucket, in the mean. Far smaller buckets make rows of a few postings, which
 #: cost memory in every task.
 BUCKET_TEXT = 1 << 24
+#: Shuffle files go with the table that was written from them, not when the driver happens to collect its garbage.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 #: Shingles, and postings, that a task holds before it sends them on in blocks.
 HELD_SHINGLES = 700_000
 HELD_POSTINGS = 250_000
@@ -369,7 +372,7 @@ def jaccard_components(
     docs: DataFrame, size: int = SIZE, percent: int = PERCENT, parts: int = FRAGMENTS, ordered_last: int = ORDERED_LAST
 ) -> DataFrame:
     """Per document: doc_id, n_shingles and the smallest doc_id reachable by links."""
-    with temporary_tables(docs.sparkSession):
+    with temporary_tables(docs.sparkSession), session_conf(docs.sparkSession, DROP_SHUFFLES):
         return stored(components(docs, size, percent, parts, ordered_last), "components", keep=True)
 
 
