@@ -83,17 +83,17 @@ def partial_days(ticks: DataFrame, time: str, second: str) -> DataFrame:
 def merge_states(states: DataFrame) -> DataFrame:
     """Any number of states a (symbol, trade_date) merged into one: first/last by (time, second), sums, and M2.
 
-    Each state's squared deviations are moved to the day's mean, which is joined
-    back first: M2 = sum(m2 + n * (mean - day mean)^2). Nothing is gathered per
-    day and there is no difference of large sums; a day of one price has M2 zero
-    however its mean was rounded.
+    Each state's squared deviations are moved to the day's mean, which a window
+    on the same exchange and sort puts beside it: M2 = sum(m2 + n * (mean - day
+    mean)^2). A day's states stream through both, spilled where they are many, and
+    are never gathered into one row; there is no difference of large sums, and a
+    day of one price has M2 zero however its mean was rounded.
     """
     keys = ["symbol", "trade_date"]
-    means = states.groupBy(*keys).agg(F.try_divide(F.sum("price_sum"), F.sum("n")).alias("_mean"))
-    means = means.select(*[F.col(k).alias(f"_{k}") for k in keys], "_mean")
-    same_day = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("trade_date").eqNullSafe(F.col("_trade_date"))
+    day = Window.partitionBy(*keys)
+    mean = F.try_divide(F.sum("price_sum").over(day), F.sum("n").over(day))
     off = F.try_divide("price_sum", "n") - F.col("_mean")
-    moved = states.join(means, same_day).withColumn("m2", F.when(F.col("n") > 0, F.col("m2") + F.col("n") * off * off))
+    moved = states.withColumn("_mean", mean).withColumn("m2", F.when(F.col("n") > 0, F.col("m2") + F.col("n") * off * off))
     days = moved.groupBy(*keys).agg(
         F.min(F.struct("first_time", "first_by", "open_price")).alias("_first"),
         F.max(F.struct("last_time", "last_by", "close_price")).alias("_last"),

@@ -20,14 +20,15 @@ def test_gold_has_two_exchanges_and_one_window_sort(spark):
     p = _plan(gold(spark, SF))
     # tick level by (symbol, day, source), its few rows by (symbol, day), daily rows by symbol
     assert p.count("Exchange hashpartitioning") == 3
-    assert p.count("Window [") == 2
+    # the day's mean beside its states, the lag, and every trailing frame in one
+    assert p.count("Window [") == 3
 
 
 def test_tick_level_gold_is_hashed(spark):
     from candela.plans.catalog import daily
 
     lines = _plan(daily(spark, SF)).split("\n")
-    tick_level = [x for x in lines if "_second" in x and "Aggregate" in x and "var_pop" in x]
+    tick_level = [x for x in lines if "Aggregate" in x and "var_pop" in x]
     assert tick_level and all("HashAggregate" in x and "SortAggregate" not in x for x in tick_level)
 
 
@@ -77,7 +78,7 @@ def test_windows_share_sort_in_indicators(spark):
     d = G.daily_ohlcv(ticks(spark, SF))
     p = _plan(I.with_sma(G.with_rsi(G.with_prev_close(d)), 5))
     assert p.count("Exchange hashpartitioning") == 3  # two aggregates + one for all windows
-    assert p.count("Window [") == 2  # lag; then every trailing frame in one node
+    assert p.count("Window [") == 3  # a day's mean beside its states; lag; then every trailing frame in one node
 
 
 def test_serving_upsert_reads_only_touched_dates(spark):
