@@ -46,10 +46,14 @@ def bronze(envelope: DataFrame, stamp: bool = True) -> DataFrame:
 
 
 def validate(raw: DataFrame) -> DataFrame:
-    """Adds errors (array) and is_valid; invalid rows are kept, not dropped."""
-    return raw.withColumn("errors", tick_errors(F.col("json_value"))).withColumn(
-        "is_valid", F.size("errors") == 0
-    )
+    """Adds errors (array) and is_valid; invalid rows are kept, not dropped.
+
+    The errors come out of a one-element ``inline``, as in ``parse_ticks``: a
+    filter or an explode of them stays above it and reads them, where a plain
+    projection would judge each payload again.
+    """
+    judged = raw.select(F.inline(F.array(F.struct(*raw.columns, tick_errors(F.col("json_value")).alias("errors")))))
+    return judged.withColumn("is_valid", F.size("errors") == 0)
 
 
 def split_valid(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

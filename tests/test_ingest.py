@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candela.operators import ingest
+from candela.schema import FIELD_JSON_TYPES
 
 VALID = {
     "symbol": "ACME", "price": 42.17, "open": 41.50, "day_high": 42.80, "day_low": 41.10,
@@ -85,3 +86,21 @@ def test_bronze_keeps_garbage_payload(spark):
     garbage = b.filter(F.col("json_value") == "not json")
     assert garbage.count() > 0
     assert garbage.filter(F.col("symbol").isNotNull()).count() == 0
+
+
+def test_payload_is_judged_once(spark):
+    """Neither the violations' own checks nor a filter or explode on them parse the payload again."""
+    df = spark.createDataFrame([(json.dumps(VALID),)], "json_value string")
+    _, bad = ingest.split_valid(df)
+    for out in (ingest.validate(df), ingest.error_counts(df), bad):
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson") == 1
+        assert plan.count("variant_get") == len(FIELD_JSON_TYPES)
+
+
+def test_absent_null_and_repeated_keys(spark):
+    """A JSON null is of a wrong type, an absent optional key is fine, a repeated key or a null payload is no JSON."""
+    optional = {k: v for k, v in VALID.items() if k not in ("open", "currency")}
+    repeated = json.dumps(VALID)[:-1] + ', "price": 1}'
+    payloads = [json.dumps(optional), json.dumps(dict(VALID, open=None)), json.dumps(dict(VALID, source=[1])), repeated, None, "null"]
+    assert _errors(spark, payloads) == [[], ["type:open"], ["type:source"], ["not_json"], ["not_json"], ["not_object"]]
