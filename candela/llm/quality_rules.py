@@ -3,7 +3,7 @@
 Base rules reject very short and very repetitive texts. For the rest, an
 isolation forest (random axis-parallel splits on small subsamples; a document
 isolated by few splits is an anomaly) scores the rule statistics. Its
-threshold is calibrated on labelled rows: it minimises the share of bad rows
+threshold is calibrated on all labelled rows: it minimises the share of bad rows
 kept plus ``reject_cost`` times the share of good rows rejected.
 
 Defined results: a null or empty text has no words, so the base rule rejects
@@ -20,10 +20,10 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from candela.llm.common import SpanHasher, text_or_empty, word_spans
+from candela.llm.common import SpanHasher, stored, temporary_tables, text_or_empty, word_spans
 
 # The symbols counted by the rules and the ASCII white space between words.
 SYMBOLS = b"#*$%&|<>"
@@ -32,9 +32,10 @@ SPACE = b"\t\n\x0b\x0c\r "
 ODD = np.isin(np.arange(256), list(SYMBOLS + b"!?@^~=+"))
 
 MIN_WORDS = 50
-#: Labelled rows read for the forest and its threshold.
-SAMPLE_ROWS = 20_000
+#: Trees, and rows of each: an isolation forest's trees grow on small subsamples.
 TREES, SUBSAMPLE = 100, 256
+#: Ranges of the score (0 to 1) whose running sums the threshold's search starts from.
+SCORE_RANGES = 4096
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = (
     "log_words", "mean_word", "symbol_share", "dup_line_share", "repeat_share", "distinct_share",
@@ -166,16 +167,24 @@ def base_failed(min_words: int = MIN_WORDS):
     return (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, sample_rows: int) -> pd.DataFrame:
-    """At most ``sample_rows`` labelled documents that pass the base rules, by a fixed hash order, with features."""
+def labelled_statistics(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every labelled document that passes the base rules: doc_id, quality and features."""
     marks = labels.filter("quality is not null and doc_id is not null").select("doc_id", F.col("quality").cast("int"))
     marks = marks.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    joined = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
+    joined = docs.select("doc_id", "text").join(marks, "doc_id")
     # One row an id, however often it is repeated: its smallest text.
     joined = joined.groupBy("doc_id").agg(F.min("text").alias("text"), F.min("quality").alias("quality"))
-    stats = document_statistics(joined, "doc_id", "quality").filter(~base_failed())
-    return stats.select("quality", "features").toPandas()
+    return document_statistics(joined, "doc_id", "quality").filter(~base_failed()).select("doc_id", "quality", "features")
+
+
+def drawn(labelled: DataFrame, rows: int) -> pd.DataFrame:
+    """``rows`` of the labelled documents (all, if fewer), drawn from all of them by a fixed hash order."""
+    return labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).select("quality", "features").toPandas()
+
+
+def sample_labelled(docs: DataFrame, labels: DataFrame, sample_rows: int) -> pd.DataFrame:
+    """At most ``sample_rows`` labelled documents that pass the base rules, with features."""
+    return drawn(labelled_statistics(docs, labels), sample_rows)
 
 
 def calibrated(score: np.ndarray, good: np.ndarray, reject_cost: float) -> float:
@@ -190,21 +199,72 @@ def calibrated(score: np.ndarray, good: np.ndarray, reject_cost: float) -> float
     return float(ranked[at - 1]) if at == len(ranked) else float((ranked[at - 1] + ranked[at]) / 2)
 
 
-def fit(
-    docs: DataFrame, labels: DataFrame, reject_cost: float = 5.0, sample_rows: int = SAMPLE_ROWS, seed: int = 7
-) -> tuple[Forest | None, float]:
-    """The forest and the calibrated anomaly threshold (infinite if it can't be calibrated)."""
-    sample = sample_labelled(docs, labels, sample_rows)
-    if len(sample) == 0:
-        return None, float("inf")
-    order = sample["features"].map(tuple).sort_values(kind="stable").index
-    sample = sample.loc[order].reset_index(drop=True)
-    x = np.array(sample["features"].tolist())
-    forest = Forest(x, TREES, SUBSAMPLE, seed)
-    score, good = forest.score(x), sample["quality"].to_numpy() == 1
-    if good.all() or not good.any():
-        return forest, float("inf")
-    return forest, calibrated(score, good, reject_cost)
+def score_counts(labelled: DataFrame, forest: Forest) -> DataFrame:
+    """Good and bad labelled documents at each distinct anomaly score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = np.array(batch.column("features").to_pylist(), dtype=float).reshape(batch.num_rows, len(FEATURES))
+            yield pa.RecordBatch.from_arrays([pa.array(forest.score(x)), batch.column("quality")], ["score", "quality"])
+
+    scored = labelled.select("features", "quality").mapInArrow(run, "score double, quality int")
+    good = F.col("quality") == 1
+    return scored.groupBy("score").agg(F.count_if(good).alias("good"), F.count_if(~good).alias("bad"))
+
+
+def calibrated_cut(counts: DataFrame, reject_cost: float) -> float:
+    """``calibrated`` over the counts at each distinct score; infinite without both classes.
+
+    A running sum over all scores in two steps: over the ranges of the scores (at
+    most ``SCORE_RANGES`` + 1 rows), then, from there on, inside each range.
+    """
+    counts = counts.withColumn("range", F.floor(F.col("score") * SCORE_RANGES))
+    upto, every = Window.orderBy("range"), Window.partitionBy()
+    before = upto.rowsBetween(Window.unboundedPreceding, -1)
+    ranges = counts.groupBy("range").agg(F.sum("good").alias("g"), F.sum("bad").alias("b"), F.min("score").alias("lowest"))
+    ranges = ranges.select(
+        "range",
+        F.coalesce(F.sum("g").over(before), F.lit(0)).alias("good_before"),
+        F.coalesce(F.sum("b").over(before), F.lit(0)).alias("bad_before"),
+        F.lead("lowest").over(upto).alias("beyond"),
+        F.sum("g").over(every).alias("all_good"),
+        F.sum("b").over(every).alias("all_bad"),
+    )
+    inside = Window.partitionBy("range").orderBy("score")
+    kept_good = F.col("good_before") + F.sum("good").over(inside)
+    kept_bad = F.col("bad_before") + F.sum("bad").over(inside)
+    cuts = counts.join(F.broadcast(ranges), "range").select(
+        (kept_bad / F.col("all_bad") + reject_cost * (1.0 - kept_good / F.col("all_good"))).alias("cost"),
+        "score",
+        F.coalesce(F.lead("score").over(inside), "beyond").alias("next"),
+        "all_good",
+        "all_bad",
+    )
+    found = cuts.filter("all_good > 0 and all_bad > 0").agg(
+        F.min(F.struct("cost", "score", "next")).alias("best"), F.min("score").alias("lowest")
+    ).first()
+    if found.best is None:
+        return float("inf")
+    if found.best.cost >= reject_cost:  # the cost of keeping none, the first cut of all
+        return found.lowest - 1e-9
+    return found.best.score if found.best.next is None else (found.best.score + found.best.next) / 2
+
+
+def fit(docs: DataFrame, labels: DataFrame, reject_cost: float = 5.0, seed: int = 7) -> tuple[Forest | None, float]:
+    """The forest and the calibrated anomaly threshold (infinite if it can't be calibrated).
+
+    The threshold is that of all labelled documents. A tree's subsample, which
+    is what isolates, is drawn from all of them too; the trees together need no
+    more than ``TREES * SUBSAMPLE`` rows.
+    """
+    with temporary_tables(docs.sparkSession):
+        labelled = stored(labelled_statistics(docs, labels), "quality-labelled")
+        pool = drawn(labelled, TREES * SUBSAMPLE)
+        if len(pool) == 0:
+            return None, float("inf")
+        order = pool["features"].map(tuple).sort_values(kind="stable").index
+        forest = Forest(np.array(pool.loc[order, "features"].tolist()), TREES, SUBSAMPLE, seed)
+        return forest, calibrated_cut(stored(score_counts(labelled, forest), "quality-scores"), reject_cost)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, *carried: str, **options) -> DataFrame:

@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from candela.llm.common import SpanHasher, table
 from candela.llm.pu_classifier import pu_quality
@@ -107,3 +108,41 @@ def test_sums_over_a_tree_of_tasks(spark, make_docs, monkeypatch):
     monkeypatch.setattr(pu_classifier, "DIRECT_TASKS", 0)
     tree = {r["doc_id"]: r["score"] for r in pu_quality(docs, labels).collect()}
     assert direct.keys() == tree.keys() and max(abs(direct[i] - tree[i]) for i in direct) < 1e-6
+
+
+@pytest.mark.parametrize("reject_cost", [0.2, 5.0])
+def test_cut_over_all_scores(spark, reject_cost):
+    """The distributed search finds the cut of the plain one, ties of scores and both ends included."""
+    from candela.llm.quality_rules import calibrated_cut
+
+    def cut(score, good):
+        rows = spark.createDataFrame([(float(s), int(g), int(not g)) for s, g in zip(score, good)], "score double, good long, bad long")
+        return calibrated_cut(rows.groupBy("score").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad")), reject_cost)
+
+    rng = np.random.default_rng(3)
+    score = rng.uniform(0.3, 0.9, 500)
+    score[100:120] = score[:20]
+    assert cut(score, good := score + rng.normal(0, 0.1, 500) < 0.6) == calibrated(score, good, reject_cost)
+    assert cut(score[:50], score[:50] > 0.6) == calibrated(score[:50], score[:50] > 0.6, reject_cost)
+    assert cut(score[:50], score[:50] > 0) == float("inf") == cut(score[:50], score[:50] > 1)
+
+
+def test_threshold_comes_from_every_labelled_row(spark, make_docs, monkeypatch):
+    """Each labelled document moves the threshold, also when the trees draw from fewer."""
+    from candela.llm import quality_rules as Q
+
+    monkeypatch.setattr(Q, "TREES", 2)
+    monkeypatch.setattr(Q, "SUBSAMPLE", 8)
+    monkeypatch.setattr(Q, "SAMPLE_ROWS", 16, raising=False)
+    rows = [(i, " ".join(f"w{j * (i % 7 + 1) % (60 + i)}" for j in range(60 + i))) for i in range(120)]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(120)], LABELS)
+    docs = make_docs(rows)
+    seen = []
+    found = Q.calibrated_cut
+    monkeypatch.setattr(Q, "calibrated_cut", lambda counts, cost: seen.append(counts.agg(F.sum("good"), F.sum("bad")).first()) or found(counts, cost))
+    forest, threshold = Q.fit(docs, labels)
+    passing = Q.document_statistics(docs, "doc_id").filter(~Q.base_failed())
+    assert sum(seen[0]) == passing.count() > 16
+    x = passing.join(labels, "doc_id").select("features", "quality").toPandas()
+    score, good = forest.score(np.array(x["features"].tolist())), x["quality"].to_numpy() == 1
+    assert threshold == calibrated(score, good, 5.0)
