@@ -19,7 +19,8 @@ from candela.operators.ingest import bronze, decode_envelope, parse_ticks
 from candela.operators.quality import dedup, quality_filter, silver_predicate
 from candela.operators.window_stats import WATERMARK, stats_json, window_stats
 from candela.schema import DEDUP_KEYS, LINEAGE_COLS, TICK_COLS, TOPIC_PROCESSED, WINDOW_STATS_COLS
-from candela.session import remove_path, scratch_path
+from candela.session import remove_path, scratch_path, session_conf
+from candela.sources.lake import write_partitioned
 
 # Fixed values that must equal the reference: default trigger intervals.
 SILVER_STREAM_TRIGGER = {"processingTime": "15 seconds"}
@@ -228,7 +229,10 @@ def silver_merge_batch(
                 days = [r.event_date for r in fresh.select("event_date").distinct().collect()]  # calendar days of one batch
             existing = stored_keys(spark, silver_path, fresh.schema, span.lo, span.hi, keys, partition_by, days)
             new_rows = fresh.join(existing, list(keys), "left_anti")
-            new_rows.write.mode("append").partitionBy(*partition_by).parquet(silver_path)
+            # A stream's session plans without adaptive execution, and tasks that each hold
+            # rows of every folder would write a file a task and folder.
+            with session_conf(spark, {"spark.sql.adaptive.enabled": "true"}):
+                write_partitioned(new_rows, silver_path, partition_by, mode="append")
         finally:
             fresh.unpersist()
 

@@ -233,3 +233,18 @@ def test_message_log_compaction(spark):
     assert P.compact_stats_messages(spark, log) == batches[-2] and current() == before
     left = sorted(int(r.batch_id) for r in spark.read.parquet(log).select("batch_id").distinct().collect())
     assert left == batches[-2:] and P.compact_stats_messages(spark, log) is None
+
+
+def test_silver_dedup_writes_few_files(spark, tmp_path):
+    """A micro-batch writes a file a folder, however many tasks hold its rows."""
+    rows = spark.range(400).selectExpr(
+        "if(id % 2 = 0, 'A', 'B') AS symbol", "10.5D AS price", "id AS volume", "'src' AS source", "id AS offset",
+        "timestamp'2024-01-03 00:00:00' + make_interval(0, 0, 0, int(id % 3), 0, 0, id) AS event_time",
+        "0 AS partition", "timestamp'2024-01-05 00:00:00' AS kafka_timestamp",
+    )
+    out = str(tmp_path / "silver")
+    replay(spark, fx.envelope_from_ticks(rows), lambda s, ck: P.start_silver_dedup(s, out, ck, trigger={"availableNow": True}), bounds=())
+    files = list((tmp_path / "silver").glob("symbol=*/event_date=*/*.parquet"))
+    assert len(files) == 6
+    clean = rows.filter("offset % 31 <> 0 AND offset % 37 <> 0 AND offset % 41 <> 0").count()
+    assert spark.read.parquet(out).count() == clean
