@@ -92,3 +92,22 @@ def test_hot_symbol_write_is_split_over_tasks(spark):
     hot = [f for f in os.listdir(f"{local}/symbol=HOT") if f.endswith(".parquet")]
     assert len(hot) > 1
     assert scan(spark, path).count() == t.count()
+
+
+def test_many_folders_are_listed_by_a_few_tasks(spark):
+    from candela.sources.lake import LISTING_TASKS
+
+    path, key, group = scratch_path(spark, "folders"), "spark.sql.sources.parallelPartitionDiscovery.parallelism", "listing"
+    spark.range(120).selectExpr("id AS n", "concat('00', id) AS symbol").coalesce(1).write.partitionBy("symbol").parquet(path)
+    before = spark.conf.get(key)
+    spark.sparkContext.setJobGroup(group, "listing of 120 folders")
+    try:
+        back = scan(spark, path)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    tasks = [tracker.getStageInfo(s).numTasks for s in stages]
+    assert tasks and max(tasks) <= LISTING_TASKS * spark.sparkContext.defaultParallelism < 120
+    assert spark.conf.get(key) == before
+    assert {(r.n, r.symbol) for r in back.collect()} == {(n, f"00{n}") for n in range(120)}
