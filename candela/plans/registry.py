@@ -1,4 +1,4 @@
-"""All registered queries (batch catalogue + streaming catalogue)."""
+"""All registered queries (batch catalogue + streaming catalogue), and those that return an estimate."""
 
 from __future__ import annotations
 
@@ -7,3 +7,9 @@ def all_queries():
     from candela.plans import catalog, stream_catalog  # noqa: F401  (the latter registers into catalog.QUERIES)
 
     return dict(catalog.QUERIES)
+
+
+def estimates():
+    from candela.plans import catalog
+
+    return dict(catalog.ESTIMATES)
