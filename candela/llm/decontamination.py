@@ -237,6 +237,8 @@ def contamination(
             F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
             *[F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends", "items", "near")],
         )
+    else:  # two Python steps in one stage would hold two workers a core, which stay and keep their memory
+        found = stored(found, "matches")
 
     def digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -87,3 +87,13 @@ def test_items_without_an_id_count_in_the_hit_words(spark, make_docs, block_item
     rows = contamination(docs, benchmark, block_items=block_items).collect()
     got = {r["doc_id"]: (r["n_words"], r["n_hit"], r["items"], r["near_items"], r["contaminated"]) for r in rows}
     assert got == {1: (17, 15, [], [], True), 2: (22, 22, ["7"], ["7"], True), 3: (1, 0, [], [], False)}
+
+
+def test_one_python_step_a_stage(spark, make_docs):
+    """What matches is written before it is summed up: chained Python steps would take two workers a core."""
+    rows, items = fixture(1)
+    benchmark = spark.createDataFrame([(*i, 3, "x") for i in items], ITEMS)
+    for options in ({}, {"block_items": 5}):
+        plan = contamination(make_docs(rows), benchmark, **options)._jdf.queryExecution().executedPlan().toString()
+        stages = re.split("Exchange", plan)
+        assert all(len(re.findall("MapInPandas|FlatMapGroupsInPandas", s)) < 2 for s in stages) and "MapInPandas" in plan
