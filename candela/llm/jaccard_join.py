@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.common import SpanHasher, partitions, shingle_hashes, stored, temporary_tables, text_or_empty
+from candela.llm.common import DROP_SHUFFLES, SpanHasher, partitions, shingle_hashes, stored, temporary_tables, text_or_empty
 from candela.llm.components import connected_components
 from candela.session import session_conf
 
@@ -55,8 +55,6 @@ ORDERED_LAST = 1 << 19
 #: Bytes of text whose shingles go to one bucket, in the mean. Far smaller buckets make rows of a few postings, which
 #: cost memory in every task.
 BUCKET_TEXT = 1 << 24
-#: Shuffle files go with the table that was written from them, not when the driver happens to collect its garbage.
-DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 #: Shingles, and postings, that a task holds before it sends them on in blocks.
 HELD_SHINGLES = 700_000
 HELD_POSTINGS = 250_000

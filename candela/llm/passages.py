@@ -5,7 +5,9 @@ without what stands between them, so a string of ``WORDS`` words is a string of
 ``WORDS * CODE`` bytes of the coded text, however long its words are. The
 suffix-array dedup finds the repeated strings of that length; the words they
 cover whole are cut, from the first letter of a run's first word to the last
-letter of its last.
+letter of its last. Coded texts, larger than the texts, are made where they are
+needed: for the anchors, and again for the texts that neighbourhoods are cut
+from; they are neither written nor shuffled.
 
 A word is a run of anything but white space; in scripts written without spaces
 each letter counts as a word. Words are compared as they stand, the white space
@@ -17,7 +19,7 @@ from __future__ import annotations
 
 import re
 from base64 import b64encode
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import pyarrow as pa
@@ -42,24 +44,17 @@ WORD = re.compile(rf"[{UNSPACED}]|[^\s{UNSPACED}]+")
 class Codes(dict):
     """The code of a word."""
 
-    def __missing__(self, word: str) -> str:
-        code = b64encode(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=CODE * 6 // 8).digest()).decode()
+    def __missing__(self, word: str) -> bytes:
+        code = b64encode(blake2b(word.encode("utf-8", "surrogatepass"), digest_size=CODE * 6 // 8).digest())
         if len(self) < KNOWN:
             self[word] = code
         return code
 
 
-def coded(docs: DataFrame, key: str) -> DataFrame:
-    """doc_id (the key) and the coded text."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes = Codes()
-        for batch in batches:
-            texts = ["".join([codes[w] for w in WORD.findall(t)]) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
-
-    rows = docs.select(F.col(key).cast("string").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id string, text string")
+def coded() -> Callable[[str], bytes]:
+    """Encoder of texts as the codes of their words."""
+    codes = Codes()
+    return lambda text: b"".join([codes[w] for w in WORD.findall(text)])
 
 
 def cut_words(text: str, runs) -> tuple[int, str]:
@@ -85,8 +80,10 @@ def cut_words(text: str, runs) -> tuple[int, str]:
 def without_repeated_passages(docs: DataFrame, key: str, *carried: str, words: int = WORDS) -> DataFrame:
     """The carried columns, the number of words cut and the text that stays; ``key`` tells different rows apart."""
     with temporary_tables(docs.sparkSession):
-        texts = stored(coded(docs, key), "coded")  # read for the anchors and for the neighbourhoods
-        runs = stored(removed_runs(texts, words * CODE, GRAM, GROUP_MEMBERS, SHARD_BYTES), "runs", keep=True)
+        texts = docs.select(F.col(key).alias("doc_id"), "text")
+        # A word has a byte at least, so shorter texts have fewer words.
+        found = removed_runs(texts, words * CODE, GRAM, GROUP_MEMBERS, SHARD_BYTES, coded, shortest=words)
+        runs = stored(found, "runs", keep=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

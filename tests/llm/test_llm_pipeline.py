@@ -1,9 +1,13 @@
+import os
+import random
+import time
 from collections import Counter
 
 import corpus_pipeline as C
 import test_llm_decontamination as test_decontamination
 import test_llm_jaccard as test_jaccard
 import test_llm_packing as test_packing
+from candela.llm import common
 from candela.llm.common import stored, table
 from llm_corpora import SF_SMALL
 
@@ -88,6 +92,38 @@ def test_passages_of_the_given_documents(spark):
     assert {r["doc_id"]: r["text"].split() for r in got} == {d: w for d, w in want.items() if w or not dict(rows)[d].split()}
 
 
+def files_under(*folders):
+    return {os.path.join(at, name) for top in folders for at, _, names in os.walk(top.removeprefix("file://")) for name in names}
+
+
+def test_passages_are_found_without_a_second_copy_of_the_texts(spark, make_docs, monkeypatch):
+    sizes, remove = [], common.remove_path
+
+    def weighed(spark, path):
+        sizes.append(sum(os.path.getsize(f) for f in files_under(path)))
+        remove(spark, path)
+
+    monkeypatch.setattr(common, "remove_path", weighed)
+    draw = random.Random(7)
+    rows = [(i, " ".join("".join(draw.choices("abcdefghijklmnop", k=5)) for _ in range(1000))) for i in range(200)]
+    rows += [(1000, " ".join(rows[0][1].split()[:60]) + " end"), (1001, "short")]
+    got = {r["doc_id"]: r["text"].split() for r in C.cut_repeated_passages(spark, make_docs(rows), SF_SMALL).collect()}
+    assert got == without_repeats(rows) and got[1000] == ["end"] and len(got[0]) == 940
+    assert 0 < sum(sizes) < 0.5 * sum(len(t) for _, t in rows)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark):
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    before = files_under(*folders)
+    counts = stored(spark.range(20_000).selectExpr("id % 100 AS k").groupBy("k").count(), "test-counts")
+    for _ in range(50):
+        left = {f for f in files_under(*folders) - before if "shuffle_" in f}
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and counts.count() == 100
+
+
 def test_stages_after_the_cut_match_brute_force(spark):
     docs = table(spark, SF_SMALL, "documents")
     for _, stage in C.STAGES[:2]:

@@ -71,6 +71,14 @@ def test_empty_table_and_text(make_docs):
     assert {r["doc_id"]: r["kept_text"] for r in rows} == {1: "", 2: "x"}
 
 
+def test_short_texts_leave_hashes_unsigned():
+    hasher = SpanHasher()
+    data = np.frombuffer(random.Random(3).randbytes(900), dtype=np.uint8)
+    with np.errstate(over="ignore"):
+        none, some = (S.anchors(d, hasher, S.LENGTH, S.GRAM) for d in (data[:50], data))
+    assert len(none[0]) == 0 < len(some[0]) and [c.dtype for c in none] == [c.dtype for c in some]
+
+
 def test_many_equal_rows(spark):
     """10,000 rows of one text under one id, and as many without an id: each loses what repeats, once."""
     text = "".join(chr(97 + (i * i + i // 7) % 26) for i in range(1500))
